@@ -75,17 +75,18 @@ def _incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{target}/table").select(*schemas.LISTING_COLUMNS)
 
 
+def _wide(lake: SessionLake, layer: str) -> DataFrame:
+    """A star joined back to flat rows."""
+    tables, spec = {"silver": (lake.silver, schemas.SILVER_FATO), "dw": (lake.gold, schemas.GOLD_FATO)}[layer]
+    return star.widen(tables()["fato_veiculo"], spec, tables(), schemas.LISTING_COLUMNS)
+
+
 def _roundtrip(lake: SessionLake) -> DataFrame:
-    """Rows by which the re-joined stars differ from the flat bronze table."""
-    columns = [c for c in schemas.LISTING_COLUMNS]
-    bronze = lake.bronze().select(*columns)
-    wide = {
-        "silver": star.widen(lake.silver()["fato_veiculo"], schemas.SILVER_FATO, lake.silver(), columns),
-        "dw": star.widen(lake.gold()["fato_veiculo"], schemas.GOLD_FATO, lake.gold(), columns),
-    }
+    """How many rows of the re-joined stars differ from the flat bronze table."""
+    bronze = lake.bronze().select(*schemas.LISTING_COLUMNS)
     return quality.union_all([
-        star.row_differences(bronze, rows).agg(F.count("*").alias("differing_rows"))
-        .select(F.lit(name).alias("star"), "differing_rows") for name, rows in wide.items()
+        star.row_differences(bronze, _wide(lake, layer)).agg(F.count("*").alias("differing_rows"))
+        .select(F.lit(layer).alias("star"), "differing_rows") for layer in ("silver", "dw")
     ])
 
 
@@ -101,16 +102,16 @@ def _best_value(**options) -> Callable[..., DataFrame]:
     return lambda fato, modelo: marts.best_value(fato, modelo, min_year=RECENT_YEAR, **options)
 
 
-def _density(rows: DataFrame, **options) -> DataFrame:
-    return _rounded(distributions.density(rows, "price", **options), x=4, density=10)
+def _round_curve(curve: DataFrame) -> DataFrame:
+    return _rounded(curve, x=4, density=10)
 
 
-def _histogram(rows: DataFrame, bins: int) -> DataFrame:
-    return _rounded(distributions.histogram(rows, "price", bins), bin_start=4, bin_end=4)
+def _round_bins(bins: DataFrame) -> DataFrame:
+    return _rounded(bins, bin_start=4, bin_end=4)
 
 
-def _box(rows: DataFrame, groups: tuple[str, ...] = ()) -> DataFrame:
-    return _rounded(distributions.box_stats(rows, "price", groups), q1=4, median=4, q3=4)
+def _round_box(box: DataFrame) -> DataFrame:
+    return _rounded(box, q1=4, median=4, q3=4)
 
 
 def _summary(rows: DataFrame) -> DataFrame:
@@ -187,19 +188,19 @@ def queries() -> dict[str, Query]:
             sales.sales_by_region, "lineitem", "orders", "customer", "nation", "region"),
     }
     chart_data = {
-        "q4b_histogram": _with_models(lambda f, m: _histogram(marts.in_range(f), 20)),
-        "q4b_density": _with_models(lambda f, m: _density(marts.in_range(f))),
+        "q4b_histogram": _with_models(lambda f, m: _round_bins(
+            distributions.histogram(marts.in_range(f), "price", 20))),
+        "q4b_density": _with_models(lambda f, m: _round_curve(distributions.density(marts.in_range(f), "price"))),
         "q4b_mean_median": _with_models(lambda f, m: _summary(marts.in_range(f))),
-        "q4b_box_top_makes": _with_models(lambda f, m: _box(marts.rows_of_top_makes(f, m), ("make",))),
-        "q5b_box_by_make": _with_models(lambda f, m: _box(marts.rows_of_makes(f, m, MAKES), ("make",))),
-        "q5b_density_by_make": _with_models(lambda f, m: _density(
-            marts.rows_of_makes(f, m, MAKES), groups=("make",), points=100, cut=2)),
-        "q6b_scatter_bins": _with_models(lambda f, m: _rounded(distributions.scatter_bins(
-            marts.rows_of_model_prefix(f, m, MODEL_PREFIX), "year", "price", 10, 20, "mileage"), mean_mileage=4)),
-        "q6b_histogram": _with_models(lambda f, m: _histogram(marts.rows_of_model_prefix(f, m, MODEL_PREFIX), 15)),
+        "q4b_box_top_makes": _with_models(lambda f, m: _round_box(marts.box_of_top_makes(f, m))),
+        "q5b_box_by_make": _with_models(lambda f, m: _round_box(marts.box_of_makes(f, m, MAKES))),
+        "q5b_density_by_make": _with_models(lambda f, m: _round_curve(marts.density_of_makes(f, m, MAKES))),
+        "q6b_scatter_bins": _with_models(lambda f, m: _rounded(
+            marts.scatter_of_prefix(f, m, MODEL_PREFIX), mean_mileage=4)),
+        "q6b_histogram": _with_models(lambda f, m: _round_bins(marts.histogram_of_prefix(f, m, MODEL_PREFIX))),
         "q6b_mean_median": _with_models(lambda f, m: _summary(marts.rows_of_model_prefix(f, m, MODEL_PREFIX))),
-        "q12b_histogram_top20": _with_models(lambda f, m: _rounded(
-            marts.best_value_histogram(_best_value()(f, m)), bin_start=4, bin_end=4)),
+        "q12b_histogram_top20": _with_models(lambda f, m: _round_bins(
+            marts.best_value_histogram(_best_value()(f, m)))),
         "q12b_scatter_top20": _with_models(lambda f, m: marts.best_value_scatter(_best_value()(f, m))),
         "q12b_labels": _with_models(lambda f, m: marts.best_value_labels(_best_value()(f, m))),
     }
@@ -212,9 +213,9 @@ def queries() -> dict[str, Query]:
         "profile_fuel_counts": _raw(lambda rows: profile.value_counts(rows, "fuel_type")),
         "profile_numeric": _raw(lambda rows: _rounded(
             profile.numeric_profile(rows, schemas.PROFILE_NUMBERS), mean=4, std=4, min=4, q25=4, q50=4, q75=4, max=4)),
-        "profile_price_histogram": _raw(lambda rows: _histogram(rows, 50)),
-        "profile_price_density": _raw(_density),
-        "profile_outliers": _raw(_box),
+        "profile_price_histogram": _raw(lambda rows: _round_bins(distributions.histogram(rows, "price", 50))),
+        "profile_price_density": _raw(lambda rows: _round_curve(distributions.density(rows, "price"))),
+        "profile_outliers": _raw(lambda rows: _round_box(distributions.box_stats(rows, "price"))),
         "category_domain": _on_lake(lambda lake: profile.category_domain(lake.bronze(), schemas.CATEGORY_COLUMNS)),
         "category_distinct": _on_lake(lambda lake: profile.distinct_counts(lake.bronze(), schemas.CATEGORY_COLUMNS)),
         "profile_document_copies": _on_tables(lambda d: profile.duplicate_profile(d.drop("doc_id")), "documents"),
@@ -235,6 +236,8 @@ def queries() -> dict[str, Query]:
         "check_widths": _on_lake(lambda lake: quality.width_check(lake.bronze(), schemas.WIDTHS)),
         "reconcile_layers": _on_lake(reports.reconcile_layers),
         "star_roundtrip_diff": _on_lake(_roundtrip),
+        "star_wide_silver": _on_lake(lambda lake: _wide(lake, "silver")),
+        "star_wide_gold": _on_lake(lambda lake: _wide(lake, "dw")),
     }
     return sources | silver_tables | gold_tables | marts_queries | chart_data | profiles | checks
 

@@ -70,6 +70,11 @@ def _fact(spec: schemas.FactSpec) -> str:
     return f"SELECT {', '.join([*keys, *spec.measures])} FROM b"
 
 
+def _rejoined(spec: schemas.FactSpec) -> str:
+    joins = " ".join(f"JOIN ({_dimension(d)}) USING ({d.key})" for d in spec.dimensions)
+    return f"({_fact(spec)}) {joins}"
+
+
 def _renamed(inner: str, columns) -> str:
     def short(c: str) -> str:
         source = "CAST(engine_hp AS INT)" if c == "engine_hp" else c
@@ -194,9 +199,9 @@ def _layer_columns() -> str:
     layers = {(layer, table): source for layer, table, _, source in _layer_rows()} | {("dw", "fato_veiculo"): "b"}
     parts = []
     for (layer, table), schema in schemas.TABLES.items():
+        if layer == "dw_short":
+            continue
         for i, (column, kind) in enumerate(_schema_pairs(schema)):
-            # The flat table keeps horsepower as read; the tight integer form is the abbreviated layout's.
-            kind = "double" if column == "engine_hp" else kind
             parts.append(
                 f"SELECT '{layer}' AS camada, '{table}' AS tabela, CAST({i} AS INT) AS position, "
                 f"'{column}' AS \"column\", '{kind}' AS type, count(*) AS non_null FROM {layers[layer, table]}")
@@ -387,21 +392,28 @@ def _checks() -> dict[str, str]:
         f"SELECT '{layer}.{table}' AS \"table\", '{key}' AS key, count(*) AS rows, CAST(0 AS BIGINT) AS nulls, "
         f"CAST(0 AS BIGINT) AS duplicates, CAST(1 AS BIGINT) AS min_key, count(*) AS max_key FROM {source}"
         for layer, table, key, source in _layer_rows())
-    stars = [("silver", d) for d in schemas.SILVER_FATO.dimensions] + [("dw", d) for d in schemas.GOLD_FATO.dimensions]
     foreign = _union(
-        f"SELECT '{layer}.fato_veiculo.{d.key}' AS reference, count(*) AS rows, CAST(0 AS BIGINT) AS nulls, "
-        f"CAST(0 AS BIGINT) AS orphan_keys, CAST(0 AS BIGINT) AS orphan_rows FROM b" for layer, d in stars)
+        f"""SELECT '{layer}.fato_veiculo.{d.key}' AS reference, count(*) AS rows, count(*) - count(f.{d.key}) AS nulls,
+  count(DISTINCT CASE WHEN d.{d.key} IS NULL THEN f.{d.key} END) AS orphan_keys,
+  count(CASE WHEN f.{d.key} IS NOT NULL AND d.{d.key} IS NULL THEN 1 END) AS orphan_rows
+FROM ({_fact(spec)}) f LEFT JOIN ({_dimension(d)}) d ON f.{d.key} = d.{d.key}"""
+        for layer, spec in (("silver", schemas.SILVER_FATO), ("dw", schemas.GOLD_FATO)) for d in spec.dimensions)
+    orphans = _union(
+        f"SELECT '{d.name}' AS dimension, count(CASE WHEN d.{d.key} IS NULL THEN 1 END) AS missing "
+        f"FROM b LEFT JOIN ({_dimension(d)}) d ON "
+        + " AND ".join(f"b.{c} IS NOT DISTINCT FROM d.{c}" for c in d.columns)
+        for d in schemas.GOLD_FATO.dimensions)
     widths = _union(
         f"SELECT '{c}' AS \"column\", CAST({w} AS INT) AS max_width, CAST(max(length({c})) AS INT) AS longest, "
         f"count(CASE WHEN length({c}) > {w} THEN 1 END) AS too_long FROM b" for c, w in schemas.WIDTHS.items())
+    everything = ", ".join(schemas.LISTING_COLUMNS)
     reconciled = _union(
         f"SELECT '{t}' AS \"table\", count(*) AS rows, count(*) AS expected_rows, true AS matches FROM b"
         for t in ("bronze.vehicle_prices", "silver.veiculo", "silver.fato_veiculo", "dw.fato_veiculo"))
     return {
         "check_keys": _on_listings(keys),
         "check_foreign_keys": _on_listings(foreign),
-        "check_orphans": _union(f"SELECT '{d.name}' AS dimension, CAST(0 AS BIGINT) AS missing"
-                                for d in schemas.GOLD_FATO.dimensions),
+        "check_orphans": _on_listings(orphans),
         "check_references": _union(_reference_check(*r) for r in REFERENCES),
         "check_unused_keys": "SELECT c_custkey, count(*) AS rows FROM customer "
                              "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1",
@@ -411,7 +423,12 @@ def _checks() -> dict[str, str]:
             _lossy(c) for c in [*schemas.INTEGER_COLUMNS, "mileage_per_year", "price"])),
         "check_widths": _on_listings(widths),
         "reconcile_layers": _on_listings(reconciled),
-        "star_roundtrip_diff": "SELECT unnest(['silver', 'dw']) AS star, CAST(0 AS BIGINT) AS differing_rows",
+        "star_roundtrip_diff": _on_listings(_union(
+            f"SELECT '{layer}' AS star, count(*) AS differing_rows FROM "
+            f"(SELECT * FROM b EXCEPT ALL SELECT {everything} FROM {_rejoined(spec)})"
+            for layer, spec in (("silver", schemas.SILVER_FATO), ("dw", schemas.GOLD_FATO)))),
+        "star_wide_silver": _on_listings("SELECT * FROM b"),
+        "star_wide_gold": _on_listings("SELECT * FROM b"),
     }
 
 

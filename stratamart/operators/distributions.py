@@ -33,7 +33,10 @@ def bin_index(column: Column, low: Column, high: Column, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int, groups: Sequence[str] = ()) -> DataFrame:
-    """(groups, bin, bin_start, bin_end, count), empty bins included."""
+    """(groups, bin, bin_start, bin_end, count), empty bins included.
+
+    Reads the rows twice (bounds, then bins); stage them first when they come out of a join.
+    """
     rows = _with_bounds(df, value, groups)
     cells = (
         rows.withColumn("_bin", bin_index(F.col(value), F.col("_lo"), F.col("_hi"), bins))
@@ -87,7 +90,11 @@ def density(df: DataFrame, value: str, groups: Sequence[str] = (), cells: int =
 
 def box_stats(df: DataFrame, value: str, groups: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (extreme values within `whisker` times the box) and outlier count."""
-    counts = value_counts_sorted(df, value, groups)
+    return box_stats_of_counts(value_counts_sorted(df, value, groups), value, groups, whisker)
+
+
+def box_stats_of_counts(counts: DataFrame, value: str, groups: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
+    """`box_stats` from the table of `value_counts_sorted`."""
     quartiles = quantiles_of_counts(counts, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, groups)
     if groups:
         quartiles = materialize(quartiles, "quartiles")

@@ -2,35 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.functions.cleaning import drop_incomplete, require_columns, shared_columns
 from stratamart.operators.keys import dense_key
+from stratamart.operators.skew import skew_join
 from stratamart.schemas import DimensionSpec, FactSpec
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs) -> F.Column:
-    """Equality of the (left, right) column pairs in which null equals null."""
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
-
-
 def build_dimension(source: DataFrame, spec: DimensionSpec) -> DataFrame:
     """Distinct tuples of the dimension's columns, keyed by their rank."""
     require_columns(source, spec.columns, f"source of {spec.name}")
     return dense_key(source.select(*spec.columns).distinct(), spec.key, spec.columns)
 
 
-def lookup_key(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec) -> DataFrame:
+def lookup_key(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec,
+               measured_on: DataFrame | None = None) -> DataFrame:
     """Left join on the natural key; adds `spec.key`, null where the dimension has no such tuple.
 
-    Still an equi join to Spark, so the adaptive skew handling can split a hot key of `rows`.
+    Null equals null. Frequent tuples are spread, see `skew_join`.
     """
     columns = shared_columns(rows, dimension, spec.columns)
-    side = dimension.select(spec.key, *[F.col(c).alias(f"_dim_{c}") for c in columns])
-    matched = rows.join(side, null_safe(rows, side, [(c, f"_dim_{c}") for c in columns]), "left")
-    return matched.drop(*[f"_dim_{c}" for c in columns])
+    return skew_join(rows, dimension.select(spec.key, *columns), columns, "left", null_safe=True,
+                     measured_on=measured_on)
 
 
 def fact_rows(source: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame]) -> DataFrame:
@@ -44,7 +38,7 @@ def fact_rows(source: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame
     pending = list(spec.dimensions)
     while pending:
         dimension = pending.pop()
-        rows = lookup_key(rows, dimensions[dimension.name], dimension)
+        rows = lookup_key(rows, dimensions[dimension.name], dimension, measured_on=source)
         needed = {c for d in pending for c in d.columns} | set(spec.measures)
         rows = rows.select(*[c for c in rows.columns if c in needed or c in spec.columns])
     return rows.select(*[c for c in spec.columns if c != spec.key])
@@ -67,7 +61,7 @@ def remap_fact(fact: DataFrame, spec: FactSpec, maps: list[tuple[str, DataFrame]
     """Replace old surrogates by those of the maps (left joins, so orphans keep null keys)."""
     rows = fact
     for key, mapping in maps:
-        rows = rows.join(mapping, key, "left")
+        rows = skew_join(rows, mapping, [key], "left", measured_on=fact)
     require_columns(rows, spec.columns, spec.name)
     return rows.select(*spec.columns)
 
@@ -86,7 +80,7 @@ def widen(fact: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame], col
     """The flat rows a star stands for."""
     rows = fact
     for dimension in spec.dimensions:
-        rows = rows.join(dimensions[dimension.name], dimension.key)
+        rows = skew_join(rows, dimensions[dimension.name], [dimension.key], measured_on=fact)
     return rows.select(*columns)
 
 

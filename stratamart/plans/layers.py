@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart import schemas
-from stratamart.functions.cleaning import fill_missing, normalize_missing
-from stratamart.operators import quality
+from stratamart.functions.cleaning import fill_missing
 from stratamart.operators.keys import dense_key
 from stratamart.operators.star import (
     build_dimension, drop_orphans, fact_rows, missing_keys, remap_fact, surrogate_map,
@@ -18,21 +17,19 @@ from stratamart.staging import shared_folder
 
 SILVER_STAR = ("dim_modelo", "dim_especificacao", "fato_veiculo")
 GOLD_STAR = ("dim_modelo", "dim_condicao", "dim_cor", "fato_veiculo")
-# The abbreviated layout reuses the name of the colour dimension, so it has a layer of its own.
 SHORT_LAYER = "dw_short"
 SHORT_STAR = {"dim_cor": "dim_cor", "dim_condicao": "dim_con", "dim_modelo": "dim_mdl", "fato_veiculo": "fat_vcl"}
 
 
-def cleaned(rows: DataFrame, fills: dict[str, object] | None = None) -> DataFrame:
-    return fill_missing(normalize_missing(rows), fills)
-
-
 def load_flat(lake: Lake, source: DataFrame, mode: str = "overwrite", csv_path: str | None = None,
               fills: dict[str, object] | None = None) -> DataFrame:
-    """Raw rows to the flat clean table (and its CSV export); every row is kept, outliers included."""
+    """Rows of `read_flat` to the flat clean table (and its CSV export).
+
+    Every row is kept, outliers included.
+    """
     if mode == "skip_if_loaded" and lake.is_loaded("silver", "veiculo"):
         return lake.read("silver", "veiculo")
-    keyed = dense_key(cleaned(source.select(*schemas.LISTING_COLUMNS), fills), "id")
+    keyed = dense_key(fill_missing(source.select(*schemas.LISTING_COLUMNS), fills), "id")
     table = lake.write("silver", "veiculo", keyed.select("id", *schemas.LISTING_COLUMNS), mode)
     if csv_path:
         write_csv(table.drop("id"), csv_path, "overwrite")
@@ -41,10 +38,10 @@ def load_flat(lake: Lake, source: DataFrame, mode: str = "overwrite", csv_path:
 
 def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_name: str | None = None,
                 fills: dict[str, object] | None = None) -> DataFrame:
-    """Raw rows to bronze: nulls filled, rows numbered, ingestion time and source file recorded."""
+    """Rows of `read_flat` to bronze: nulls filled, rows numbered, ingestion time and source file recorded."""
     if mode == "skip_if_loaded" and lake.is_loaded("bronze", "vehicle_prices"):
         return lake.read("bronze", "vehicle_prices")
-    rows = cleaned(source, fills)
+    rows = fill_missing(source, fills)
     if "_source_file" not in rows.columns:
         rows = rows.withColumn("_source_file", F.lit(source_name).cast("string"))
     rows = rows.withColumn("_ingestion_timestamp", F.current_timestamp())
@@ -140,42 +137,43 @@ class SessionLake(Lake):
         name = "".join(c if c.isalnum() else "_" for c in sf_dir.strip("/"))
         super().__init__(spark, f"{shared_folder(spark)}/lake/{name}-{len(_session_lakes)}")
         self.sf_dir = sf_dir
-        self._exported: set[str] = set()
+        self._landed: set[str] = set()
+        self._layers: dict[str, object] = {}
 
     def landing(self, fmt: str = "parquet") -> DataFrame:
         """The raw listings as they arrive: a flat file in the given format, nulls and all."""
-        if not self.is_loaded("landing", "parquet"):
+        if "parquet" not in self._landed:
             self.write("landing", "parquet", listings.listings(self.spark, self.sf_dir))
-        if fmt != "parquet" and fmt not in self._exported:
+            self._landed.add("parquet")
+        if fmt not in self._landed:
             write = {"csv": write_csv, "json": write_json}[fmt]
             write(self.read("landing", "parquet"), self.path("landing", fmt), "overwrite")
-            self._exported.add(fmt)
+            self._landed.add(fmt)
         return read_flat(self.spark, self.path("landing", fmt), fmt, source_column="_source_file")
 
+    def _loaded(self, name: str, load) -> object:
+        if name not in self._layers:
+            self._layers[name] = load()
+        return self._layers[name]
+
     def bronze(self) -> DataFrame:
-        if not self.is_loaded("bronze", "vehicle_prices"):
-            load_bronze(self, self.landing())
-        return self.read("bronze", "vehicle_prices")
+        return self._loaded("bronze", lambda: load_bronze(self, self.landing()))
 
     def flat(self) -> DataFrame:
-        if not self.is_loaded("silver", "veiculo"):
-            load_flat(self, self.landing("csv"), csv_path=self.path("export", "vehicle_price_clean"))
-        return self.read("silver", "veiculo")
+        export = self.path("export", "vehicle_price_clean")
+        return self._loaded("flat", lambda: load_flat(self, self.landing("csv"), csv_path=export))
 
     def silver(self) -> dict[str, DataFrame]:
-        if not self.is_loaded("silver", "fato_veiculo"):
-            self.bronze()
-        return load_silver(self, "skip_if_loaded")
+        self.bronze()
+        return self._loaded("silver", lambda: load_silver(self))
 
     def gold(self) -> dict[str, DataFrame]:
-        if not self.is_loaded("dw", "fato_veiculo"):
-            self.silver()
-        return load_gold(self, "skip_if_loaded")
+        self.silver()
+        return self._loaded("gold", lambda: load_gold(self))
 
     def gold_abbreviated(self) -> dict[str, DataFrame]:
-        if not self.is_loaded(SHORT_LAYER, "fat_vcl"):
-            self.gold()
-        return load_abbreviated(self, "skip_if_loaded")
+        self.gold()
+        return self._loaded("short", lambda: load_abbreviated(self))
 
 
 def session_lake(spark: SparkSession, sf_dir: str) -> SessionLake:

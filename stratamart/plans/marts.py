@@ -1,8 +1,8 @@
 """The analytical queries over the silver star.
 
-`fato`, `modelo` and `espec` are the silver fact and dimensions. Joins carry no hints: dimensions
-can be as large as the fact, so Spark broadcasts by file size and otherwise shuffles, with the
-adaptive rules splitting hot keys. Averages are rounded before they are ordered. Every top-k is
+`fato`, `modelo` and `espec` are the silver fact and dimensions. Dimensions can be as large as the
+fact, so none is broadcast unless Spark finds it small: grouped queries aggregate per key before
+the join (`sum_through`), row queries spread frequent keys (`skew_join`). Averages are rounded before they are ordered. Every top-k is
 ordered by all its output columns, so ties cannot change the answer.
 """
 
@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratamart.functions.columns import price_band, ratio, round_money, short_label, vehicle_name
 from stratamart.operators import distributions, pivots, quantiles
+from stratamart.operators.skew import skew_join, sum_through
 from stratamart.sources.lake import run_sql
 from stratamart.staging import materialize
 
 PRICE_RANGE = (20000, 500000)
+BANDS = ("Barato", "Caro", "Médio")
 
 
 def _top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
@@ -48,7 +50,7 @@ def price_stats(fato: DataFrame) -> DataFrame:
 
 
 def top_makes(fato: DataFrame, modelo: DataFrame, key: str = "id_modelo", n: int = 5) -> DataFrame:
-    counts = fato.select(key).join(modelo.select(key, "make"), key).groupBy("make").agg(F.count("*").alias("total"))
+    counts = sum_through(fato, modelo, key, ["make"], {"total": F.lit(1)})
     return _top(counts, n, F.desc("total"), "make")
 
 
@@ -74,12 +76,12 @@ def make_in(fato: DataFrame, modelo: DataFrame, makes: Sequence[str] = ("Toyota"
 
 def rows_of_makes(fato: DataFrame, modelo: DataFrame, makes: Sequence[str]) -> DataFrame:
     wanted = modelo.where(F.col("make").isin(*makes)).select("id_modelo", "make", "model")
-    return fato.select("id_modelo", "price").join(wanted, "id_modelo")
+    return skew_join(fato.select("id_modelo", "price"), wanted, ["id_modelo"])
 
 
 def rows_of_model_prefix(fato: DataFrame, modelo: DataFrame, prefix: str) -> DataFrame:
     wanted = modelo.where(F.col("model").startswith(prefix)).select("id_modelo", "make", "model", "year")
-    return fato.select("id_modelo", "price", "mileage").join(wanted, "id_modelo")
+    return skew_join(fato.select("id_modelo", "price", "mileage"), wanted, ["id_modelo"])
 
 
 def model_prefix(fato: DataFrame, modelo: DataFrame, prefix: str = "Civic", n: int = 10) -> DataFrame:
@@ -89,17 +91,12 @@ def model_prefix(fato: DataFrame, modelo: DataFrame, prefix: str = "Civic", n: i
 
 def accident_class(fato: DataFrame, modelo: DataFrame, espec: DataFrame, value: str = "maior",
                    n: int = 10) -> DataFrame:
-    return run_sql(
-        fato.sparkSession,
-        """
-        SELECT m.make, m.model, f.price, e.accident_history
-        FROM {fato} f
-        JOIN {espec} e ON f.id_especificacao = e.id_especificacao
-        JOIN {modelo} m ON f.id_modelo = m.id_modelo
-        WHERE e.accident_history = {value}
-        ORDER BY f.price DESC, m.make, m.model
-        LIMIT {n}
-        """, fato=fato, espec=espec, modelo=modelo, value=value, n=n)
+    classed = espec.where(F.col("accident_history") == value).select("id_especificacao", "accident_history")
+    rows = skew_join(fato.select("id_especificacao", "id_modelo", "price"), classed, ["id_especificacao"])
+    stored = materialize(rows.select("id_modelo", "price", "accident_history"), "classed_rows")
+    leading = leading_rows(stored, "price", n)
+    listed = leading.join(modelo, "id_modelo").select("make", "model", "price", "accident_history")
+    return _top(listed, n, F.desc("price"), "make", "model")
 
 
 def best_value(fato: DataFrame, modelo: DataFrame, min_year: int = 2018, max_mileage: int = 80000,
@@ -108,7 +105,7 @@ def best_value(fato: DataFrame, modelo: DataFrame, min_year: int = 2018, max_mil
     limit = fato.agg(F.avg("price")).scalar() if max_price is None else F.lit(max_price)
     cheap = fato.where((F.col("price") < limit) & (F.col("mileage") < max_mileage))
     recent = modelo.where(F.col("year") >= min_year).select("id_modelo", "make", "model", "year")
-    listed = cheap.select("id_modelo", "mileage", "price").join(recent, "id_modelo").select(
+    listed = skew_join(cheap.select("id_modelo", "mileage", "price"), recent, ["id_modelo"]).select(
         vehicle_name(F.col("make"), F.col("model")).alias("veiculo"), "year",
         F.col("mileage").alias("km"), "price")
     chosen = listed.orderBy("price", "veiculo", "year", "km").limit(n)
@@ -119,34 +116,38 @@ def best_value(fato: DataFrame, modelo: DataFrame, min_year: int = 2018, max_mil
 # --- grouped statistics -----------------------------------------------------------------------
 
 def fuel_share(fato: DataFrame, modelo: DataFrame) -> DataFrame:
-    counts = (
-        fato.select("id_modelo").join(modelo.select("id_modelo", "fuel_type"), "id_modelo")
-        .groupBy("fuel_type").agg(F.count("*").alias("total"))
-    )
+    counts = sum_through(fato, modelo, "id_modelo", ["fuel_type"], {"total": F.lit(1)})
     whole = fato.agg(F.count("*")).scalar()
     share = round_money(ratio(F.col("total"), whole) * 100, 1)
     return counts.withColumn("share", share).orderBy(F.desc("total"), "fuel_type")
 
 
-def _priced_by_make(fato: DataFrame, modelo: DataFrame) -> DataFrame:
-    return fato.select("id_modelo", "price").join(modelo.select("id_modelo", "make"), "id_modelo")
+def _price_sums() -> dict[str, Column]:
+    """What the count and the average of the price are made of."""
+    return {"quantidade": F.lit(1), "_sum": F.col("price"), "_present": F.when(F.col("price").isNotNull(), 1)}
+
+
+def _average() -> Column:
+    return round_money(ratio(F.col("_sum"), F.col("_present"))).alias("preco_medio")
 
 
 def average_price_by_make(rows: DataFrame, n: int | None = 10) -> DataFrame:
-    """Average price per make of rows with `make` and `price`, dearest first; all makes when `n` is None."""
+    """Average price per make of flat rows, dearest first; all makes when `n` is None."""
     averages = rows.groupBy("make").agg(round_money(F.avg("price")).alias("preco_medio"))
     return _top(averages, n, F.desc("preco_medio"), "make") if n else averages
 
 
 def avg_price_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
-    return average_price_by_make(_priced_by_make(fato, modelo), n)
+    sums = sum_through(fato, modelo, "id_modelo", ["make"], _price_sums())
+    return _top(sums.select("make", _average()), n, F.desc("preco_medio"), "make")
 
 
 def price_range_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
     """Adds count, extremes, the distances of the extremes from the average, and the ratio to the top average."""
-    stats = _priced_by_make(fato, modelo).groupBy("make").agg(
-        round_money(F.avg("price")).alias("preco_medio"), F.count("*").alias("quantidade"),
-        round_money(F.min("price")).alias("preco_min"), round_money(F.max("price")).alias("preco_max"))
+    sums = sum_through(fato, modelo, "id_modelo", ["make"], _price_sums(),
+                       {"_low": F.col("price")}, {"_high": F.col("price")})
+    stats = sums.select("make", _average(), "quantidade", round_money(F.col("_low")).alias("preco_min"),
+                        round_money(F.col("_high")).alias("preco_max"))
     top = materialize(_top(stats, n, F.desc("preco_medio"), "make"), "top_makes")
     return top.select(
         "*",
@@ -157,16 +158,14 @@ def price_range_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> Data
 
 
 def price_and_count_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
-    stats = _priced_by_make(fato, modelo).groupBy(F.col("make").alias("marca")).agg(
-        round_money(F.avg("price")).alias("preco_medio"), F.count("*").alias("quantidade"))
+    sums = sum_through(fato, modelo, "id_modelo", ["make"], _price_sums())
+    stats = sums.select(F.col("make").alias("marca"), _average(), "quantidade")
     return _top(stats, n, F.desc("preco_medio"), "marca")
 
 
 def _by_accident(fato: DataFrame, espec: DataFrame) -> DataFrame:
-    rows = fato.select("id_especificacao", "price").join(
-        espec.select("id_especificacao", "accident_history"), "id_especificacao")
-    return rows.groupBy("accident_history").agg(
-        F.count("*").alias("quantidade"), round_money(F.avg("price")).alias("preco_medio"))
+    sums = sum_through(fato, espec, "id_especificacao", ["accident_history"], _price_sums())
+    return sums.select("accident_history", "quantidade", _average())
 
 
 def accident_counts(fato: DataFrame, espec: DataFrame) -> DataFrame:
@@ -179,33 +178,34 @@ def accident_prices(fato: DataFrame, espec: DataFrame) -> DataFrame:
     return rows.orderBy(F.desc("preco_medio"), "historico")
 
 
+def _bands(fato: DataFrame, espec: DataFrame) -> DataFrame:
+    """Per accident class, one count per price band."""
+    band = price_band(F.col("price"))
+    return sum_through(fato, espec, "id_especificacao", ["accident_history"],
+                       {b: F.when(band == b, 1).otherwise(0) for b in BANDS})
+
+
 def accident_by_band(fato: DataFrame, espec: DataFrame) -> DataFrame:
-    rows = fato.select("id_especificacao", price_band(F.col("price")).alias("faixa_preco")).join(
-        espec.select("id_especificacao", "accident_history"), "id_especificacao")
-    return rows.groupBy("accident_history", "faixa_preco").agg(F.count("*").alias("total")).orderBy(
-        "accident_history", "faixa_preco")
+    long = _bands(fato, espec).unpivot("accident_history", list(BANDS), "faixa_preco", "total")
+    return long.where(F.col("total") > 0).orderBy("accident_history", "faixa_preco")
 
 
 def make_model_year(fato: DataFrame, modelo: DataFrame, min_year: int = 2020, n: int = 20) -> DataFrame:
+    recent = modelo.where(F.col("year") >= min_year)
+    sums = sum_through(fato, recent, "id_modelo", ["make", "model", "year"], _price_sums())
     return run_sql(
         fato.sparkSession,
         """
-        SELECT m.make AS marca, m.model AS modelo, m.year AS ano,
-               CAST(round(CAST(avg(f.price) AS DECIMAL(28, 6)), 2) AS DOUBLE) AS preco_medio,
-               count(*) AS quantidade
-        FROM {fato} f JOIN {modelo} m ON f.id_modelo = m.id_modelo
-        WHERE m.year >= {min_year}
-        GROUP BY m.make, m.model, m.year
+        SELECT make AS marca, model AS modelo, year AS ano,
+               CAST(round(CAST(_sum / _present AS DECIMAL(28, 6)), 2) AS DOUBLE) AS preco_medio, quantidade
+        FROM {sums}
         ORDER BY preco_medio DESC, marca, modelo, ano
         LIMIT {n}
-        """, fato=fato, modelo=modelo, min_year=min_year, n=n)
+        """, sums=sums, n=n)
 
 
 # --- cross-tabs -------------------------------------------------------------------------------
 
-BANDS = ("Barato", "Caro", "Médio")
-
-
 def band_pivot(fato: DataFrame, espec: DataFrame) -> DataFrame:
     return pivots.cross_tab(accident_by_band(fato, espec), "accident_history", "faixa_preco", "total", BANDS)
 
@@ -226,19 +226,44 @@ def in_range(fato: DataFrame, low: float = PRICE_RANGE[0], high: float = PRICE_R
     return fato.where(F.col("price").between(low, high))
 
 
-def rows_of_top_makes(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
-    """Rows (make, price) in the price range, of the `n` makes with most such rows."""
-    rows = _priced_by_make(in_range(fato), modelo)
-    counts = rows.groupBy("make").agg(F.count("*").alias("total"))
-    top = materialize(_top(counts, n, F.desc("total"), "make").select("make"), "top_makes")
-    return rows.join(top, "make", "left_semi")
-
-
 def price_summary(rows: DataFrame) -> DataFrame:
     """Mean and median of the price."""
     return quantiles.mean_median(rows, "price")
 
 
+def box_of_top_makes(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
+    """Box statistics, within the price range, of the `n` makes with most rows there.
+
+    The star is joined once, for the copies per make and price; ranking and boxes work on those.
+    """
+    rows = skew_join(in_range(fato).select("id_modelo", "price"), modelo.select("id_modelo", "make"), ["id_modelo"])
+    counts = quantiles.value_counts_sorted(rows, "price", ["make"])
+    totals = counts.groupBy("make").agg(F.sum("_n").alias("total"))
+    top = materialize(_top(totals, n, F.desc("total"), "make").select("make"), "top_makes")
+    return distributions.box_stats_of_counts(counts.join(top, "make", "left_semi"), "price", ["make"])
+
+
+def box_of_makes(fato: DataFrame, modelo: DataFrame, makes: Sequence[str]) -> DataFrame:
+    return distributions.box_stats(rows_of_makes(fato, modelo, makes), "price", ["make"])
+
+
+def density_of_makes(fato: DataFrame, modelo: DataFrame, makes: Sequence[str]) -> DataFrame:
+    """One curve per make, drawn two bandwidths beyond the data as violins are."""
+    rows = materialize(rows_of_makes(fato, modelo, makes).select("make", "price"), "priced_rows")
+    return distributions.density(rows, "price", ["make"], points=100, cut=2)
+
+
+def histogram_of_prefix(fato: DataFrame, modelo: DataFrame, prefix: str, bins: int = 15) -> DataFrame:
+    rows = materialize(rows_of_model_prefix(fato, modelo, prefix).select("price"), "priced_rows")
+    return distributions.histogram(rows, "price", bins)
+
+
+def scatter_of_prefix(fato: DataFrame, modelo: DataFrame, prefix: str) -> DataFrame:
+    """Price against year, coloured by mileage."""
+    rows = rows_of_model_prefix(fato, modelo, prefix).select("year", "price", "mileage")
+    return distributions.scatter_bins(materialize(rows, "priced_rows"), "year", "price", 10, 20, "mileage")
+
+
 def best_value_scatter(chosen: DataFrame) -> DataFrame:
     """The chosen rows as points, with their price relative to the dearest of them."""
     stored = materialize(chosen, "best_value")

@@ -107,9 +107,8 @@ def bronze_schema() -> T.StructType:
 
 
 def flat_schema() -> T.StructType:
-    """The flat clean table: `id`, the listing columns, horsepower as a whole number."""
-    fields = [T.StructField(f.name, T.IntegerType()) if f.name == "engine_hp" else f for f in LISTING.fields]
-    return T.StructType([T.StructField("id", T.LongType())] + fields)
+    """The flat clean table: `id` and the listing columns."""
+    return T.StructType([T.StructField("id", T.LongType())] + LISTING.fields)
 
 
 def dimension_schema(spec: DimensionSpec) -> T.StructType:
@@ -121,6 +120,15 @@ def fact_schema(spec: FactSpec) -> T.StructType:
     return T.StructType([T.StructField(k, T.LongType()) for k in keys] + [LISTING[c] for c in spec.measures])
 
 
+def short_schema(schema: T.StructType, key: str | None = None) -> T.StructType:
+    """A gold schema under its abbreviated names, horsepower as a whole number."""
+    def field(f: T.StructField) -> T.StructField:
+        kind = T.IntegerType() if f.name == "engine_hp" else f.dataType
+        return T.StructField(ABBREVIATED.get(f.name, f.name), kind)
+    own = [T.StructField(key, T.LongType())] if key else []
+    return T.StructType(own + [field(f) for f in schema.fields])
+
+
 # Every table of the data model: (layer, table) -> schema.
 TABLES: dict[tuple[str, str], T.StructType] = {
     ("bronze", "vehicle_prices"): bronze_schema(),
@@ -132,6 +140,11 @@ TABLES: dict[tuple[str, str], T.StructType] = {
     ("dw", "dim_condicao"): dimension_schema(GOLD_CONDICAO),
     ("dw", "dim_cor"): dimension_schema(GOLD_COR),
     ("dw", "fato_veiculo"): fact_schema(GOLD_FATO),
+    # The abbreviated layout reuses the name of the colour dimension, so it is a layer of its own.
+    ("dw_short", "dim_mdl"): short_schema(dimension_schema(GOLD_MODELO)),
+    ("dw_short", "dim_con"): short_schema(dimension_schema(GOLD_CONDICAO)),
+    ("dw_short", "dim_cor"): short_schema(dimension_schema(GOLD_COR)),
+    ("dw_short", "fat_vcl"): short_schema(fact_schema(GOLD_FATO), "srk_vcl"),
 }
 
 

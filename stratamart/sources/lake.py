@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from stratamart.schemas import create_table_ddl
+from stratamart.schemas import TABLES, create_table_ddl
 from stratamart.sources.readers import CSV_OPTIONS
 
 MODES = ("append", "overwrite", "skip_if_loaded")
@@ -22,7 +22,11 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        """Scan of a table; tables of the data model need no look at the files for their schema."""
+        reader = self.spark.read
+        if (layer, table) in TABLES:
+            reader = reader.schema(TABLES[layer, table])
+        return reader.parquet(self.path(layer, table))
 
     def is_loaded(self, layer: str, table: str) -> bool:
         """The table exists and has a row; looks at one row, never counts."""

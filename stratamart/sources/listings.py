@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratamart.operators.skew import skew_join
 from stratamart.schemas import LISTING_COLUMNS
 from stratamart.staging import materialize
 
@@ -18,14 +19,16 @@ def sold_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders meet customers first, so that the line items, by far the largest side, are shuffled for
     their order and their part only.
     """
-    orders = read_table(spark, sf_dir, "orders").join(
-        read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    ).select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_mktsegment")
-    joined = (
-        read_table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    )
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    orders = skew_join(
+        read_table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"),
+        read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), [("o_custkey", "c_custkey")])
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size", "p_type")
+    items = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                            "l_discount", "l_returnflag", "l_linestatus")
+    joined = skew_join(items, orders.drop("o_custkey"), [("l_orderkey", "o_orderkey")])
+    joined = skew_join(joined, parts, [("l_partkey", "p_partkey")], measured_on=lineitem)
     year = F.year("o_orderdate")
     mileage = F.col("l_quantity").cast("int") * 2000
     age = F.lit(2002) - year
@@ -63,7 +66,7 @@ def with_brand_popularity(items: DataFrame) -> DataFrame:
     share = items.groupBy("make").agg(F.count("*").alias("_n")).select(
         F.col("make").alias("_make"), (F.col("_n").cast("double") / total).alias("brand_popularity"))
     shares = materialize(share, "brand_popularity")
-    joined = items.join(shares, items["make"].eqNullSafe(shares["_make"]), "left")
+    joined = skew_join(items, shares, [("make", "_make")], "left", null_safe=True)
     return joined.select(*LISTING_COLUMNS)
 
 
