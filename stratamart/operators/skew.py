@@ -12,6 +12,7 @@ from stratamart.staging import materialize
 _MOST_FREQUENT = 1000
 _WORTHWHILE_ROWS = 10_000
 _TRACKED = 16_384
+_SPREAD = 65_536
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -53,8 +54,8 @@ def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", nu
     `on` lists names, or (row column, side column) pairs. A side that fits a broadcast, and rows
     without frequent keys, take a plain join. Otherwise the few side rows of the frequent keys are
     staged and joined by broadcast; their rows go through the shuffle join of all the others
-    spread over the partitions, where they meet nothing. The spread is the number of the map
-    partition, so a recomputed task sends every row where it went before.
+    spread over the partitions, where they meet nothing. The spread depends on the row and on the
+    number of its map partition only, so a recomputed task sends every row where it went before.
 
     `measured_on` is a cheaper table with the same key columns to find frequent keys on.
     """
@@ -84,9 +85,11 @@ def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", nu
     is_hot = _key_hash(row_keys, kinds).isin(hot)
     if how == "inner":
         marked = marked.where(~is_hot | F.col("_hot").isNotNull())
-    marked = marked.withColumn("_spread", F.when(is_hot, F.spark_partition_id() + 1).otherwise(0))
+    values = [F.col(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(_SPREAD)) + 1
+    marked = marked.withColumn("_spread", F.when(is_hot, place).otherwise(0))
     # Always 0, but not a constant to the optimizer, which would take it out of the join keys.
-    rest = keyed.withColumn("_zero", (side_hash % 1).cast("int")).withColumn("_found", F.lit(True))
+    rest = keyed.withColumn("_zero", side_hash % 1).withColumn("_found", F.lit(True))
     joined = marked.join(
         rest,
         _all_equal([(marked[r], rest[n]) for (r, _), n in zip(pairs, names)], null_safe)
