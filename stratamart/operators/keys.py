@@ -19,20 +19,39 @@ def dense_key(df: DataFrame, key: str, order_by: list[str] | tuple[str, ...] | N
 
     Partition and position are stored with the rows, so the per-partition counts and the final
     keys come from one execution whatever is retried. Only one count per written partition is
-    broadcast; their number is that of the write's tasks, not of the rows.
+    broadcast; their number is that of the write's tasks, not of the rows. A stored Parquet table
+    is numbered more cheaply by `file_key`.
     """
     ordered = df
     if order_by:
         order = [F.col(c).asc_nulls_first() for c in order_by]
         ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = materialize(ordered.withColumn("_slot", F.monotonically_increasing_id()), key)
-    part = F.shiftright("_slot", _POSITION_BITS)
-    counts = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    position = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (
-        staged.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + position + 1).alias(key), *df.columns)
-    )
+    located = staged.withColumn("_part", F.shiftright("_slot", _POSITION_BITS)).withColumn(
+        "_position", F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+    return _numbered(located, key, "_part", "_position").select(key, *df.columns)
+
+
+def file_key(stored: DataFrame, key: str) -> DataFrame:
+    """Prefix a stored Parquet table with a dense BIGINT `key` in storage order.
+
+    Parquet scans know the file and the position of every row, so neither a shuffle nor another
+    copy of the table is needed. `stored` must be the scan itself or columns of it.
+    """
+    located = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return located_key(located, key)
+
+
+def located_key(rows: DataFrame, key: str) -> DataFrame:
+    """`file_key` for rows that carry their `_file` and `_row`."""
+    kept = [c for c in rows.columns if c not in ("_file", "_row")]
+    return _numbered(rows, key, "_file", "_row").select(key, *kept)
+
+
+def _numbered(rows: DataFrame, key: str, part: str, position: str) -> DataFrame:
+    """Add 1 + position + rows in earlier parts; one count per part is broadcast."""
+    counts = rows.groupBy(F.col(part).alias("_of")).agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_of", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    return rows.join(F.broadcast(offsets), F.col(part) == F.col("_of")).withColumn(
+        key, F.col("_offset") + F.col(position) + 1)

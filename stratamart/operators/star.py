@@ -28,20 +28,21 @@ def lookup_key(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec,
 
 
 def fact_rows(source: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Fact columns without the fact's own key.
+    """The columns of the fact; its own key, if it has one, must come with the source.
 
     Lookups run from the last dimension to the first: the natural key of a resolved dimension is
     dropped at once, and the small last dimension is usually broadcast, so the wide first lookup
     shuffles a row that is already narrow.
     """
-    rows = source.select(*dict.fromkeys([c for d in spec.dimensions for c in d.columns] + list(spec.measures)))
+    carried = [c for c in spec.columns if c in source.columns]
+    rows = source.select(*dict.fromkeys([c for d in spec.dimensions for c in d.columns] + carried))
     pending = list(spec.dimensions)
     while pending:
         dimension = pending.pop()
         rows = lookup_key(rows, dimensions[dimension.name], dimension, measured_on=source)
-        needed = {c for d in pending for c in d.columns} | set(spec.measures)
-        rows = rows.select(*[c for c in rows.columns if c in needed or c in spec.columns])
-    return rows.select(*[c for c in spec.columns if c != spec.key])
+        needed = {c for d in pending for c in d.columns} | set(spec.columns)
+        rows = rows.select(*[c for c in rows.columns if c in needed])
+    return rows.select(*spec.columns)
 
 
 def surrogate_map(dimension: DataFrame, key: str, targets: list[tuple[DimensionSpec, DataFrame]],

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart import schemas
 from stratamart.functions.cleaning import fill_missing
-from stratamart.operators.keys import dense_key
+from stratamart.operators.keys import dense_key, file_key, located_key
 from stratamart.operators.star import (
     build_dimension, drop_orphans, fact_rows, missing_keys, remap_fact, surrogate_map,
 )
@@ -38,27 +38,37 @@ def load_flat(lake: Lake, source: DataFrame, mode: str = "overwrite", csv_path:
 
 def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_name: str | None = None,
                 fills: dict[str, object] | None = None) -> DataFrame:
-    """Rows of `read_flat` to bronze: nulls filled, rows numbered, ingestion time and source file recorded."""
+    """Rows of `read_flat` to bronze: nulls filled, rows numbered, ingestion time and source file recorded.
+
+    Located rows are numbered by their place in the files, others by way of a staged copy.
+    """
     if mode == "skip_if_loaded" and lake.is_loaded("bronze", "vehicle_prices"):
         return lake.read("bronze", "vehicle_prices")
     rows = fill_missing(source, fills)
     if "_source_file" not in rows.columns:
         rows = rows.withColumn("_source_file", F.lit(source_name).cast("string"))
     rows = rows.withColumn("_ingestion_timestamp", F.current_timestamp())
-    keyed = dense_key(rows.select(*schemas.LISTING_COLUMNS, *schemas.PROVENANCE.fieldNames()), "id")
+    columns = [*schemas.LISTING_COLUMNS, *schemas.PROVENANCE.fieldNames()]
+    if {"_file", "_row"} <= set(rows.columns):
+        keyed = located_key(rows.select(*columns, "_file", "_row"), "id")
+    else:
+        keyed = dense_key(rows.select(*columns), "id")
     return lake.write("bronze", "vehicle_prices", keyed, mode)
 
 
 def load_silver(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Bronze to the silver star. Dimensions first; the fact is written last, so it marks a full load."""
+    """Bronze to the silver star. Dimensions first; the fact is written last, so it marks a full load.
+
+    Every bronze row becomes one fact row, so the dense bronze `id` serves as the fact's key.
+    """
     if not (mode == "skip_if_loaded" and lake.is_loaded("silver", "fato_veiculo")):
         bronze = lake.read("bronze", "vehicle_prices")
         dimensions = {
             spec.name: lake.write("silver", spec.name, build_dimension(bronze, spec))
             for spec in schemas.SILVER_FATO.dimensions
         }
-        rows = fact_rows(bronze, schemas.SILVER_FATO, dimensions)
-        lake.write("silver", "fato_veiculo", dense_key(rows, schemas.SILVER_FATO.key))
+        keyed = bronze.withColumnRenamed("id", schemas.SILVER_FATO.key)
+        lake.write("silver", "fato_veiculo", fact_rows(keyed, schemas.SILVER_FATO, dimensions))
     return {name: lake.read("silver", name) for name in SILVER_STAR}
 
 
@@ -112,8 +122,10 @@ def load_abbreviated(lake: Lake, mode: str = "overwrite", widths: dict[str, int]
     """The gold star under its abbreviated names; `widths` makes over-wide text fail the load."""
     if not (mode == "skip_if_loaded" and lake.is_loaded(SHORT_LAYER, "fat_vcl")):
         for table, short in SHORT_STAR.items():
-            rows = abbreviated(lake.read("dw", table), widths)
-            lake.write(SHORT_LAYER, short, dense_key(rows, "srk_vcl") if short == "fat_vcl" else rows)
+            rows = lake.read("dw", table)
+            if short == "fat_vcl":
+                rows = file_key(rows, "srk_vcl")
+            lake.write(SHORT_LAYER, short, abbreviated(rows, widths))
     return {short: lake.read(SHORT_LAYER, short) for short in SHORT_STAR.values()}
 
 
@@ -149,7 +161,8 @@ class SessionLake(Lake):
             write = {"csv": write_csv, "json": write_json}[fmt]
             write(self.read("landing", "parquet"), self.path("landing", fmt), "overwrite")
             self._landed.add(fmt)
-        return read_flat(self.spark, self.path("landing", fmt), fmt, source_column="_source_file")
+        return read_flat(self.spark, self.path("landing", fmt), fmt, source_column="_source_file",
+                         located=fmt == "parquet")
 
     def _loaded(self, name: str, load) -> object:
         if name not in self._layers:

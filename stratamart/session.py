@@ -24,6 +24,9 @@ def local_session(cpus: int | str = "*", app: str = "stratamart", **extra: str)
     settings = SETTINGS | {
         "spark.sql.shuffle.partitions": partitions,
         "spark.driver.memory": "12g",
+        # Small local files: split them over the cores, and build no large hash table on one thread.
+        "spark.sql.files.openCostInBytes": "512KB",
+        "spark.sql.autoBroadcastJoinThreshold": "1MB",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.host": "127.0.0.1",
     } | extra

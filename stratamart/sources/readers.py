@@ -30,11 +30,12 @@ def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_flat(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = LISTING,
-              source_column: str | None = None) -> DataFrame:
+              source_column: str | None = None, located: bool = False) -> DataFrame:
     """Typed rows of `schema` with missing values as null.
 
     Columns are matched by name, whatever their order in the files. `source_column` adds the name
-    of the file a row came from.
+    of the file a row came from; `located` adds `_file` and `_row` (Parquet only), by which a load
+    can number the rows.
     """
     if fmt == "csv":
         raw = read_raw_csv(spark, path)
@@ -47,6 +48,9 @@ def read_flat(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struct
     if source_column:
         raw = raw.withColumn(source_column, F.col("_metadata.file_name"))
         schema = T.StructType(schema.fields + [T.StructField(source_column, T.StringType())])
+    if located:
+        raw = raw.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+        schema = T.StructType(schema.fields + [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())])
     # Tokens go before the casts, NaN (also spelled as text) after them.
     return nan_to_null(typed(tokens_to_null(raw), schema))
 
