@@ -68,32 +68,39 @@ def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", nu
     names = [f"_key{i}" for i in range(len(pairs))]
     keyed = side.select(*[F.col(s).alias(n) for s, n in zip(side_keys, names)], *payload)
     row_keys = [F.col(r) for r, _ in pairs]
+    row_hash, side_hash = _key_hash(row_keys, kinds), _key_hash([F.col(n) for n in names], kinds)
 
     hot = []
     if not fits_broadcast(side):
         source = rows if measured_on is None else measured_on
-        hot = frequent_hashes(source, _key_hash(row_keys, kinds))
+        hot = frequent_hashes(source, row_hash)
+
+    def meet(left: DataFrame, right: DataFrame, right_names: list[str]) -> Column:
+        return _all_equal([(left[r], right[n]) for (r, _), n in zip(pairs, right_names)], null_safe)
+
+    # A composite key is compared by its hash first: sorting longs is far cheaper than many columns.
+    hashed = null_safe and len(pairs) > 1
     if not hot:
-        matched = rows.join(keyed, _all_equal([(rows[r], keyed[n]) for (r, _), n in zip(pairs, names)], null_safe), how)
+        if not hashed:
+            return rows.join(keyed, meet(rows, keyed, names), how).select(*rows.columns, *payload)
+        left, right = rows.withColumn("_h", row_hash), keyed.withColumn("_k", side_hash)
+        matched = left.join(right, (left["_h"] == right["_k"]) & meet(left, right, names), how)
         return matched.select(*rows.columns, *payload)
 
-    side_hash = _key_hash([F.col(n) for n in names], kinds)
     frequent = materialize(keyed.where(side_hash.isin(hot)), "frequent_keys")
     frequent = frequent.select(F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in frequent.columns])
-    marked = rows.join(
-        frequent, _all_equal([(rows[r], frequent[f"_hot_{n}"]) for (r, _), n in zip(pairs, names)], null_safe), "left")
-    is_hot = _key_hash(row_keys, kinds).isin(hot)
+    marked = rows.join(frequent, meet(rows, frequent, [f"_hot_{n}" for n in names]), "left")
+    is_hot = row_hash.isin(hot)
     if how == "inner":
         marked = marked.where(~is_hot | F.col("_hot").isNotNull())
     values = [F.col(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(_SPREAD)) + 1
-    marked = marked.withColumn("_spread", F.when(is_hot, place).otherwise(0))
-    # Always 0, but not a constant to the optimizer, which would take it out of the join keys.
-    rest = keyed.withColumn("_zero", side_hash % 1).withColumn("_found", F.lit(True))
-    joined = marked.join(
-        rest,
-        _all_equal([(marked[r], rest[n]) for (r, _), n in zip(pairs, names)], null_safe)
-        & (marked["_spread"] == rest["_zero"]), "left")
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(_SPREAD))
+    # The hash of the key, or for frequent keys a place of their own, which no side row has: those
+    # are even and places odd.
+    even = F.bitwise_not(F.lit(1).cast("long"))
+    marked = marked.withColumn("_h", F.when(is_hot, place * 2 + 1).otherwise(row_hash.bitwiseAND(even)))
+    rest = keyed.withColumns({"_k": side_hash.bitwiseAND(even), "_found": F.lit(True)})
+    joined = marked.join(rest, (marked["_h"] == rest["_k"]) & meet(marked, rest, names), "left")
     if how == "inner":
         joined = joined.where(F.col("_hot").isNotNull() | F.col("_found").isNotNull())
     return joined.select(*rows.columns, *[

@@ -16,6 +16,16 @@ def build_dimension(source: DataFrame, spec: DimensionSpec) -> DataFrame:
     return dense_key(source.select(*spec.columns).distinct(), spec.key, spec.columns)
 
 
+def rekey_dimension(dimension: DataFrame, key: str, spec: DimensionSpec) -> tuple[DataFrame, DataFrame]:
+    """A new dimension of the same attributes as an old one, and the map from old `key` to `spec.key`.
+
+    Old and new rows correspond one to one, so the old rows are numbered once: no second distinct,
+    and no join on the natural key.
+    """
+    keyed = dense_key(dimension.select(key, *spec.columns), spec.key, spec.columns)
+    return keyed.select(spec.key, *spec.columns), keyed.select(key, spec.key)
+
+
 def lookup_key(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec,
                measured_on: DataFrame | None = None) -> DataFrame:
     """Left join on the natural key; adds `spec.key`, null where the dimension has no such tuple.

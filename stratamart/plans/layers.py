@@ -8,7 +8,7 @@ from stratamart import schemas
 from stratamart.functions.cleaning import fill_missing
 from stratamart.operators.keys import dense_key, file_key, located_key
 from stratamart.operators.star import (
-    build_dimension, drop_orphans, fact_rows, missing_keys, remap_fact, surrogate_map,
+    build_dimension, drop_orphans, fact_rows, missing_keys, rekey_dimension, remap_fact, surrogate_map,
 )
 from stratamart.sources import listings
 from stratamart.sources.lake import Lake, write_csv, write_json
@@ -72,9 +72,12 @@ def load_silver(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
     return {name: lake.read("silver", name) for name in SILVER_STAR}
 
 
-def gold_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
-    """The gold fact before orphans are removed."""
-    models = surrogate_map(silver["dim_modelo"], "id_modelo", [(schemas.GOLD_MODELO, gold["dim_modelo"])])
+def _model_map(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
+    return surrogate_map(silver["dim_modelo"], "id_modelo", [(schemas.GOLD_MODELO, gold["dim_modelo"])])
+
+
+def gold_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame], models: DataFrame) -> DataFrame:
+    """The gold fact before orphans are removed; `models` maps the silver to the gold model keys."""
     specs = surrogate_map(
         silver["dim_especificacao"], "id_especificacao",
         [(schemas.GOLD_CONDICAO, gold["dim_condicao"]), (schemas.GOLD_COR, gold["dim_cor"])],
@@ -85,21 +88,24 @@ def gold_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataF
 
 
 def load_gold(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Silver star to gold star: new dimensions, then the fact with their keys, orphans dropped."""
+    """Silver star to gold star: new dimensions, then the fact with their keys, orphans dropped.
+
+    The model dimension keeps its attributes, so its keys are only renumbered; the specification
+    dimension is split into two, which are looked up.
+    """
     if not (mode == "skip_if_loaded" and lake.is_loaded("dw", "fato_veiculo")):
         silver = {name: lake.read("silver", name) for name in SILVER_STAR}
-        sources = {"dim_modelo": "dim_modelo", "dim_condicao": "dim_especificacao", "dim_cor": "dim_especificacao"}
-        gold = {
-            spec.name: lake.write("dw", spec.name, build_dimension(silver[sources[spec.name]], spec))
-            for spec in schemas.GOLD_FATO.dimensions
-        }
-        lake.write("dw", "fato_veiculo", drop_orphans(gold_fact(silver, gold), schemas.GOLD_FATO))
+        rows, models = rekey_dimension(silver["dim_modelo"], "id_modelo", schemas.GOLD_MODELO)
+        gold = {"dim_modelo": lake.write("dw", "dim_modelo", rows)}
+        for spec in (schemas.GOLD_CONDICAO, schemas.GOLD_COR):
+            gold[spec.name] = lake.write("dw", spec.name, build_dimension(silver["dim_especificacao"], spec))
+        lake.write("dw", "fato_veiculo", drop_orphans(gold_fact(silver, gold, models), schemas.GOLD_FATO))
     return {name: lake.read("dw", name) for name in GOLD_STAR}
 
 
 def gold_orphans(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
     """(dimension, missing): fact rows without a key per gold dimension."""
-    return missing_keys(gold_fact(silver, gold), schemas.GOLD_FATO)
+    return missing_keys(gold_fact(silver, gold, _model_map(silver, gold)), schemas.GOLD_FATO)
 
 
 def abbreviated(df: DataFrame, widths: dict[str, int] | None = None) -> DataFrame:

@@ -80,7 +80,7 @@ def test_density_is_close_to_the_exact_kernel_sum(spark):
     h = values.std(ddof=1) * len(values) ** -0.2
     for row in distributions.density(df, "v", points=20).collect():
         exact = np.exp(-0.5 * ((row["x"] - values) / h) ** 2).sum() / (len(values) * h * np.sqrt(2 * np.pi))
-        assert row["density"] == pytest.approx(exact, rel=5e-3)
+        assert row["density"] == pytest.approx(exact, rel=5e-3, abs=5e-8)
     curve = distributions.density(df, "v", cut=3).orderBy("x").collect()
     area = np.trapezoid([r["density"] for r in curve], [r["x"] for r in curve])
     assert area == pytest.approx(1.0, abs=0.01)
