@@ -22,10 +22,10 @@ PRICE_RANGE = (20000, 500000)
 BANDS = ("Barato", "Caro", "Médio")
 
 
-def _top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    named = {c if isinstance(c, str) else None for c in order}
-    rest = [c for c in df.columns if c not in named]
-    return df.orderBy(*order, *rest).limit(n)
+def _top(df: DataFrame, n: int, largest: str, *ties: str) -> DataFrame:
+    """The `n` rows with the largest value; `ties`, then all other columns, decide between equals."""
+    named = (largest, *ties)
+    return df.orderBy(F.desc(largest), *ties, *[c for c in df.columns if c not in named]).limit(n)
 
 
 def leading_rows(fact: DataFrame, measure: str, n: int) -> DataFrame:
@@ -51,7 +51,7 @@ def price_stats(fato: DataFrame) -> DataFrame:
 
 def top_makes(fato: DataFrame, modelo: DataFrame, key: str = "id_modelo", n: int = 5) -> DataFrame:
     counts = sum_through(fato, modelo, key, ["make"], {"total": F.lit(1)})
-    return _top(counts, n, F.desc("total"), "make")
+    return _top(counts, n, "total", "make")
 
 
 # --- filtered top-k ---------------------------------------------------------------------------
@@ -60,18 +60,18 @@ def price_between(fato: DataFrame, modelo: DataFrame, low: float = PRICE_RANGE[0
                   n: int = 10) -> DataFrame:
     rows = fato.where(F.col("price").between(low, high)).select("id_modelo", "price")
     listed = leading_rows(rows, "price", n).join(modelo, "id_modelo").select("make", "model", "price")
-    return _top(listed, n, F.desc("price"), "make", "model")
+    return _top(listed, n, "price", "make", "model")
 
 
 def most_expensive(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
     listed = leading_rows(fato.select("id_modelo", "price"), "price", n).join(modelo, "id_modelo")
-    return _top(listed.select("body_type", "make", "model", "price"), n, F.desc("price"), "body_type", "make", "model")
+    return _top(listed.select("body_type", "make", "model", "price"), n, "price", "body_type", "make", "model")
 
 
 def make_in(fato: DataFrame, modelo: DataFrame, makes: Sequence[str] = ("Toyota", "Honda", "Ford"),
             n: int = 10) -> DataFrame:
     rows = rows_of_makes(fato, modelo, makes)
-    return _top(rows.select("make", "model", "price"), n, F.desc("price"), "make", "model")
+    return _top(rows.select("make", "model", "price"), n, "price", "make", "model")
 
 
 def rows_of_makes(fato: DataFrame, modelo: DataFrame, makes: Sequence[str]) -> DataFrame:
@@ -86,7 +86,7 @@ def rows_of_model_prefix(fato: DataFrame, modelo: DataFrame, prefix: str) -> Dat
 
 def model_prefix(fato: DataFrame, modelo: DataFrame, prefix: str = "Civic", n: int = 10) -> DataFrame:
     rows = rows_of_model_prefix(fato, modelo, prefix).select("make", "model", "price")
-    return _top(rows, n, F.desc("price"), "make", "model")
+    return _top(rows, n, "price", "make", "model")
 
 
 def accident_class(fato: DataFrame, modelo: DataFrame, espec: DataFrame, value: str = "maior",
@@ -96,7 +96,7 @@ def accident_class(fato: DataFrame, modelo: DataFrame, espec: DataFrame, value:
     stored = materialize(rows.select("id_modelo", "price", "accident_history"), "classed_rows")
     leading = leading_rows(stored, "price", n)
     listed = leading.join(modelo, "id_modelo").select("make", "model", "price", "accident_history")
-    return _top(listed, n, F.desc("price"), "make", "model")
+    return _top(listed, n, "price", "make", "model")
 
 
 def best_value(fato: DataFrame, modelo: DataFrame, min_year: int = 2018, max_mileage: int = 80000,
@@ -134,12 +134,12 @@ def _average() -> Column:
 def average_price_by_make(rows: DataFrame, n: int | None = 10) -> DataFrame:
     """Average price per make of flat rows, dearest first; all makes when `n` is None."""
     averages = rows.groupBy("make").agg(round_money(F.avg("price")).alias("preco_medio"))
-    return _top(averages, n, F.desc("preco_medio"), "make") if n else averages
+    return _top(averages, n, "preco_medio", "make") if n else averages
 
 
 def avg_price_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
     sums = sum_through(fato, modelo, "id_modelo", ["make"], _price_sums())
-    return _top(sums.select("make", _average()), n, F.desc("preco_medio"), "make")
+    return _top(sums.select("make", _average()), n, "preco_medio", "make")
 
 
 def price_range_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
@@ -148,7 +148,7 @@ def price_range_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> Data
                        {"_low": F.col("price")}, {"_high": F.col("price")})
     stats = sums.select("make", _average(), "quantidade", round_money(F.col("_low")).alias("preco_min"),
                         round_money(F.col("_high")).alias("preco_max"))
-    top = materialize(_top(stats, n, F.desc("preco_medio"), "make"), "top_makes")
+    top = materialize(_top(stats, n, "preco_medio", "make"), "top_makes")
     return top.select(
         "*",
         round_money(F.col("preco_medio") - F.col("preco_min")).alias("erro_abaixo"),
@@ -160,7 +160,7 @@ def price_range_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> Data
 def price_and_count_by_make(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
     sums = sum_through(fato, modelo, "id_modelo", ["make"], _price_sums())
     stats = sums.select(F.col("make").alias("marca"), _average(), "quantidade")
-    return _top(stats, n, F.desc("preco_medio"), "marca")
+    return _top(stats, n, "preco_medio", "marca")
 
 
 def _by_accident(fato: DataFrame, espec: DataFrame) -> DataFrame:
@@ -239,7 +239,7 @@ def box_of_top_makes(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFra
     rows = skew_join(in_range(fato).select("id_modelo", "price"), modelo.select("id_modelo", "make"), ["id_modelo"])
     counts = quantiles.value_counts_sorted(rows, "price", ["make"])
     totals = counts.groupBy("make").agg(F.sum("_n").alias("total"))
-    top = materialize(_top(totals, n, F.desc("total"), "make").select("make"), "top_makes")
+    top = materialize(_top(totals, n, "total", "make").select("make"), "top_makes")
     return distributions.box_stats_of_counts(counts.join(top, "make", "left_semi"), "price", ["make"])
 
 

@@ -41,3 +41,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's staged tables; call it when no result is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
