@@ -23,6 +23,11 @@ from stratamart.sources.readers import json_fields  # noqa: E402
 from stratamart.staging import shared_folder  # noqa: E402
 from stratamart.streaming.ingest import append_new_files  # noqa: E402
 
+try:  # the subpackage may be left out; its modules themselves swallow no import error
+    from stratamart.llm import queries as llm
+except ImportError:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Literals that mean the same on the given tables as the original ones mean on vehicles.
@@ -239,11 +244,12 @@ def queries() -> dict[str, Query]:
         "star_wide_silver": _on_lake(lambda lake: _wide(lake, "silver")),
         "star_wide_gold": _on_lake(lambda lake: _wide(lake, "dw")),
     }
-    return sources | silver_tables | gold_tables | marts_queries | chart_data | profiles | checks
+    found = sources | silver_tables | gold_tables | marts_queries | chart_data | profiles | checks
+    return found | llm.queries() if llm else found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (llm.oracle_sql() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
