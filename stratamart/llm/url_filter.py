@@ -41,7 +41,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     clean = (entries.where(F.col("kind").isin(*KINDS) & F.lower("verdict").isin(*VERDICTS) & F.col("pattern").isNotNull() & F.col("since").isNotNull())
              .select(F.concat_ws(":", "kind", pattern).alias("key"), "since", strictness.alias("_strict"))
              .groupBy("key", "since").agg(F.max("_strict").alias("_strict")))
-    sliced = clean.withColumn("_slice", F.floor(F.unix_micros("since") / F.lit(_slice_width(clean))).cast("long"))
+    sliced = clean.withColumn("_slice", F.floor(_micros("since") / F.lit(_slice_width(clean))).cast("long"))
     within = Window.partitionBy("key", "_slice").orderBy("since")
     firsts = sliced.groupBy("key", "_slice").agg(F.min("since").alias("_first"))
     firsts = firsts.withColumn("_next", F.lead("_first").over(Window.partitionBy("key").orderBy("_slice"))).drop("_first")
@@ -55,9 +55,13 @@ def path_of_pattern(column: str) -> Column:
     return F.when(inner == "", F.lit("/")).otherwise(F.concat(F.lit("/"), inner, F.lit("/")))
 
 
+def _micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
 def _slice_width(rows: DataFrame, column: str = "since") -> int:
     """Microseconds of a slice, from the first and last instant."""
-    low, high = rows.agg(F.min(F.unix_micros(column)), F.max(F.unix_micros(column))).first()
+    low, high = rows.agg(F.min(_micros(column)), F.max(_micros(column))).first()
     return max(1, ((high or 0) - (low or 0)) // SLICES + 1)
 
 
@@ -86,7 +90,7 @@ def as_of(asked: DataFrame, listed: DataFrame) -> DataFrame:
     begun = listed.select("key", F.col("since").alias("at"), F.lit(0).alias("_asks"), interval.alias("_interval"))
     none = F.lit(None).cast(begun.schema["_interval"].dataType)
     rows = begun.union(asked.select("key", "at", F.lit(1).alias("_asks"), none.alias("_interval"))).withColumn(
-        "_slice", F.floor(F.unix_micros("at") / F.lit(width)).cast("long"))
+        "_slice", F.floor(_micros("at") / F.lit(width)).cast("long"))
     earlier = Window.partitionBy("key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = rows.groupBy("key", "_slice").agg(F.max("_interval").alias("_latest")).select(
         "key", "_slice", F.last("_latest", ignorenulls=True).over(earlier).alias("_carried"))
