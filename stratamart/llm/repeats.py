@@ -30,8 +30,8 @@ from stratamart.staging import materialize
 MATCH = 50
 #: Bytes of a trigger string; every match holds MATCH - TRIGGER + 1 of them, one of which is its trigger.
 TRIGGER = 24
-#: Bytes of a chunk and phrases of a bucket; layout only.
-CHUNK, BUCKET = 1 << 21, 1 << 18
+#: Bytes of a chunk, of a segment that is parsed at a time (below 2^23), and phrases of a bucket; layout only.
+CHUNK, SEGMENT, BUCKET = 1 << 21, 1 << 20, 1 << 20
 
 _BASE, _MIX = 0x100000001B3, 0x9E3779B97F4A7C15
 _PLACE_BITS = 23
@@ -59,7 +59,7 @@ def _rolled(data: np.ndarray, length: int) -> np.ndarray:
 
 class Parse(NamedTuple):
     """Phrases in order: the first byte of the first of `count` strings of the match length, the trigger's first byte,
-    a hash of the trigger string, and the piece of text."""
+    a hash of the trigger string, and the number of the text."""
 
     first: np.ndarray
     count: np.ndarray
@@ -68,14 +68,24 @@ class Parse(NamedTuple):
     piece: np.ndarray
 
 
-def parse(data: np.ndarray, starts: np.ndarray, owned: np.ndarray, match: int = MATCH, width: int = TRIGGER) -> Parse:
-    """Parse pieces that lie one after another in `data`; piece i begins at `starts[i]` and answers for the strings
-    that begin in its first `owned[i]` bytes. A string's trigger is its leftmost `width` bytes of least hash."""
-    n = len(data) - match + 1
-    if n <= 0:
+def parse(data: np.ndarray, starts: np.ndarray, match: int = MATCH, width: int = TRIGGER) -> Parse:
+    """Parse texts that lie one after another in `data`, text i (not empty) from `starts[i]` on. A string's trigger is its
+    leftmost `width` bytes of least hash. Long data goes in segments; a phrase ends with its segment."""
+    ends = np.append(starts[1:], len(data)) - match + 1  # strings of a text begin before this
+    parts = [_parse_segment(data, at, min(at + SEGMENT, len(data) - match + 1), starts, ends, match, width)
+             for at in range(0, max(0, len(data) - match + 1), SEGMENT)]
+    if not parts:
         empty = np.empty(0, np.int64)
         return Parse(empty, empty, empty, empty.astype(np.uint64), empty)
-    hashes = _rolled(data, width)
+    first, count, trigger, hashed = (np.concatenate(c) for c in zip(*parts))
+    return Parse(first, count, trigger, hashed, np.searchsorted(starts, first, side="right") - 1)
+
+
+def _parse_segment(data: np.ndarray, begin: int, end: int, starts: np.ndarray, ends: np.ndarray, match: int,
+                   width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases of the strings that begin from `begin` to before `end`."""
+    n = end - begin
+    hashes = _rolled(data[begin:end + match - 1], width)
     place = np.uint64((1 << _PLACE_BITS) - 1)
     least = (hashes & ~place) | np.arange(len(hashes), dtype=np.uint64)
     span, size = match - width + 1, 1
@@ -85,17 +95,16 @@ def parse(data: np.ndarray, starts: np.ndarray, owned: np.ndarray, match: int =
     if size < span:
         least = np.minimum(least[:n], least[span - size:span - size + n])
     trigger = (least[:n] & place).astype(np.int64)
-    ends = np.append(starts[1:], len(data))
-    limit = np.minimum(starts + owned, ends - match + 1)  # strings of a piece begin before this
-    delta = np.zeros(n + 1, dtype=np.int32)
-    some = limit > starts
-    np.add.at(delta, starts[some], 1)
-    np.add.at(delta, limit[some], -1)
-    valid = np.cumsum(delta[:n]) > 0
+    some = (starts < end) & (ends > begin) & (ends > starts)
+    delta = np.zeros(n + 1, dtype=np.int8)
+    np.add.at(delta, np.maximum(starts[some] - begin, 0), 1)
+    np.add.at(delta, np.minimum(ends[some] - begin, n), -1)
+    valid = np.cumsum(delta[:n], dtype=np.int8) > 0
     new = np.empty(n, dtype=bool)
     new[0] = True
     new[1:] = (trigger[1:] != trigger[:-1]) | (valid[1:] != valid[:-1])
-    new[starts[starts < n]] = True
+    inside = starts[(starts >= begin) & (starts < end)] - begin
+    new[inside] = True
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, n))
     keep = valid[first]
@@ -104,68 +113,62 @@ def parse(data: np.ndarray, starts: np.ndarray, owned: np.ndarray, match: int =
     hashed = hashes[trigger] * np.uint64(_BASE | 2)  # least hashes are small numbers: spread them again
     hashed ^= hashed >> np.uint64(31)
     hashed *= np.uint64(_MIX)
-    return Parse(first, count, trigger, hashed, np.searchsorted(starts, first, side="right") - 1)
+    return first + begin, count, trigger + begin, hashed
 
 
-def chunks(docs: DataFrame, size: int = CHUNK, match: int = MATCH, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Store whole texts in compressed chunks: `chunk`, `raw` (bytes), `data`, and per piece of text `rows` (numbers the
-    input rows), `docs`, `offsets` (of the piece in its text), `owned` and `lengths`, and `others`, the columns to be carried. A longer
-    text is cut into pieces that overlap by a byte less than a match."""
+def chunks(docs: DataFrame, size: int = CHUNK, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Store whole texts in compressed chunks of about `size` bytes (a longer text is a chunk of its own): `chunk`, `raw`
+    (bytes), `data`, and per text `docs`, `lengths` and `others`, the columns to be carried."""
     rows = docs.select(key_of("doc_id").alias("_doc"), F.col("text").cast("string").alias("text"),
                        F.struct(*[F.col(c) for c in carry] or [F.lit(0).alias("none")]).alias("others"))
     others = rows.schema["others"].dataType.simpleString()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 33
+        number = TaskContext.get().partitionId() << 33
         compress = zstandard.ZstdCompressor(level=3).compress
         held: list[tuple] = []
-        raw = number = row = 0
+        raw = 0
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*held))
-            carried = pa.concat_arrays(columns[5])
-            packed = [np.array(c, dtype="<i8").tobytes() for c in columns[:4]]
+            ids, texts, kept = zip(*held)
+            carried = pa.concat_arrays(kept)
             return pa.RecordBatch.from_arrays(
-                [pa.array([base + number], pa.int64()), pa.array([raw], pa.int64()),
-                 pa.array([compress(b"".join(columns[4]))], pa.binary()), *(pa.array([p], pa.binary()) for p in packed),
-                 pa.array([np.array([len(d) for d in columns[4]], dtype="<i8").tobytes()], pa.binary()),
+                [pa.array([number], pa.int64()), pa.array([raw], pa.int64()), pa.array([compress(b"".join(texts))], pa.binary()),
+                 pa.array([_packed(ids)], pa.binary()), pa.array([_packed(list(map(len, texts)))], pa.binary()),
                  pa.ListArray.from_arrays(pa.array([0, len(carried)], pa.int32()), carried)],
-                ["chunk", "raw", "data", "rows", "docs", "offsets", "owned", "lengths", "others"])
+                ["chunk", "raw", "data", "docs", "lengths", "others"])
 
         for batch in batches:
             for i, (doc, text) in enumerate(zip(batch.column("_doc").to_pylist(), batch.column("text").to_pylist())):
-                own = batch.column("others").slice(i, 1)
-                whole = (text or "").encode("utf-8", "surrogatepass")
-                for offset in range(0, max(1, len(whole)), size):
-                    piece = whole[offset:offset + size + match - 1]
-                    if held and raw + len(piece) > size + match:
-                        yield flush()
-                        held, raw, number = [], 0, number + 1
-                    held.append((base + row, doc, offset, size, piece, own))
-                    raw += len(piece)
-                row += 1
+                data = (text or "").encode("utf-8", "surrogatepass")
+                if held and raw + len(data) > size:
+                    yield flush()
+                    held, raw, number = [], 0, number + 1
+                held.append((doc, data, batch.column("others").slice(i, 1)))
+                raw += len(data)
         if held:
             yield flush()
 
     return materialize(rows.mapInArrow(
-        gather, "chunk long, raw long, data binary, rows binary, docs binary, offsets binary, owned binary, lengths binary, "
-                f"others array<{others}>"), "chunks")
+        gather, f"chunk long, raw long, data binary, docs binary, lengths binary, others array<{others}>"), "chunks")
+
+
+def _packed(numbers) -> bytes:
+    return np.array(numbers, dtype="<i8").tobytes()
 
 
 class _Chunk:
     """A chunk's text, its parse, and its phrases numbered by bucket and trigger."""
 
     def __init__(self, values: dict, bits: int, match: int, width: int) -> None:
-        self.lengths, self.rows, self.docs, self.offsets, self.owned = (
-            np.frombuffer(values[c], dtype="<i8") for c in ("lengths", "rows", "docs", "offsets", "owned"))
-        raw = zstandard.ZstdDecompressor().decompress(values["data"], max_output_size=max(1, int(values["raw"])))
-        self.data = np.frombuffer(raw, dtype=np.uint8)
-        self.raw = raw
+        self.docs, self.lengths = (np.frombuffer(values[c], dtype="<i8") for c in ("docs", "lengths"))
+        self.raw = zstandard.ZstdDecompressor().decompress(values["data"], max_output_size=max(1, int(values["raw"])))
+        self.data = np.frombuffer(self.raw, dtype=np.uint8)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.match = match
-        # Empty pieces share their start with the next piece; they have no strings.
+        # Empty texts share their start with the next one; they have no strings.
         full = np.flatnonzero(self.lengths > 0)
-        self.parse = parse(self.data, self.starts[full], self.owned[full], match, width)
+        self.parse = parse(self.data, self.starts[full], match, width)
         self.piece = full[self.parse.piece] if len(full) else self.parse.piece
         self.kinds, self.kind = np.unique(self.parse.hash, return_inverse=True)
         self.bucket = (self.kinds >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(self.kinds), np.int64)
@@ -177,8 +180,8 @@ class _Chunk:
             yield bucket, slice(a, b)
 
     def several(self) -> np.ndarray:
-        """Which triggers occur in more than one row of the chunk."""
-        row = self.rows[self.piece]
+        """Which triggers occur in more than one text of the chunk."""
+        row = self.piece
         low = np.full(len(self.kinds), np.iinfo(np.int64).max)
         high = np.full(len(self.kinds), np.iinfo(np.int64).min)
         np.minimum.at(low, self.kind, row)
@@ -206,7 +209,7 @@ def _low(kinds: np.ndarray) -> np.ndarray:
 
 
 def _shared_in_bucket(group: pd.DataFrame) -> pd.DataFrame:
-    """Per chunk, which of its triggers occur in another row. Only their low bits are compared: a clash adds a candidate."""
+    """Per chunk, which of its triggers occur in another text. Only their low bits are compared: a clash adds a candidate."""
     parts = [np.frombuffer(b, dtype="<u4") for b in group["low"]]
     marked = [np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=len(p)).astype(bool) for b, p in zip(group["several"], parts)]
     values, inverse, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
@@ -256,6 +259,7 @@ def _bits_of_bucket(match: int, width: int):
         known: dict[bytes, int] = {}
         of, docs = [], []
         for data, sizes, smallest in zip(group["phrases"], group["sizes"], group["smallest"]):
+            data, smallest = zstandard.decompress(data), zstandard.decompress(smallest)
             ends = np.cumsum(np.frombuffer(sizes, dtype=np.uint8).astype(np.int64))
             of.append([known.setdefault(data[a:b], len(known)) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())])
             docs.append(np.frombuffer(smallest, dtype="<i8"))
@@ -300,7 +304,7 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
     smaller than each other, so neither loses bytes to the other. Texts shorter than a match lose nothing; empty tables
     give empty results; other columns are ignored.
     """
-    whole = chunks(docs, chunk_bytes, match, carry)
+    whole = chunks(docs, chunk_bytes, carry)
     store = whole.drop("others")
     raw = store.agg(F.sum("raw")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, raw / ((match - width + 2) / 2) / bucket_phrases))))
@@ -325,6 +329,7 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
     masks = sent.groupBy("bucket").applyInPandas(_shared_in_bucket, "chunk long, bucket long, mask binary")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
         for values, chunk in rows_of(batches):
             shared, by_bucket = _shared_kinds(chunk, values["answers"])
             found, number, at, smallest = chunk.phrases(shared)
@@ -338,9 +343,9 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _, _ in out], pa.int64()), pa.array([values["chunk"]] * len(out), pa.int64()),
                  pa.array([by_bucket[b]["mask"] for b, _, _ in out], pa.binary()),
-                 pa.array([b"".join(phrases[x:y]) for _, x, y in out], pa.binary()),
+                 pa.array([compress(b"".join(phrases[x:y])) for _, x, y in out], pa.binary()),
                  pa.array([bytes(map(len, phrases[x:y])) for _, x, y in out], pa.binary()),
-                 pa.array([smallest[x:y].astype("<i8").tobytes() for _, x, y in out], pa.binary())],
+                 pa.array([compress(_packed(smallest[x:y])) for _, x, y in out], pa.binary())],
                 ["bucket", "chunk", "mask", "phrases", "sizes", "smallest"])
 
     dictionary = _per_chunk(store, masks, "mask").mapInArrow(
@@ -348,19 +353,19 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
     answers = dictionary.groupBy("bucket").applyInPandas(
         _bits_of_bucket(match, width), "chunk long, bucket long, mask binary, bits binary")
 
+    others = whole.schema["others"].dataType.elementType
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), to_arrow_type(others)]
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for values, chunk in rows_of(batches):
-            pieces = _pieces(chunk, _marked(chunk, values["answers"]))
-            others = pa.array(values["others"], kind)
-            yield pa.RecordBatch.from_arrays([*pieces.columns, others], [*pieces.schema.names, "others"])
+            rows = _results(chunk, _marked(chunk, values["answers"]), values["others"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                             ["doc", "n_bytes", "spans", "kept", "others"])
 
-    others = whole.schema["others"].dataType.elementType
-    kind = to_arrow_type(others)
-    schema = ("row long, doc long, offset long, own long, starts array<long>, ends array<long>, data binary, "
-              f"others {others.simpleString()}")
-    pieces = _per_chunk(whole, materialize(answers, "repeat_answers"), "mask", "bits").mapInArrow(remove, schema)
-    result = _assembled(materialize(pieces, "repeat_pieces"), others.simpleString(), kind)
-    return result.select("doc_id", "n_bytes", "spans", "kept", *[F.col(f"others.`{c}`").alias(c) for c in carry if c != "doc_id"])
+    schema = f"doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, others {others.simpleString()}"
+    result = _per_chunk(whole, materialize(answers, "repeat_answers"), "mask", "bits").mapInArrow(remove, schema)
+    return result.select(id_of("doc").alias("doc_id"), "n_bytes", "spans", "kept",
+                         *[F.col(f"others.`{c}`").alias(c) for c in carry if c != "doc_id"])
 
 
 def without_passages(docs: DataFrame, match: int = MATCH) -> DataFrame:
@@ -404,65 +409,20 @@ def _marked(chunk: _Chunk, answers: list[dict] | None) -> np.ndarray:
     return (np.repeat(chunk.parse.first[at], count) + within)[hit]
 
 
-def _pieces(chunk: _Chunk, marked: np.ndarray) -> pa.RecordBatch:
-    """Per piece of text its bytes (without the overlap) and the removed spans, in bytes of the whole text; a span may
-    reach into the next piece."""
-    delta = np.zeros(len(chunk.data) + chunk.match + 1, dtype=np.int32)
+def _results(chunk: _Chunk, marked: np.ndarray, others: list[dict]) -> list[tuple]:
+    """Per text its document, bytes, removed spans, remaining bytes and carried columns."""
+    delta = np.zeros(len(chunk.data) + chunk.match + 1, dtype=np.int16)
     np.add.at(delta, marked, 1)
     np.add.at(delta, marked + chunk.match, -1)
-    covered = np.cumsum(delta)[:len(chunk.data)] > 0
-    columns: list[list] = [[] for _ in range(7)]
-    for i, (start, length) in enumerate(zip(chunk.starts.tolist(), chunk.lengths.tolist())):
+    covered = np.cumsum(delta, dtype=np.int16)[:len(chunk.data)] > 0
+    out = []
+    for doc, start, length, other in zip(chunk.docs.tolist(), chunk.starts.tolist(), chunk.lengths.tolist(), others):
         edge = np.diff(np.concatenate(([0], covered[start:start + length].astype(np.int8), [0])))
-        offset, own = int(chunk.offsets[i]), min(int(chunk.owned[i]), length)
-        for column, value in zip(columns, (int(chunk.rows[i]), int(chunk.docs[i]), offset, own,
-                                           np.flatnonzero(edge == 1) + offset, np.flatnonzero(edge == -1) + offset,
-                                           chunk.raw[start:start + own])):
-            column.append(value)
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                      ["row", "doc", "offset", "own", "starts", "ends", "data"])
-
-
-def _joined(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans merged where they overlap or touch."""
-    order = np.argsort(starts, kind="stable")
-    starts, ends = starts[order], np.maximum.accumulate(ends[order])
-    new = np.concatenate(([True], starts[1:] > ends[:-1])) if len(starts) else np.empty(0, bool)
-    return starts[new], ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)] if len(starts) else ends
-
-
-def _result(doc: int, data: bytes, starts: np.ndarray, ends: np.ndarray, others: dict) -> tuple:
-    parts, at = [], 0
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        parts.append(data[at:a])
-        at = b
-    parts.append(data[at:])
-    return doc, len(data), [{"start": a, "end": b} for a, b in zip(starts.tolist(), ends.tolist())], b"".join(parts), others
-
-
-def _assembled(pieces: DataFrame, others: str, kind: pa.DataType) -> DataFrame:
-    """One row per text. Only texts cut into several pieces are brought together."""
-    names = ["doc", "n_bytes", "spans", "kept", "others"]
-    schema = f"doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, others {others}"
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), kind]
-
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [_result(d, t, np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), o) for d, t, a, b, o in zip(
-                *(batch.column(c).to_pylist() for c in ("doc", "data", "starts", "ends", "others")))]
-            columns = zip(*rows) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    def several(group: pa.Table) -> pa.Table:
-        group = group.sort_by("offset")
-        starts = np.concatenate([np.array(x, dtype=np.int64) for x in group.column("starts").to_pylist()])
-        ends = np.concatenate([np.array(x, dtype=np.int64) for x in group.column("ends").to_pylist()])
-        row = _result(group.column("doc")[0].as_py(), b"".join(group.column("data").to_pylist()), *_joined(starts, ends),
-                      group.column("others")[0].as_py())
-        return pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
-
-    long_rows = pieces.where("offset > 0").select("row").distinct()
-    alone = pieces.join(long_rows, "row", "left_anti").mapInArrow(single, schema)
-    cut = pieces.join(long_rows, "row", "left_semi").groupBy("row").applyInArrow(several, schema)
-    return alone.union(cut).select(id_of("doc").alias("doc_id"), "n_bytes", "spans", "kept", "others")
+        data, parts, spans, at = chunk.raw[start:start + length], [], [], 0
+        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            parts.append(data[at:a])
+            spans.append({"start": a, "end": b})
+            at = b
+        parts.append(data[at:])
+        out.append((doc, length, spans, b"".join(parts), other))
+    return out
