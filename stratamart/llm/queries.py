@@ -22,11 +22,11 @@ FOLDS, HELD_OUT = 3, 1
 
 
 def byte_encoding() -> Encoding:
-    return Encoding(public_tokenizers.path("byte_bpe_50k.json"), " ", 0)
+    return Encoding(public_tokenizers.path("byte_bpe_50k.json"), " ", 0, 50_257)
 
 
 def word_encoding() -> Encoding:
-    return Encoding(public_tokenizers.path("word_bpe_49k.json"), "", 1)
+    return Encoding(public_tokenizers.path("word_bpe_49k.json"), "", 1, 49_408)
 
 
 def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 File format, all numbers little-endian. A record is: length of the payload (8 bytes), masked CRC-32C of
 those 8 bytes (4), payload, masked CRC-32C of the payload (4). The payload is a document's ids as unsigned
-32-bit integers. The mask rotates the checksum right by 15 bits and adds 0xA282EAD8.
+16-bit integers where the vocabulary allows it, else 32-bit; the index says which. The mask rotates the checksum
+right by 15 bits and adds 0xA282EAD8.
 """
 
 from __future__ import annotations
@@ -42,12 +43,17 @@ def _tables() -> tuple[np.ndarray, list[list[int]]]:
 
 
 def crc32c(data: bytes) -> int:
-    """CRC-32C of at least four bytes.
+    """CRC-32C.
 
     The checksum of a block is the exclusive or of what each byte adds, looked up for all bytes at once; the
     checksum so far acts as if it were added to the next block's first four bytes. Zeros in front add nothing.
     """
     places, (first, second, third, fourth) = _tables()
+    if len(data) < 4:  # too short to add the start value to
+        crc = 0xFFFFFFFF
+        for byte in data:
+            crc = (crc >> 8) ^ int(places[-1][(crc ^ byte) & 0xFF])
+        return crc ^ 0xFFFFFFFF
     blocks = np.zeros((-(-len(data) // _BLOCK), _BLOCK), dtype=np.uint8)
     flat = blocks.reshape(-1)
     start = len(flat) - len(data)
@@ -83,7 +89,7 @@ def unframe(record: bytes) -> bytes:
 
 def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> DataFrame:
     """Encode every text and write the ids in ascending doc_id order; returns the stored offset index:
-    `doc_id`, `file`, `offset`, `bytes` of the record, `start` (ids of all documents before it), `n_tokens`.
+    `doc_id`, `file`, `offset`, `bytes` of the record, `id_bytes`, `start` (ids of all documents before it), `n_tokens`.
 
     Each task writes one file per range of ids under a name of its own and hands on its index rows. Only
     files that the index names belong to the result, so a repeated or lost task leaves no trace in it. The
@@ -93,6 +99,7 @@ def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> Dat
     are written one after another. An empty table gives an empty index. Other columns are ignored.
     """
     spark = docs.sparkSession
+    kind = f"<u{encoding.id_bytes}"
     target = folder or f"{shared_folder(spark)}/records-{uuid.uuid4().hex}"
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +111,7 @@ def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> Dat
                 out = filesystem.open_output_stream(f"{base}/{name}")
             offsets, sizes, starts, counts = [], [], [], []
             for blob in blobs:
-                record = frame(blob)
+                record = frame(np.frombuffer(blob, dtype="<u4").astype(kind).tobytes())
                 out.write(record)
                 offsets.append(offset)
                 sizes.append(len(record))
@@ -129,7 +136,7 @@ def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> Dat
     bases = files.select("file", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_base"))
     return local.join(bases, "file").select(
         id_of("_doc").alias("doc_id"), F.concat(F.lit(f"{target}/"), "file").alias("file"), "offset", "bytes",
-        (F.col("_base") + F.col("_before")).alias("start"), "n_tokens")
+        F.lit(encoding.id_bytes).alias("id_bytes"), (F.col("_base") + F.col("_before")).alias("start"), "n_tokens")
 
 
 def read(index: DataFrame) -> DataFrame:
@@ -160,7 +167,8 @@ def read(index: DataFrame) -> DataFrame:
                         filesystem, path = fs.FileSystem.from_uri(name)
                         open_files[name] = filesystem.open_input_file(path)
                     open_files[name].seek(rows["offset"][i])
-                    blobs.append(unframe(open_files[name].read(rows["bytes"][i])))
+                    payload = unframe(open_files[name].read(rows["bytes"][i]))
+                    blobs.append(np.frombuffer(payload, dtype=f"<u{rows['id_bytes'][i]}").astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays([*batch.take(pa.array(some)).columns, pa.array(blobs, pa.binary())],
                                                  [*kept, "ids"])
                 at = stop

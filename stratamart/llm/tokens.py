@@ -8,20 +8,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words remembered per worker (about 60 MB); when full, the memory starts anew. Speed only.
+#: Words remembered per worker and generation, two of which are held (about 100 MB each). Speed only.
 MEMORY = 400_000
 #: Texts encoded together, by number and by characters.
-TEXTS, CHARS = 512, 1 << 21
+TEXTS, CHARS = 4096, 1 << 22
 
 
 @dataclass(frozen=True)
 class Encoding:
-    """A tokenizer file, the text put before a word that follows a space, and the id that ends a document."""
+    """A tokenizer file, the text put before a word that follows a space, the id that ends a document, and the
+    number of ids there are."""
 
     path: str
     before_word: str
     end: int
+    vocabulary: int
+
+    @property
+    def id_bytes(self) -> int:
+        """Bytes that hold any id."""
+        return 2 if self.vocabulary <= 1 << 16 else 4
 
 
 @lru_cache(maxsize=4)
@@ -33,8 +41,9 @@ class _Encoder:
     """Encodes texts word by word where that is exact, else whole.
 
     A single space between two characters that are no white space always parts tokens (the space goes
-    to the following word, or away), so the words at single spaces are encoded once each and looked up.
-    A text with any other white space beside a space is encoded whole.
+    to the following word, or away), so the words at single spaces are encoded once each and looked up; so
+    are the parts into which the tokenizer splits words. A text with any other white space beside a space, or
+    with a special token's text, is encoded whole.
     """
 
     def __init__(self, path: str, before_word: str) -> None:
@@ -45,40 +54,85 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.before_word = before_word
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, words: list[str]) -> list[bytes]:
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts as the tokenizer splits words."""
+        if len(self.parts) > MEMORY:
+            self.parts = {}
+        ids = list(map(self.parts.get, parts))
+        if None in ids:
+            known, tokenize = self.parts, self.tokenizer.model.tokenize
+            for i, found in enumerate(ids):
+                if found is None:
+                    part = parts[i]
+                    found = known.get(part)
+                    if found is None:
+                        found = known[part] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(part)])
+                    ids[i] = found
+        return ids
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember words that hold no white space at an end: split all at once, encode the new parts."""
         if not words:
-            return []
-        encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoded.ids, dtype="<u4").tobytes()
-        of = np.array(encoded.word_ids, dtype=np.int64)
-        ends = (4 * np.cumsum(np.bincount(of, minlength=len(words)))).tolist()
-        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+            return
+        normalizer = self.tokenizer.normalizer
+        normal = words if normalizer is None else list(map(normalizer.normalize_str, words))
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + " ".join(normal))
+        sizes = np.fromiter(map(len, normal), dtype=np.int64, count=len(normal)) + 1
+        begins = np.fromiter((at for _, (at, _) in split), dtype=np.int64, count=len(split))
+        edges = np.searchsorted(begins, np.cumsum(sizes) - sizes).tolist()
+        ids = self._parts([part for part, _ in split])
+        self.words.update((w, ids[a] if b == a + 1 else b"".join(ids[a:b])) for w, a, b in zip(words, edges, [*edges[1:], len(ids)]))
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _known(self, words: list[str]) -> list[bytes | None]:
+        """The ids of distinct words; None for those that must not be taken out of their text."""
+        if len(self.words) > MEMORY:
+            self.words, self.earlier = {}, self.words
+        ids = list(map(self.words.get, words))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        earlier, new = self.earlier, []
+        for i in missing:
+            word = words[i]
+            found = earlier.get(word)
+            if found is not None:
+                self.words[word] = found
+            elif word and word.strip() == word:
+                new.append(word)
+        self._learn(new)
+        for i in missing:
+            ids[i] = self.words.get(words[i])
+        return ids
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > MEMORY:
-            self.known = {}
-        known, split, new = self.known, [t.split(" ") for t in texts], set()
-        found = []
-        for words in split:
-            ids = list(map(known.get, words))
-            if None in ids:
-                new.update([w for w, i in zip(words, ids) if i is None])
-            found.append(ids)
-        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        known.update(zip(plain, self._ids([self.before_word + w for w in plain])))
-        fits = [None not in ids or all(w in known for w in words) for words, ids in zip(split, found)]
-        heads = iter(self._ids([words[0] for words, ok in zip(split, fits) if ok]))
-        out = []
-        for text, words, ids, ok in zip(texts, split, found, fits):
-            if not ok:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
-                continue
-            if None in ids:
-                ids = list(map(known.get, words))
-            ids[0] = next(heads)
-            out.append(b"".join(ids))
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        distinct = split.values.dictionary_encode()
+        ids = self._known(distinct.dictionary.to_pylist())
+        at = distinct.indices.to_numpy().astype(np.int64)
+        offsets = split.offsets.to_numpy()
+        heads = [self._whole(t.split(" ", 1)[0]) for t in texts]  # no space stands before these
+        at[offsets[:-1]] = len(ids) + np.arange(len(heads))
+        odd = np.array([found is None for found in [*ids, *heads]])
+        ids = [found or b"" for found in ids] + heads
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        starts = np.cumsum(sizes) - sizes
+        count = sizes[at]
+        ends = np.cumsum(count)
+        every = flat[np.repeat(starts[at] - (ends - count), count) + np.arange(ends[-1])].tobytes()
+        edges = (4 * np.concatenate(([0], ends))[offsets]).tolist()
+        out = [every[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        whole = set((np.searchsorted(offsets, np.flatnonzero(odd[at]), side="right") - 1).tolist())
+        for special in self.special:
+            whole.update(i for i, text in enumerate(texts) if special in text)
+        for i in whole:
+            out[i] = self._whole(texts[i])
         return out
 
 
