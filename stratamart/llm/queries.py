@@ -26,7 +26,7 @@ def byte_encoding() -> Encoding:
 
 
 def word_encoding() -> Encoding:
-    return Encoding(public_tokenizers.path("word_bpe_49k.json"), "", 1, 49_408)
+    return Encoding(public_tokenizers.path("word_bpe_49k.json"), "", 1, 49_408, True)
 
 
 def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,12 +19,13 @@ TEXTS, CHARS = 4096, 1 << 22
 @dataclass(frozen=True)
 class Encoding:
     """A tokenizer file, the text put before a word that follows a space, the id that ends a document, and the
-    number of ids there are."""
+    number of ids there are. `spaced` says that the tokenizer takes a new line for a space."""
 
     path: str
     before_word: str
     end: int
     vocabulary: int
+    spaced: bool = False
 
     @property
     def id_bytes(self) -> int:
@@ -33,8 +34,8 @@ class Encoding:
 
 
 @lru_cache(maxsize=4)
-def _encoder(path: str, before_word: str) -> _Encoder:
-    return _Encoder(path, before_word)
+def _encoder(path: str, before_word: str, spaced: bool) -> _Encoder:
+    return _Encoder(path, before_word, spaced)
 
 
 class _Encoder:
@@ -46,7 +47,7 @@ class _Encoder:
     with a special token's text, is encoded whole.
     """
 
-    def __init__(self, path: str, before_word: str) -> None:
+    def __init__(self, path: str, before_word: str, spaced: bool = False) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
@@ -54,6 +55,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.before_word = before_word
+        self.spaced = spaced
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
@@ -79,8 +81,11 @@ class _Encoder:
         """Remember words that hold no white space at an end: split all at once, encode the new parts."""
         if not words:
             return
-        normalizer = self.tokenizer.normalizer
-        normal = words if normalizer is None else list(map(normalizer.normalize_str, words))
+        normal, normalizer = words, self.tokenizer.normalizer
+        if normalizer is not None:
+            normal = normalizer.normalize_str(" ".join(words)).split(" ")
+            if len(normal) != len(words):  # some hold white space
+                normal = list(map(normalizer.normalize_str, words))
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + " ".join(normal))
         sizes = np.fromiter(map(len, normal), dtype=np.int64, count=len(normal)) + 1
         begins = np.fromiter((at for _, (at, _) in split), dtype=np.int64, count=len(split))
@@ -111,12 +116,13 @@ class _Encoder:
         return ids
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        lines = [t.replace("\n", " ") for t in texts] if self.spaced else texts
+        split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
         distinct = split.values.dictionary_encode()
         ids = self._known(distinct.dictionary.to_pylist())
         at = distinct.indices.to_numpy().astype(np.int64)
         offsets = split.offsets.to_numpy()
-        heads = [self._whole(t.split(" ", 1)[0]) for t in texts]  # no space stands before these
+        heads = [self._whole(t.split(" ", 1)[0]) for t in lines]  # no space stands before these
         at[offsets[:-1]] = len(ids) + np.arange(len(heads))
         odd = np.array([found is None for found in [*ids, *heads]])
         ids = [found or b"" for found in ids] + heads
@@ -139,7 +145,7 @@ class _Encoder:
 def encoded(batches: Iterator[pa.RecordBatch], encoding: Encoding) -> Iterator[tuple[list, list[bytes]]]:
     """Ids and token ids with the end id, batch by batch, of rows whose first column is `doc_id` and which have a
     `text`. A null text is empty: the end id alone."""
-    encode = _encoder(encoding.path, encoding.before_word)
+    encode = _encoder(encoding.path, encoding.before_word, encoding.spaced)
     end = np.array([encoding.end], dtype="<u4").tobytes()
     for batch in batches:
         texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
