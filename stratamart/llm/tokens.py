@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words remembered per worker and generation, two of which are held (about 100 MB each). Speed only.
-MEMORY = 400_000
+#: Words remembered per worker and generation, two of which are held, and parts of words (about 150 bytes each). Speed only.
+MEMORY, PARTS = 250_000, 150_000
 #: Texts encoded together, by number and by characters.
-TEXTS, CHARS = 4096, 1 << 22
+TEXTS, CHARS = 2048, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ class _Encoder:
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         """The ids of parts as the tokenizer splits words."""
-        if len(self.parts) > MEMORY:
+        if len(self.parts) > PARTS:
             self.parts = {}
         ids = list(map(self.parts.get, parts))
         if None in ids:
