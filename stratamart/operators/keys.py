@@ -18,8 +18,8 @@ def dense_key(df: DataFrame, key: str, order_by: list[str] | tuple[str, ...] | N
     they lie and nothing is shuffled, so repeated rows cannot pile up in one task.
 
     Partition and position are stored with the rows, so the per-partition counts and the final
-    keys come from one execution whatever is retried. Only one count per written partition is
-    broadcast; their number is that of the write's tasks, not of the rows. A stored Parquet table
+    keys come from one execution whatever is retried. One count per written partition is joined
+    back; their number is that of the write's tasks, not of the rows. A stored Parquet table
     is numbered more cheaply by `file_key`.
     """
     ordered = df
@@ -49,9 +49,9 @@ def located_key(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _numbered(rows: DataFrame, key: str, part: str, position: str) -> DataFrame:
-    """Add 1 + position + rows in earlier parts; one count per part is broadcast."""
+    """Add 1 + position + rows in earlier parts; Spark joins the counts, one per part, by their size."""
     counts = rows.groupBy(F.col(part).alias("_of")).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_of", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    return rows.join(F.broadcast(offsets), F.col(part) == F.col("_of")).withColumn(
+    return rows.join(offsets, F.col(part) == F.col("_of")).withColumn(
         key, F.col("_offset") + F.col(position) + 1)

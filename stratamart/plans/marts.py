@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratamart.functions.columns import price_band, ratio, round_money, short_label, vehicle_name
 from stratamart.operators import distributions, pivots, quantiles
@@ -18,6 +18,7 @@ from stratamart.operators.skew import skew_join, sum_through
 from stratamart.sources.lake import run_sql
 from stratamart.staging import materialize
 
+# The range and the bands of the price that the queries are asked with.
 PRICE_RANGE = (20000, 500000)
 BANDS = ("Barato", "Caro", "Médio")
 
@@ -28,15 +29,14 @@ def _top(df: DataFrame, n: int, largest: str, *ties: str) -> DataFrame:
     return df.orderBy(F.desc(largest), *ties, *[c for c in df.columns if c not in named]).limit(n)
 
 
-def leading_rows(fact: DataFrame, measure: str, n: int) -> DataFrame:
-    """The rows whose measure is among the `n` largest, all ties at the edge included.
+def best_per_key(fact: DataFrame, key: str, measure: str, n: int) -> DataFrame:
+    """The `n` rows of largest measure of every key (nulls last), so that joining, ordering and limiting to `n` may follow.
 
-    The edge is found on the fact alone (one row per task reaches the merge), and the few leading
-    rows are staged: dimensions are then joined to a small table instead of the whole fact. Rows
-    must have their dimension rows, as `foreign_key_check` verifies.
+    Rows of one key meet the same dimension row or none, so no other row can be among the first `n` after
+    the join, whatever keys are missing there. Spark cuts to `n` per key before the shuffle, which splits hot keys.
     """
-    edge = fact.orderBy(F.desc(measure)).limit(n).agg(F.min(measure)).scalar()
-    return materialize(fact.where(F.col(measure) >= edge), "leading_rows")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc_nulls_last(measure)))
+    return fact.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
 # --- counts and global statistics -------------------------------------------------------------
@@ -59,12 +59,12 @@ def top_makes(fato: DataFrame, modelo: DataFrame, key: str = "id_modelo", n: int
 def price_between(fato: DataFrame, modelo: DataFrame, low: float = PRICE_RANGE[0], high: float = PRICE_RANGE[1],
                   n: int = 10) -> DataFrame:
     rows = fato.where(F.col("price").between(low, high)).select("id_modelo", "price")
-    listed = leading_rows(rows, "price", n).join(modelo, "id_modelo").select("make", "model", "price")
+    listed = best_per_key(rows, "id_modelo", "price", n).join(modelo, "id_modelo").select("make", "model", "price")
     return _top(listed, n, "price", "make", "model")
 
 
 def most_expensive(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
-    listed = leading_rows(fato.select("id_modelo", "price"), "price", n).join(modelo, "id_modelo")
+    listed = best_per_key(fato.select("id_modelo", "price"), "id_modelo", "price", n).join(modelo, "id_modelo")
     return _top(listed.select("body_type", "make", "model", "price"), n, "price", "body_type", "make", "model")
 
 
@@ -93,9 +93,8 @@ def accident_class(fato: DataFrame, modelo: DataFrame, espec: DataFrame, value:
                    n: int = 10) -> DataFrame:
     classed = espec.where(F.col("accident_history") == value).select("id_especificacao", "accident_history")
     rows = skew_join(fato.select("id_especificacao", "id_modelo", "price"), classed, ["id_especificacao"])
-    stored = materialize(rows.select("id_modelo", "price", "accident_history"), "classed_rows")
-    leading = leading_rows(stored, "price", n)
-    listed = leading.join(modelo, "id_modelo").select("make", "model", "price", "accident_history")
+    best = best_per_key(rows.select("id_modelo", "price", "accident_history"), "id_modelo", "price", n)
+    listed = best.join(modelo, "id_modelo").select("make", "model", "price", "accident_history")
     return _top(listed, n, "price", "make", "model")
 
 
@@ -232,11 +231,12 @@ def price_summary(rows: DataFrame) -> DataFrame:
 
 
 def box_of_top_makes(fato: DataFrame, modelo: DataFrame, n: int = 10) -> DataFrame:
-    """Box statistics, within the price range, of the `n` makes with most rows there.
+    """Box statistics, within the price range, of the `n` makes with most rows there; rows without a make do not rank.
 
     The star is joined once, for the copies per make and price; ranking and boxes work on those.
     """
-    rows = skew_join(in_range(fato).select("id_modelo", "price"), modelo.select("id_modelo", "make"), ["id_modelo"])
+    named = modelo.where(F.col("make").isNotNull()).select("id_modelo", "make")
+    rows = skew_join(in_range(fato).select("id_modelo", "price"), named, ["id_modelo"])
     counts = quantiles.value_counts_sorted(rows, "price", ["make"])
     totals = counts.groupBy("make").agg(F.sum("_n").alias("total"))
     top = materialize(_top(totals, n, "total", "make").select("make"), "top_makes")
