@@ -148,13 +148,13 @@ def encoded(batches: Iterator[pa.RecordBatch], encoding: Encoding) -> Iterator[t
     encode = _encoder(encoding.path, encoding.before_word, encoding.spaced)
     end = np.array([encoding.end], dtype="<u4").tobytes()
     for batch in batches:
-        texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
-        ids = batch.column(0).to_pylist()
+        ids, column = batch.column(0).to_pylist(), batch.column("text")
+        chars = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
-        while at < len(texts):
-            stop, chars = at, 0
-            while stop < len(texts) and stop - at < TEXTS and (chars < CHARS or stop == at):
-                chars += len(texts[stop])
-                stop += 1
-            yield ids[at:stop], [b + end for b in encode(texts[at:stop])]
+        while at < len(ids):
+            before = chars[at - 1] if at else 0
+            stop = max(at + 1, min(at + TEXTS, int(np.searchsorted(chars, before + CHARS, side="right"))))
+            texts = [t or "" for t in column.slice(at, stop - at).to_pylist()]
+            yield ids[at:stop], [b + end for b in encode(texts)]
             at = stop
+        pa.default_memory_pool().release_unused()
