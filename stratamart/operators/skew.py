@@ -89,7 +89,8 @@ def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", nu
 
     frequent = materialize(keyed.where(side_hash.isin(hot)), "frequent_keys")
     frequent = frequent.select(F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in frequent.columns])
-    marked = rows.join(frequent, meet(rows, frequent, [f"_hot_{n}" for n in names]), "left")
+    # At most _MOST_FREQUENT rows, since the keys of `side` are unique.
+    marked = rows.join(F.broadcast(frequent), meet(rows, frequent, [f"_hot_{n}" for n in names]), "left")
     is_hot = row_hash.isin(hot)
     if how == "inner":
         marked = marked.where(~is_hot | F.col("_hot").isNotNull())

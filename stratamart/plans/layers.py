@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratamart import schemas
+from stratamart import schemas, staging
 from stratamart.functions.cleaning import fill_missing
 from stratamart.operators.keys import dense_key, file_key, located_key
 from stratamart.operators.star import (
     build_dimension, drop_orphans, fact_rows, missing_keys, rekey_dimension, remap_fact, surrogate_map,
 )
 from stratamart.sources import listings
-from stratamart.sources.lake import Lake, write_csv, write_json
+from stratamart.sources.lake import MODES, Lake, write_csv, write_json
 from stratamart.sources.readers import read_flat
-from stratamart.staging import shared_folder
 
 SILVER_STAR = ("dim_modelo", "dim_especificacao", "fato_veiculo")
 GOLD_STAR = ("dim_modelo", "dim_condicao", "dim_cor", "fato_veiculo")
@@ -21,15 +22,32 @@ SHORT_LAYER = "dw_short"
 SHORT_STAR = {"dim_cor": "dim_cor", "dim_condicao": "dim_con", "dim_modelo": "dim_mdl", "fato_veiculo": "fat_vcl"}
 
 
+def _load_mode(mode: str, allowed: tuple[str, ...] = MODES) -> None:
+    if mode not in allowed:
+        raise ValueError(f"load mode {mode!r} is none of {allowed}")
+
+
+# A star is rebuilt whole: its keys are ranks, which change with the rows.
+_STAR_MODES = ("overwrite", "skip_if_loaded")
+
+
+def _continued(lake: Lake, layer: str, table: str, keyed: DataFrame, key: str, mode: str) -> DataFrame:
+    """Keys that go on after the largest stored one when rows are appended."""
+    last = lake.last_key(layer, table, key) if mode == "append" else 0
+    return keyed.withColumn(key, F.col(key) + last) if last else keyed
+
+
 def load_flat(lake: Lake, source: DataFrame, mode: str = "overwrite", csv_path: str | None = None,
               fills: dict[str, object] | None = None) -> DataFrame:
     """Rows of `read_flat` to the flat clean table (and its CSV export).
 
     Every row is kept, outliers included.
     """
+    _load_mode(mode)
     if mode == "skip_if_loaded" and lake.is_loaded("silver", "veiculo"):
         return lake.read("silver", "veiculo")
     keyed = dense_key(fill_missing(source.select(*schemas.LISTING_COLUMNS), fills), "id")
+    keyed = _continued(lake, "silver", "veiculo", keyed, "id", mode)
     table = lake.write("silver", "veiculo", keyed.select("id", *schemas.LISTING_COLUMNS), mode)
     if csv_path:
         write_csv(table.drop("id"), csv_path, "overwrite")
@@ -40,8 +58,10 @@ def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_n
                 fills: dict[str, object] | None = None) -> DataFrame:
     """Rows of `read_flat` to bronze: nulls filled, rows numbered, ingestion time and source file recorded.
 
-    Located rows are numbered by their place in the files, others by way of a staged copy.
+    Located rows are numbered by their place in the files, others by way of a staged copy. Appended rows
+    continue the numbers of the stored ones.
     """
+    _load_mode(mode)
     if mode == "skip_if_loaded" and lake.is_loaded("bronze", "vehicle_prices"):
         return lake.read("bronze", "vehicle_prices")
     rows = fill_missing(source, fills)
@@ -53,16 +73,19 @@ def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_n
         keyed = located_key(rows.select(*columns, "_file", "_row"), "id")
     else:
         keyed = dense_key(rows.select(*columns), "id")
+    keyed = _continued(lake, "bronze", "vehicle_prices", keyed, "id", mode)
     return lake.write("bronze", "vehicle_prices", keyed, mode)
 
 
 def load_silver(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Bronze to the silver star. Dimensions first; the fact is written last, so it marks a full load.
+    """Bronze to the silver star. The old fact goes first and the new one is written last, so it marks a full load.
 
     Every bronze row becomes one fact row, so the dense bronze `id` serves as the fact's key.
     """
+    _load_mode(mode, _STAR_MODES)
     if not (mode == "skip_if_loaded" and lake.is_loaded("silver", "fato_veiculo")):
         bronze = lake.read("bronze", "vehicle_prices")
+        lake.truncate("silver", "fato_veiculo")
         dimensions = {
             spec.name: lake.write("silver", spec.name, build_dimension(bronze, spec))
             for spec in schemas.SILVER_FATO.dimensions
@@ -93,8 +116,10 @@ def load_gold(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
     The model dimension keeps its attributes, so its keys are only renumbered; the specification
     dimension is split into two, which are looked up.
     """
+    _load_mode(mode, _STAR_MODES)
     if not (mode == "skip_if_loaded" and lake.is_loaded("dw", "fato_veiculo")):
         silver = {name: lake.read("silver", name) for name in SILVER_STAR}
+        lake.truncate("dw", "fato_veiculo")
         rows, models = rekey_dimension(silver["dim_modelo"], "id_modelo", schemas.GOLD_MODELO)
         gold = {"dim_modelo": lake.write("dw", "dim_modelo", rows)}
         for spec in (schemas.GOLD_CONDICAO, schemas.GOLD_COR):
@@ -126,7 +151,9 @@ def abbreviated(df: DataFrame, widths: dict[str, int] | None = None) -> DataFram
 def load_abbreviated(lake: Lake, mode: str = "overwrite", widths: dict[str, int] | None = None
                      ) -> dict[str, DataFrame]:
     """The gold star under its abbreviated names; `widths` makes over-wide text fail the load."""
+    _load_mode(mode, _STAR_MODES)
     if not (mode == "skip_if_loaded" and lake.is_loaded(SHORT_LAYER, "fat_vcl")):
+        lake.truncate(SHORT_LAYER, "fat_vcl")
         for table, short in SHORT_STAR.items():
             rows = lake.read("dw", table)
             if short == "fat_vcl":
@@ -136,12 +163,15 @@ def load_abbreviated(lake: Lake, mode: str = "overwrite", widths: dict[str, int]
 
 
 def load_all(lake: Lake, source: DataFrame, mode: str = "overwrite", source_name: str | None = None) -> None:
+    """All layers; with `append` bronze grows and the stars are rebuilt from it."""
     load_bronze(lake, source, mode, source_name)
-    load_silver(lake, mode)
-    load_gold(lake, mode)
+    stars = "overwrite" if mode == "append" else mode
+    load_silver(lake, stars)
+    load_gold(lake, stars)
 
 
 _session_lakes: dict[tuple[str, str], "SessionLake"] = {}
+staging.on_clear.append(_session_lakes.clear)
 
 
 class SessionLake(Lake):
@@ -153,7 +183,7 @@ class SessionLake(Lake):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         name = "".join(c if c.isalnum() else "_" for c in sf_dir.strip("/"))
-        super().__init__(spark, f"{shared_folder(spark)}/lake/{name}-{len(_session_lakes)}")
+        super().__init__(spark, f"{staging.shared_folder(spark)}/lake/{name}-{uuid.uuid4().hex}")
         self.sf_dir = sf_dir
         self._landed: set[str] = set()
         self._layers: dict[str, object] = {}

@@ -37,6 +37,16 @@ class Lake:
                 return False
             raise
 
+    def truncate(self, layer: str, table: str) -> None:
+        """Leave a table of the data model without rows, so that it does not count as loaded."""
+        self.spark.createDataFrame([], TABLES[layer, table]).write.mode("overwrite").parquet(self.path(layer, table))
+
+    def last_key(self, layer: str, table: str, key: str) -> int:
+        """The largest key of a table, 0 where there is none."""
+        if not self.is_loaded(layer, table):
+            return 0
+        return self.read(layer, table).agg(F.max(key)).first()[0] or 0
+
     def write(self, layer: str, table: str, df: DataFrame, mode: str = "overwrite",
               rows_per_file: int | None = None) -> DataFrame:
         """Write in parallel by partition and return a scan of the table."""
@@ -50,11 +60,24 @@ class Lake:
         return self.read(layer, table)
 
     def register(self, tables: list[tuple[str, str]]) -> None:
-        """Make tables visible to SQL as `layer.table`, over the files where they are."""
+        """Make tables visible to SQL as `layer.table`, over the files where they are.
+
+        A name that stands for other files is given to these; tables that own their files are not replaced.
+        """
         for layer, table in tables:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{table} USING parquet "
-                           f"LOCATION '{self.path(layer, table)}'")
+            name, path = f"{layer}.{table}", self.path(layer, table)
+            self._database(layer)
+            if self.spark.catalog.tableExists(name):
+                told = {r.col_name: r.data_type for r in describe_table(self.spark, f"EXTENDED {name}").collect()}
+                if _place(told.get("Location", "")) == _place(path):
+                    continue
+                if told.get("Type") != "EXTERNAL":
+                    raise ValueError(f"{name} already stands for {told.get('Location')}")
+                self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)}")
+
+    def _database(self, layer: str) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION {_quoted(f'{self.root}/{layer}')}")
 
     def create(self, layer: str, table: str, schema: T.StructType, widths: dict[str, int] | None = None,
                not_null: tuple[str, ...] = (), replace: bool = False) -> str:
@@ -63,20 +86,31 @@ class Lake:
         With `widths` an over-wide text makes the insert fail.
         """
         name = f"{layer}.{table}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+        self._database(layer)
         if replace:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(create_table_ddl(name, schema, self.path(layer, table), widths, not_null))
         return name
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _place(location: str) -> str:
+    """A location without the ways to spell the local file system."""
+    return location.removeprefix("file:").rstrip("/").replace("///", "/", 1)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Header in every part, one part per partition."""
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).json(path)
+    """One object per line; nulls are written out, so that a missing field can be told from an empty one."""
+    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def list_databases(spark: SparkSession) -> DataFrame:

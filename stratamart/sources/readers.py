@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stratamart.functions.cleaning import nan_to_null, normalize_missing, require_columns, tokens_to_null
 from stratamart.schemas import LISTING
 
 # Quotes are doubled inside quoted fields, as data-frame libraries write and read them.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# The text of a row that cannot be told apart into fields.
+RECORD = "_record"
 
 
 def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -21,38 +23,126 @@ def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
     return normalize_missing(spark.read.options(**CSV_OPTIONS, inferSchema=True).csv(path))
 
 
+def _fitting(given: Column, kind: T.DataType, wanted: T.DataType) -> Column:
+    """The value in the wanted type, null where that would change it."""
+    value = given.try_cast(wanted)
+    if isinstance(wanted, (T.IntegerType, T.LongType)) and isinstance(
+            kind, (T.StringType, T.DoubleType, T.FloatType, T.DecimalType)):
+        text = isinstance(kind, T.StringType)
+        number = given.try_cast("double") if text else given
+        # Data-frame libraries write whole numbers of a column with gaps as 2018.0.
+        whole = F.when(number == F.floor(number), number.try_cast(wanted))
+        return F.coalesce(value, whole) if text else whole
+    return value
+
+
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns by name and cast them; text that is no such value becomes null."""
+    """Select the schema's columns by name and cast them; a value that does not fit becomes null."""
     require_columns(raw, schema.fieldNames(), "input")
+    kinds = {f.name.lower(): f.dataType for f in raw.schema.fields}
     return raw.select(*[
-        F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields
+        _fitting(F.col(f"`{f.name}`"), kinds[f.name.lower()], f.dataType).alias(f.name) for f in schema.fields
     ])
 
 
+def _misfits(raw: DataFrame, schema: T.StructType) -> list[Column]:
+    """Per column that is stored in another type, what does not fit it."""
+    kinds = {f.name.lower(): f.dataType for f in raw.schema.fields}
+    found = []
+    for f in schema.fields:
+        kind, given = kinds[f.name.lower()], F.col(f"`{f.name}`")
+        if kind != f.dataType and not isinstance(f.dataType, T.StringType):
+            lost = given.isNotNull() & _fitting(given, kind, f.dataType).isNull()
+            found.append(F.when(lost, F.concat(F.lit(f"{f.name}: "), given.cast("string"))))
+    return found
+
+
+def csv_text(reader, columns: list[str], multiline: bool):
+    """`reader` set to read all columns as text, rows with another number of fields in `_record`.
+
+    Files whose header differs from `columns` fail, since fields are matched to it by position.
+    """
+    fields = [T.StructField(c, T.StringType()) for c in [*columns, RECORD]]
+    return reader.options(**CSV_OPTIONS, multiLine=multiline, columnNameOfCorruptRecord=RECORD,
+                          columnPruning=False, enforceSchema=False).schema(T.StructType(fields))
+
+
+def _raw(spark: SparkSession, path: str, fmt: str, schema: T.StructType, multiline: bool) -> tuple[DataFrame, Column]:
+    """The rows as they are stored, with `_record` where text is read, and what is wrong with a whole row."""
+    place = [F.col("_metadata.file_name").alias("_name"), F.col("_metadata.file_path").alias("_file")]
+    if fmt == "csv":
+        header = read_raw_csv(spark, path, multiline).columns
+        raw = csv_text(spark.read, header, multiline).csv(path).select("*", *place)
+        require_columns(raw, schema.fieldNames(), "input")
+        return raw, field_fault(schema)
+    if fmt == "json":
+        lines = spark.read.text(path).select(F.col("value").alias(RECORD), *place).where(F.trim(RECORD) != "")
+        # A generated column is parsed once, however often later expressions and filters name it.
+        parsed = lines.select("*", F.explode(F.array(F.from_json(RECORD, "map<string,string>"))).alias("_fields"))
+        names = schema.fieldNames()
+        raw = parsed.select("*", *[F.try_element_at("_fields", F.lit(c)).alias(c) for c in names])
+        absent = [F.when(~F.map_contains_key("_fields", c), F.lit(f"missing {c}")) for c in names]
+        return raw, F.when(F.col("_fields").isNull(), F.lit("broken record")).otherwise(F.coalesce(*absent))
+    if fmt == "parquet":
+        raw = spark.read.parquet(path).select("*", *place, F.col("_metadata.row_index").alias("_row"))
+        require_columns(raw, schema.fieldNames(), "input")
+        return raw, F.lit(None).cast("string")
+    raise ValueError(f"unknown format {fmt!r}")
+
+
+def field_fault(schema: T.StructType) -> Column:
+    """What is wrong with a whole CSV row; looks at a column beside `_record`, as Spark asks for."""
+    seen = F.length(F.coalesce(F.col(f"`{schema.fieldNames()[0]}`"), F.lit(""))) >= 0
+    return F.when(F.col(RECORD).isNotNull() & seen, F.lit("number of fields"))
+
+
+def checked(raw: DataFrame, schema: T.StructType, fault: Column, bad: str = "fail") -> DataFrame:
+    """Typed rows; rows that cannot be read whole fail the query or, with `bad="drop"`, are left to `read_rejects`."""
+    if bad not in ("fail", "drop"):
+        raise ValueError(f"unknown treatment of bad rows {bad!r}")
+    clean = nan_to_null(tokens_to_null(raw))
+    misfits = _misfits(clean, schema)
+    if RECORD in raw.columns or misfits:
+        reason = F.coalesce(fault, *misfits)
+        failure = F.raise_error(F.concat(F.lit("row cannot be read, "), reason)).cast("boolean")
+        clean = clean.where(reason.isNull() if bad == "drop" else F.when(reason.isNull(), True).otherwise(failure))
+    # NaN may also be spelled as text.
+    return nan_to_null(typed(clean, schema))
+
+
 def read_flat(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = LISTING,
-              source_column: str | None = None, located: bool = False) -> DataFrame:
+              source_column: str | None = None, located: bool = False, multiline: bool = True,
+              bad: str = "fail") -> DataFrame:
     """Typed rows of `schema` with missing values as null.
 
     Columns are matched by name, whatever their order in the files. `source_column` adds the name
     of the file a row came from; `located` adds `_file` and `_row` (Parquet only), by which a load
     can number the rows.
+
+    No value is lost silently: a CSV row with too many or too few fields, a JSON line that is broken
+    or lacks a field, and a value that does not fit its type fail the query, or with `bad="drop"` are
+    left out here and returned by `read_rejects`. Quoted fields may hold new lines; `multiline=False`
+    lets Spark split large CSV files that have none.
     """
-    if fmt == "csv":
-        raw = read_raw_csv(spark, path)
-    elif fmt == "json":
-        raw = spark.read.schema(schema).json(path)
-    elif fmt == "parquet":
-        raw = spark.read.parquet(path)
-    else:
-        raise ValueError(f"unknown format {fmt!r}")
+    raw, fault = _raw(spark, path, fmt, schema, multiline)
+    extra = []
     if source_column:
-        raw = raw.withColumn(source_column, F.col("_metadata.file_name"))
-        schema = T.StructType(schema.fields + [T.StructField(source_column, T.StringType())])
+        raw = raw.withColumn(source_column, F.col("_name"))
+        extra.append(T.StructField(source_column, T.StringType()))
     if located:
-        raw = raw.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
-        schema = T.StructType(schema.fields + [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())])
-    # Tokens go before the casts, NaN (also spelled as text) after them.
-    return nan_to_null(typed(tokens_to_null(raw), schema))
+        extra += [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())]
+    return checked(raw, T.StructType(schema.fields + extra), fault, bad)
+
+
+def read_rejects(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = LISTING,
+                 multiline: bool = True) -> DataFrame:
+    """(file, reason, record): the rows that `read_flat` cannot read; the record is null where its fields could be told apart."""
+    raw, fault = _raw(spark, path, fmt, schema, multiline)
+    record = F.col(RECORD) if RECORD in raw.columns else F.lit(None).cast("string")
+    rows = nan_to_null(tokens_to_null(raw.withColumn("_text", F.struct(record.alias("record")))))
+    faults = rows.select(F.col("_name").alias("file"), F.coalesce(fault, *_misfits(rows, schema)).alias("reason"),
+                         F.col("_text.record").alias("record"))
+    return faults.where(F.col("reason").isNotNull())
 
 
 def json_fields(df: DataFrame, column: str, schema: str) -> DataFrame:

@@ -11,11 +11,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
+# Called when the staged tables are deleted, by those who remember some of them.
+on_clear: list[Callable[[], None]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for this application's staged tables.
@@ -45,5 +49,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def clear(spark: SparkSession) -> None:
     """Delete this application's staged tables; call it when no result is needed any more."""
+    for forget in on_clear:
+        forget()
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -106,7 +106,7 @@ def test_top_k_keeps_ties_at_the_edge(spark):
     fact = spark.createDataFrame([(i, 100.0) for i in range(1, 5)] + [(5, 200.0), (6, 50.0)], "id_modelo bigint, price double")
     models = spark.createDataFrame([(i, f"m{7 - i}", "x", "b") for i in range(1, 7)],
                                    "id_modelo bigint, make string, model string, body_type string")
-    assert marts.leading_rows(fact, "price", 2).count() == 5
+    assert marts.best_per_key(fact, "id_modelo", "price", 2).count() == 6
     top = marts.most_expensive(fact, models, 3).collect()
     assert [(r.make, r.price) for r in top] == [("m2", 200.0), ("m3", 100.0), ("m4", 100.0)]
 
