@@ -17,9 +17,9 @@ from stratamart.functions.columns import round_money  # noqa: E402
 from stratamart.operators import distributions, profile, quality, star  # noqa: E402
 from stratamart.plans import layers, marts, reports, sales  # noqa: E402
 from stratamart.plans.layers import SessionLake, session_lake  # noqa: E402
-from stratamart.sources.lake import preview  # noqa: E402
+from stratamart.sources.lake import Lake, preview  # noqa: E402
 from stratamart.sources.listings import read_table  # noqa: E402
-from stratamart.sources.readers import json_fields  # noqa: E402
+from stratamart.sources.readers import json_fields, read_flat, read_rejects  # noqa: E402
 from stratamart.staging import shared_folder  # noqa: E402
 from stratamart.streaming.ingest import append_new_files  # noqa: E402
 
@@ -80,6 +80,48 @@ def _incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{target}/table").select(*schemas.LISTING_COLUMNS)
 
 
+_ORDER_LINES = "key long, day int, price double, priority string"
+
+
+def _rejected(fmt: str) -> Query:
+    """Orders as a landing file in which some lines are faulty, by the last digit of the key: rows read, rows rejected by reason."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fault = F.col("o_orderkey") % 5
+        year = F.year("o_orderdate").cast("string")
+        values = {"key": F.col("o_orderkey"), "day": F.when(fault == 3, F.concat(F.lit("x"), year)).otherwise(F.concat(year, F.lit(".0"))),
+                  "price": F.col("o_totalprice"), "priority": F.col("o_orderpriority")}
+        named = {k: v.cast("string").alias(k) for k, v in values.items()}
+        orders = read_table(spark, sf_dir, "orders")
+        target = f"{shared_folder(spark)}/rejects-{uuid.uuid4().hex}"
+        if fmt == "csv":
+            line = F.concat_ws(",", *named.values())
+            short = F.concat_ws(",", named["key"], named["day"], named["price"])
+            lines = F.when(fault == 2, F.concat(line, F.lit(",more"))).when(fault == 4, short).otherwise(line)
+            # The separator is in no line, so lines and header are written as they are.
+            orders.select(lines.alias(",".join(named))).write.options(header=True, sep="\u0001", quote="").csv(target)
+        else:
+            line = F.to_json(F.struct(*named.values()))
+            short = F.to_json(F.struct(named["key"], named["price"], named["priority"]))
+            lines = F.when(fault == 2, F.expr("substring(line, 1, length(line) - 1)")).when(fault == 4, short).otherwise(F.col("line"))
+            orders.withColumn("line", line).select(lines.alias("value")).write.text(target)
+        kinds = spark.createDataFrame([], _ORDER_LINES).schema
+        read = read_flat(spark, target, fmt, kinds, bad="drop").agg(
+            F.count("*").alias("n"), F.sum("day").alias("days")).select(F.lit("read").alias("outcome"), "n", "days")
+        reasons = F.substring_index("reason", ":", 1)
+        rejected = read_rejects(spark, target, fmt, kinds).groupBy(reasons.alias("outcome")).agg(F.count("*").alias("n"))
+        return read.unionByName(rejected.withColumn("days", F.lit(None).cast("long")))
+    return run
+
+
+def _appended_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of a bronze table into which the same listings went twice."""
+    source = session_lake(spark, sf_dir).landing()
+    lake = Lake(spark, f"{shared_folder(spark)}/append-{uuid.uuid4().hex}")
+    for _ in range(2):
+        bronze = layers.load_bronze(lake, source, "append")
+    return bronze.agg(F.count("*").alias("n"), F.countDistinct("id").alias("keys"), F.min("id").alias("first"), F.max("id").alias("last"))
+
+
 def _wide(lake: SessionLake, layer: str) -> DataFrame:
     """A star joined back to flat rows."""
     tables, spec = {"silver": (lake.silver, schemas.SILVER_FATO), "dw": (lake.gold, schemas.GOLD_FATO)}[layer]
@@ -154,6 +196,9 @@ def queries() -> dict[str, Query]:
         "bronze_preview": _on_lake(lambda lake: preview(
             lake.bronze().select(*schemas.LISTING_COLUMNS), 10, schemas.LISTING_COLUMNS)),
         "incremental_bronze": _incremental_bronze,
+        "csv_rejects": _rejected("csv"),
+        "json_rejects": _rejected("json"),
+        "bronze_append_keys": _appended_keys,
         "json_props": _on_tables(
             lambda events: json_fields(events.select("event_id", "event_type", "props"), "props", "k bigint"),
             "events"),

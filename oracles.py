@@ -55,6 +55,13 @@ def _money(expression: str, digits: int = 2) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(28,6)), {digits}) AS DOUBLE)"
 
 
+def _rejects(broken: str, short: str) -> str:
+    return f"""
+SELECT CASE o_orderkey % 5 WHEN 2 THEN '{broken}' WHEN 3 THEN 'day' WHEN 4 THEN '{short}' ELSE 'read' END AS outcome,
+  count(*) AS n, CAST(sum(CASE WHEN o_orderkey % 5 < 2 THEN year(o_orderdate) END) AS BIGINT) AS days
+FROM orders GROUP BY ALL"""
+
+
 def _nulls_first(columns) -> str:
     return ", ".join(f"{c} NULLS FIRST" for c in columns)
 
@@ -226,6 +233,9 @@ def _sources() -> dict[str, str]:
     return {
         "csv_roundtrip": listing, "json_ingest": listing, "parquet_ingest": listing,
         "flat_clean": filled, "bronze_load": filled, "incremental_bronze": filled,
+        "csv_rejects": _rejects("number of fields", "number of fields"),
+        "json_rejects": _rejects("broken record", "missing day"),
+        "bronze_append_keys": "SELECT 2 * count(*) AS n, 2 * count(*) AS keys, 1 AS first, 2 * count(*) AS last FROM lineitem",
         "bronze_preview": _on_listings(
             f"SELECT * FROM b ORDER BY {_nulls_first(schemas.LISTING_COLUMNS)} LIMIT 10"),
         "json_props": "SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
