@@ -309,61 +309,65 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
     raw = store.agg(F.sum("raw")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, raw / ((match - width + 2) / 2) / bucket_phrases))))
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Chunk]]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                values = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                yield values, _Chunk(values, bits, match, width)
-
-    def triggers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for values, chunk in rows_of(batches):
-            several = chunk.several()
-            parts = list(chunk.parts())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in parts], pa.int64()), pa.array([values["chunk"]] * len(parts), pa.int64()),
-                 pa.array([_low(chunk.kinds[p]).tobytes() for _, p in parts], pa.binary()),
-                 pa.array([np.packbits(several[p]).tobytes() for _, p in parts], pa.binary())],
-                ["bucket", "chunk", "low", "several"])
-
-    sent = store.mapInArrow(triggers, "bucket long, chunk long, low binary, several binary")
+    def chunkwise(work):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # Each chunk with all that is made of it is gone before the next one is unpacked.
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    values = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                    result = work(values, _Chunk(values, bits, match, width))
+                    del values
+                    if result is not None:
+                        yield result
+                    del result
+        return run
+
+    def triggers(values: dict, chunk: _Chunk) -> pa.RecordBatch:
+        several = chunk.several()
+        parts = list(chunk.parts())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([b for b, _ in parts], pa.int64()), pa.array([values["chunk"]] * len(parts), pa.int64()),
+             pa.array([_low(chunk.kinds[p]).tobytes() for _, p in parts], pa.binary()),
+             pa.array([np.packbits(several[p]).tobytes() for _, p in parts], pa.binary())],
+            ["bucket", "chunk", "low", "several"])
+
+    sent = store.mapInArrow(chunkwise(triggers), "bucket long, chunk long, low binary, several binary")
     masks = sent.groupBy("bucket").applyInPandas(_shared_in_bucket, "chunk long, bucket long, mask binary")
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def candidates(values: dict, chunk: _Chunk) -> pa.RecordBatch | None:
         compress = zstandard.ZstdCompressor(level=3).compress
-        for values, chunk in rows_of(batches):
-            shared, by_bucket = _shared_kinds(chunk, values["answers"])
-            found, number, at, smallest = chunk.phrases(shared)
-            if not found:
-                continue
-            phrases = list(found)
-            kind = np.empty(len(phrases), dtype=np.int64)
-            kind[number] = chunk.kind[at]
-            edges = np.searchsorted(kind, chunk.edges)
-            out = [(b, x, y) for b, x, y in zip(chunk.buckets.tolist(), edges[:-1].tolist(), edges[1:].tolist()) if y > x]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _, _ in out], pa.int64()), pa.array([values["chunk"]] * len(out), pa.int64()),
-                 pa.array([by_bucket[b]["mask"] for b, _, _ in out], pa.binary()),
-                 pa.array([compress(b"".join(phrases[x:y])) for _, x, y in out], pa.binary()),
-                 pa.array([bytes(map(len, phrases[x:y])) for _, x, y in out], pa.binary()),
-                 pa.array([compress(_packed(smallest[x:y])) for _, x, y in out], pa.binary())],
-                ["bucket", "chunk", "mask", "phrases", "sizes", "smallest"])
+        shared, by_bucket = _shared_kinds(chunk, values["answers"])
+        found, number, at, smallest = chunk.phrases(shared)
+        if not found:
+            return None
+        phrases = list(found)
+        kind = np.empty(len(phrases), dtype=np.int64)
+        kind[number] = chunk.kind[at]
+        edges = np.searchsorted(kind, chunk.edges)
+        out = [(b, x, y) for b, x, y in zip(chunk.buckets.tolist(), edges[:-1].tolist(), edges[1:].tolist()) if y > x]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([b for b, _, _ in out], pa.int64()), pa.array([values["chunk"]] * len(out), pa.int64()),
+             pa.array([by_bucket[b]["mask"] for b, _, _ in out], pa.binary()),
+             pa.array([compress(b"".join(phrases[x:y])) for _, x, y in out], pa.binary()),
+             pa.array([bytes(map(len, phrases[x:y])) for _, x, y in out], pa.binary()),
+             pa.array([compress(_packed(smallest[x:y])) for _, x, y in out], pa.binary())],
+            ["bucket", "chunk", "mask", "phrases", "sizes", "smallest"])
 
     dictionary = _per_chunk(store, masks, "mask").mapInArrow(
-        candidates, "bucket long, chunk long, mask binary, phrases binary, sizes binary, smallest binary")
+        chunkwise(candidates), "bucket long, chunk long, mask binary, phrases binary, sizes binary, smallest binary")
     answers = dictionary.groupBy("bucket").applyInPandas(
         _bits_of_bucket(match, width), "chunk long, bucket long, mask binary, bits binary")
 
     others = whole.schema["others"].dataType.elementType
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), to_arrow_type(others)]
 
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for values, chunk in rows_of(batches):
-            rows = _results(chunk, _marked(chunk, values["answers"]), values["others"])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             ["doc", "n_bytes", "spans", "kept", "others"])
+    def remove(values: dict, chunk: _Chunk) -> pa.RecordBatch:
+        rows = _results(chunk, _marked(chunk, values["answers"]), values["others"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                          ["doc", "n_bytes", "spans", "kept", "others"])
 
     schema = f"doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, others {others.simpleString()}"
-    result = _per_chunk(whole, materialize(answers, "repeat_answers"), "mask", "bits").mapInArrow(remove, schema)
+    result = _per_chunk(whole, materialize(answers, "repeat_answers"), "mask", "bits").mapInArrow(chunkwise(remove), schema)
     return result.select(id_of("doc").alias("doc_id"), "n_bytes", "spans", "kept",
                          *[F.col(f"others.`{c}`").alias(c) for c in carry if c != "doc_id"])
 
