@@ -32,6 +32,8 @@ MATCH = 50
 TRIGGER = 24
 #: Bytes of a chunk, of a segment that is parsed at a time (below 2^23), and phrases of a bucket; layout only.
 CHUNK, SEGMENT, BUCKET = 1 << 21, 1 << 20, 1 << 20
+#: Suffixes sorted at a time (about 200 bytes each); layout only.
+SORTED = 1 << 19
 
 _BASE, _MIX = 0x100000001B3, 0x9E3779B97F4A7C15
 _PLACE_BITS = 23
@@ -225,31 +227,60 @@ def _shared_in_bucket(group: pd.DataFrame) -> pd.DataFrame:
     return frame[frame["mask"].notna()]
 
 
-def smallest_documents(phrases: list[bytes], documents: np.ndarray, triggers: np.ndarray, match: int = MATCH) -> list[np.ndarray]:
+def _slices(triggers: np.ndarray, sizes: np.ndarray, at_once: int) -> Iterator[slice]:
+    """Cut phrases in order of trigger into runs of about `at_once` strings that part no trigger."""
+    total = np.cumsum(sizes)
+    borders = np.append(np.flatnonzero(np.diff(triggers, prepend=-1)), len(triggers))
+    at = 0
+    while at < len(triggers):
+        fits = np.searchsorted(total, (total[at - 1] if at else 0) + at_once, side="right")
+        stop = int(borders[np.searchsorted(borders, fits, side="right") - 1])
+        if stop <= at:
+            stop = int(borders[np.searchsorted(borders, at, side="right")])
+        yield slice(at, stop)
+        at = stop
+
+
+def _classes(text: np.ndarray, where: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort the suffixes of `text` at `where`, cut at the match length: their order, and the first of each class of equal ones."""
+    words = np.zeros((len(where), -(-match // 8) * 8), dtype=np.uint8)
+    words[:, :match] = np.lib.stride_tricks.sliding_window_view(text, match)[where]
+    words = words.view(">u8").astype(np.uint64)
+    order = np.lexsort(words.T[::-1])
+    words = words[order]
+    return order, np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]).any(axis=1))))
+
+
+def smallest_documents(phrases: list[bytes], documents: np.ndarray, triggers: np.ndarray, match: int = MATCH,
+                       at_once: int = SORTED) -> list[np.ndarray]:
     """For every string of the match length in distinct phrases (first byte: place of the trigger), the smallest document
-    that holds it. `triggers` numbers each phrase's trigger; a trigger with one phrase needs no sorting."""
+    that holds it. `triggers` numbers each phrase's trigger; a trigger with one phrase needs no sorting.
+
+    Equal strings have the same trigger at the same place, so the dictionary's suffixes are sorted by runs of
+    triggers, and those of a trigger with more than `at_once` strings place by place.
+    """
     counts = np.array([len(p) - match for p in phrases], dtype=np.int64)
     base = np.cumsum(counts) - counts
     least = np.repeat(documents, counts)
     several = np.bincount(triggers, minlength=len(phrases) + 1)[triggers] > 1
     some = np.flatnonzero(several)
-    if len(some):
-        # The dictionary's suffix array, cut at the match length: all suffixes that begin a string.
-        text = np.frombuffer(b"".join(phrases[i][1:] for i in some), dtype=np.uint8)
-        c = counts[some]
-        begins = np.cumsum(c + match - 1) - (c + match - 1)
+    some = some[np.argsort(triggers[some], kind="stable")]
+    for run in _slices(triggers[some], counts[some], at_once):
+        part = some[run]
+        text = np.frombuffer(b"".join([phrases[i][1:] for i in part]), dtype=np.uint8)
+        c = counts[part]
         within = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-        where = np.repeat(begins, c) + within
-        suffixes = np.lib.stride_tricks.sliding_window_view(text, match)[where]
-        words = np.zeros((len(suffixes), -(-match // 8) * 8), dtype=np.uint8)
-        words[:, :match] = suffixes
-        words = words.view(">u8").astype(np.uint64)
-        order = np.lexsort(words.T[::-1])
-        words = words[order]
-        new = np.concatenate(([True], (words[1:] != words[:-1]).any(axis=1)))
-        at = np.repeat(base[some], c) + within
-        low = np.minimum.reduceat(least[at][order], np.flatnonzero(new))
-        least[at[order]] = low[np.cumsum(new) - 1]
+        where = np.repeat(np.cumsum(c + match - 1) - (c + match - 1), c) + within
+        at = np.repeat(base[part], c) + within
+        sets = [slice(None)]
+        if len(at) > at_once:
+            place = np.repeat(np.array([phrases[i][0] for i in part], dtype=np.int64), c) - within
+            order = np.argsort(place, kind="stable")
+            sets = np.split(order, np.flatnonzero(np.diff(place[order])) + 1)
+        for strings in sets:
+            order, first = _classes(text, where[strings], match)
+            sorted_at = at[strings][order]
+            least[sorted_at] = np.repeat(np.minimum.reduceat(least[sorted_at], first), np.diff(np.append(first, len(order))))
     return np.split(least, np.cumsum(counts)[:-1])
 
 
@@ -269,6 +300,7 @@ def _bits_of_bucket(match: int, width: int):
         phrases = list(known)
         names: dict[bytes, int] = {}
         triggers = np.array([names.setdefault(p[1 + p[0]:1 + p[0] + width], len(names)) for p in phrases], dtype=np.int64)
+        del known, names
         least = smallest_documents(phrases, lowest, triggers, match)
         out = []
         for own, smallest in zip(of, docs):

@@ -173,3 +173,27 @@ def test_extraction(spark):
                         "with several words more")
     assert found[2] == found[3] == found[6] == "" and found[4] == "plain < text" and found[5] == "deep"
     assert extraction.extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 100, 1 << 19])
+def test_strings_are_sorted_alike_in_runs_of_any_size(at_once):
+    match, width = 10, 5
+    random = np.random.default_rng(1)
+    data = random.integers(97, 100, 4000).astype(np.uint8)
+    data[2000:2600] = data[100:700]
+    raw, of = data.tobytes(), {}
+    parsed = repeats.parse(data, np.array([0, 900, 2100, 3000]), match, width)
+    for first, count, trigger, piece in zip(parsed.first, parsed.count, parsed.trigger, parsed.piece):
+        phrase = bytes((trigger - first,)) + raw[first:first + count + match - 1]
+        of[phrase] = min(of.get(phrase, 9), int(piece))
+    phrases, names, want = list(of), {}, {}
+    triggers = np.array([names.setdefault(p[1 + p[0]:1 + p[0] + width], len(names)) for p in phrases])
+
+    def strings(phrase):
+        return [phrase[i:i + match] for i in range(1, len(phrase) - match + 1)]
+
+    for phrase, doc in of.items():
+        for s in strings(phrase):
+            want[s] = min(want.get(s, 9), doc)
+    found = repeats.smallest_documents(phrases, np.array(list(of.values())), triggers, match, at_once)
+    assert [x.tolist() for x in found] == [[want[s] for s in strings(p)] for p in phrases]
