@@ -116,37 +116,37 @@ def fit(labelled: DataFrame, width: int = FEATURES, fit_rows: int = FIT_ROWS) ->
     reach the driver). The hinge-loss fit takes the `fit_rows` rows, about, whose hash is smallest. Without both
     labels the model knows nothing and scores everything 0.5.
     """
-    labelled = labelled.where("label in (0, 1)").select(
+    rows = materialize(labelled.where("label in (0, 1)").select(
         F.col("label").cast("int").alias("label"), F.col("text").cast("string").alias("text"),
-        F.xxhash64("doc_id", "text").alias("_turn"))
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [features(t, width) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("_turn"), pa.array([a.tobytes() for a in at], pa.binary())],
-                                             ["label", "_turn", "at"])
+        F.xxhash64("doc_id", "text").alias("_turn")), "labelled_texts")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, width), dtype=np.int64)
         for batch in batches:
-            for label, at in zip(batch.column("label").to_pylist(), batch.column("at").to_pylist()):
-                counts[label, np.frombuffer(at, dtype=np.int32)] += 1
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
+                counts[label, features(text, width)] += 1
         where = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(counts[1, where]), pa.array(counts[0, where])],
                                          ["feature", "good", "bad"])
 
-    rows = materialize(labelled.mapInArrow(found, "label int, _turn long, at binary"), "label_features")
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = pa.array([features(t, width).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("_turn"), at], ["label", "_turn", "at"])
+
     classes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(classes) < 2:
         return Model(np.zeros(width), 0.0, 0.0, 0.0)
-    sums = (rows.select("label", "at").mapInArrow(counted, "feature long, good long, bad long")
+    sums = (rows.select("label", "text").mapInArrow(counted, "feature long, good long, bad long")
             .groupBy("feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toPandas())
     good, bad = np.zeros(width), np.zeros(width)
     good[sums["feature"]], bad[sums["feature"]] = sums["good"], sums["bad"]
     ratios = log_count_ratios(good, bad)
 
     share = min(1.0, fit_rows / sum(classes.values()))
-    sample = rows.where(F.pmod("_turn", F.lit(1_000_000)) < int(share * 1_000_000 + 1)).orderBy("_turn", "at", "label").limit(2 * fit_rows).toPandas()
+    chosen = rows.where(F.pmod("_turn", F.lit(1_000_000)) < int(share * 1_000_000 + 1))
+    sample = (chosen.mapInArrow(found, "label int, _turn long, at binary")
+              .orderBy("_turn", "at", "label").limit(2 * fit_rows).toPandas())
     at = [np.frombuffer(b, dtype=np.int32) for b in sample["at"]]
     y = np.where(sample["label"].to_numpy() == 1, 1.0, -1.0)
     values = [np.append(ratios[a] / math.sqrt(max(len(a), 1)), 1.0) for a in at]

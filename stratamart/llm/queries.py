@@ -58,10 +58,11 @@ def held_out() -> Column:
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
-    """Fitted on the labelled documents outside the held-out fold."""
+    """Fitted on the labelled documents outside the held-out fold. Labels grow with the documents, so both are
+    joined by their ids at every size, never by broadcast."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.fit(docs.join(labels, "doc_id").where(~held_out()))
+    return quality.fit(docs.where(~held_out()).join(labels.hint("merge"), "doc_id"))
 
 
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
