@@ -41,3 +41,9 @@ def test_profiles(spark):
     assert rows(profile.distinct_counts(df, ["c"])) == rows(profile.distinct_counts(df, ["c"], approximate=True))
     summary = profile.numeric_profile(df, ["n"]).first()
     assert (summary["count"], summary["mean"], summary["std"], summary["q75"]) == (4, 1.75, 1.5, 1.75)
+
+
+def test_duplicates_of_long_texts(spark):
+    data = [("x" * 65, None), ("x" * 65, None), ("x" * 64, None), (None, 1.0), (None, 1.0), ("", 1.0)]
+    df = spark.createDataFrame(data, "`a.b` string, c double")
+    assert rows(profile.duplicate_profile(df)) == [(6, 4, 2)]
