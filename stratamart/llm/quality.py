@@ -20,6 +20,8 @@ LENGTHS = (1, 2, 3, 4)
 FIT_ROWS = 5_000
 #: Added to every count; cost of a margin violation; passes of the dual coordinate descent.
 SMOOTHING, COST, PASSES = 1.0, 0.1, 12
+#: Distinct n-grams at which a text's own evidence and the labels' prior count alike (about 400 characters).
+HALF = 800
 
 _CHUNK = 1 << 20
 _FACTOR = np.uint32(0x9E3779B1)
@@ -46,19 +48,27 @@ def features(text: str | None, width: int = FEATURES) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
+def sureness(n_grams):
+    """How much a text tells, 0 to 1. The fitted bias holds for texts that tell enough; it fades out with this."""
+    return n_grams / (n_grams + HALF)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weights per feature (log-count ratios times support vector weights), a bias and the scale of the sigmoid."""
+    """Weights per feature (log-count ratios times support vector weights), a bias, the scale of the sigmoid and the
+    log odds of the labels, which a text without n-grams gets."""
 
     weights: np.ndarray
     bias: float
     slope: float
     shift: float
+    prior: float
 
     def score(self, text: str | None) -> float:
         at = features(text, len(self.weights))
-        margin = float(self.weights[at].sum()) / math.sqrt(max(len(at), 1)) + self.bias
-        z = max(-500.0, min(500.0, self.slope * margin + self.shift))
+        sure = sureness(len(at))
+        margin = float(self.weights[at].sum()) / math.sqrt(max(len(at), 1)) + self.bias * sure
+        z = max(-500.0, min(500.0, self.slope * margin + self.shift * sure + self.prior * (1 - sure)))
         return 1.0 / (1.0 + math.exp(-z))
 
 
@@ -92,16 +102,20 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray
     return w
 
 
-def _sigmoid(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift that turn margins into probabilities: logistic loss by Newton steps, slightly regularised."""
+def _sigmoid(margins: np.ndarray, sure: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and shift that turn margins into probabilities: logistic loss by Newton steps, slightly regularised.
+
+    Shift counts by a text's sureness and the prior by the rest. Likewise the classes weigh the same where texts tell
+    much and as often as they occur where texts tell little.
+    """
     a, b = 1.0, 0.0
-    target = (y > 0).astype(float)
-    weight = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
+    target, fixed = (y > 0).astype(float), prior * (1 - sure)
+    weight = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9)) ** sure
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margins + b, -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip(a * margins + b * sure + fixed, -500, 500)))
         g, h = weight * (p - target), weight * p * (1 - p)
-        gradient = np.array([g @ margins + 0.01 * a, g.sum() + 0.01 * b])
-        hessian = np.array([[h @ margins**2 + 0.01, h @ margins], [h @ margins, h.sum() + 0.01]])
+        gradient = np.array([g @ margins + 0.01 * a, g @ sure + 0.01 * b])
+        hessian = np.array([[h @ margins**2 + 0.01, h @ (margins * sure)], [h @ (margins * sure), h @ sure**2 + 0.01]])
         move = np.linalg.solve(hessian, gradient)
         a, b = a - move[0], b - move[1]
         if np.abs(move).max() < 1e-6:
@@ -136,7 +150,7 @@ def fit(labelled: DataFrame, width: int = FEATURES, fit_rows: int = FIT_ROWS) ->
 
     classes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(classes) < 2:
-        return Model(np.zeros(width), 0.0, 0.0, 0.0)
+        return Model(np.zeros(width), 0.0, 0.0, 0.0, 0.0)
     sums = (rows.select("label", "text").mapInArrow(counted, "feature long, good long, bad long")
             .groupBy("feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toPandas())
     good, bad = np.zeros(width), np.zeros(width)
@@ -149,16 +163,18 @@ def fit(labelled: DataFrame, width: int = FEATURES, fit_rows: int = FIT_ROWS) ->
               .orderBy("_turn", "at", "label").limit(2 * fit_rows).toPandas())
     at = [np.frombuffer(b, dtype=np.int32) for b in sample["at"]]
     y = np.where(sample["label"].to_numpy() == 1, 1.0, -1.0)
-    values = [np.append(ratios[a] / math.sqrt(max(len(a), 1)), 1.0) for a in at]
+    sure = sureness(np.array([len(a) for a in at], dtype=float))
+    values = [np.append(ratios[a] / math.sqrt(max(len(a), 1)), s) for a, s in zip(at, sure)]
     w = dual_descent([np.append(a, width) for a in at], values, y, width + 1)
     margins = np.array([w[np.append(a, width)] @ v for a, v in zip(at, values)])
-    return Model(ratios * w[:width], float(w[width]), *_sigmoid(margins, y))
+    prior = math.log(classes[1] / classes[0])
+    return Model(ratios * w[:width], float(w[width]), *_sigmoid(margins, sure, y, prior), prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Add `score` (0 to 1, higher for label 1) and `predicted` (1 from 0.5 on) to the columns of `docs`.
 
-    Only the whole text is an input; null and empty texts get the score of a text without n-grams; columns
+    Only the whole text is an input; null and empty texts get the share of label 1; columns
     named like a result are replaced; an empty table gives an empty result.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]

@@ -125,6 +125,13 @@ def test_quality(spark, docs, empty):
     assert all(r["predicted"] == r["label"] for r in scored.collect())
 
 
+def test_quality_of_a_text_without_evidence_is_that_of_the_labels(spark):
+    rows = [(i, LONG * (5 + i % 40) if i % 4 else "BAD!! $$$ junk " * (30 + i % 40), min(i % 4, 1)) for i in range(200)]
+    model = quality.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert model.score("") == model.score(None) == pytest.approx(0.75)
+    assert model.score("the bear runs") >= 0.5 > model.score("BAD!! $$$ junk " * 30)
+
+
 def test_url_filter(spark):
     entries = spark.sql("""SELECT * FROM VALUES ('domain', 'Example.com', 'block', timestamp'2024-01-01'),
         ('domain', 'example.com', 'clear', timestamp'2024-02-01'), ('domain', 'example.com', 'allow', timestamp'2024-02-01'),

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratamart.llm import queries as registered
@@ -148,6 +149,19 @@ def test_quality(spark, docs):
         assert sum(mine) >= 0.9 * len(mine)
 
 
+def test_quality_keeps_good_documents_of_every_length(spark):
+    """On the largest tables, the smaller ones hold hardly any short labelled text."""
+    tables = "/root/testdata/sf0.1"
+    sizes = dict(read_table(spark, tables, "documents").select("doc_id", F.length("text")).collect())
+    labels = dict(read_table(spark, tables, "labels").select("doc_id", "quality").collect())
+    found = [r for r in QUERIES["op6_quality_classifier"](spark, tables).collect() if r["held_out"] and r["doc_id"] in labels]
+    for low, high in ((0, 100), (100, 200), (200, 400), (400, 1000), (1000, 5000), (5000, 10**9)):
+        good = [r["predicted"] for r in found if labels[r["doc_id"]] == 1 and low <= sizes[r["doc_id"]] < high]
+        assert good and sum(good) >= 0.75 * len(good)
+    bad = [r["predicted"] for r in found if labels[r["doc_id"]] == 0]
+    assert sum(bad) <= 0.2 * len(bad)
+
+
 def test_url_filters(spark):
     connection = duckdb.connect()
     for table in ("pages", "events"):
