@@ -70,6 +70,26 @@ def test_vectors(spark):
     assert forest.search(frame.limit(0), frame, 3).count() == 0
 
 
+@pytest.mark.parametrize("lengths", ["equal", "one outlier", "log-normal", "few long"])
+@pytest.mark.parametrize("towards", [0.0, 3.0])
+def test_forest_recall_whatever_the_lengths(lengths, towards):
+    random = np.random.default_rng(11)
+    n = 2000
+    centres = random.standard_normal((40, 32))
+    x = centres[random.integers(0, 40, n)] + 0.7 * random.standard_normal((n, 32)) + towards
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"equal": np.ones(n), "one outlier": np.where(np.arange(n) == 7, 20.0, 1.0), "log-normal": random.lognormal(0, 0.3, n),
+          "few long": np.where(random.random(n) < 0.01, 30.0, 1.0)}[lengths][:, None]
+    ids, asked = np.arange(n), np.arange(0, n, 20)
+    right = 0
+    for i, (found, scores) in zip(asked, forest.nearest(x, ids, x[asked], asked, 20)):
+        want = x @ x[i]
+        order = [j for j in np.lexsort((ids, -want)) if j != i][:20]
+        assert len(found) == 20 and np.allclose(scores, want[found])
+        right += len(set(found.tolist()) & set(order))
+    assert right >= 0.9 * 20 * len(asked)
+
+
 def test_large_buckets_are_cut_and_lose_nothing(spark):
     random = np.random.default_rng(5)
     x = np.array([1.0] + [0.0] * 15) + 0.02 * random.standard_normal((60, 16))
