@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 # Names of the HTML standard and of common page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
-DROPPED = frozenset("script style noscript iframe template svg canvas object form button select textarea input nav header footer "
+DROPPED = frozenset("script style noscript iframe template svg canvas object button select textarea input nav header footer "
                     "aside menu dialog title head noembed noframes xmp".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
@@ -34,33 +34,39 @@ SCOPE = frozenset("article section div td th table body html main ul ol blockquo
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORD = re.compile(r"[a-z]+")
+MARKED = ("article", "main")
 
 
 class Node:
     """An element: its content in order (texts and nodes) and, once measured, what lies under it."""
 
-    __slots__ = ("name", "parent", "content", "furniture", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "content", "furniture", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, furniture: bool = False) -> None:
-        self.name, self.parent, self.furniture = name, parent, furniture
+    def __init__(self, name: str, parent: Node | None, furniture: bool = False, named: bool = False) -> None:
+        self.name, self.parent, self.furniture, self.named = name, parent, furniture, named
         self.content: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
 def _is_furniture(name: str, attributes: str) -> bool:
-    if name in DROPPED:
-        return True
-    if name in ("html", "body", "main", "article") or not attributes:
+    return name in DROPPED or name not in ("html", "body", *MARKED) and bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes))
+
+
+def _is_named(name: str, attributes: str) -> bool:
+    """Whether an element is a form, has a role of furniture or a class or id all of whose words name furniture."""
+    if name in ("html", "body", *MARKED):
         return False
+    if name == "form":
+        return True
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
         key = key.lower()
         if key == "role" and value in ROLES:
             return True
-        if key in ("class", "id") and not FURNITURE.isdisjoint(_WORD.findall(value)):
+        if key in ("class", "id") and any(FURNITURE.issuperset(words) for words in map(_WORD.findall, value.split()) if words):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes))
+    return False
 
 
 def parse(page: str) -> Node:
@@ -99,7 +105,7 @@ def parse(page: str) -> Node:
             up = up.parent
         if up.parent is not None and name in CLOSES.get(up.name, ()):
             node = up.parent
-        child = Node(name, node, _is_furniture(name, token[3]))
+        child = Node(name, node, _is_furniture(name, token[3]), _is_named(name, token[3]))
         node.content.append(child)
         if name in VOID or token[3].endswith("/") and name not in RAW and name in ("svg", "path", "use", "rect", "circle"):
             continue
@@ -127,6 +133,29 @@ def _measure(root: Node) -> None:
         node.link_chars = node.chars if node.name == "a" else sum(c.link_chars for c in children)
 
 
+def _cut_named(root: Node) -> bool:
+    """Make furniture of the elements so named; needs measures. One that holds an article, a main part or a first heading stays,
+    and so does one that holds most of the page's text outside links, unless an article or main part lies elsewhere."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.content if isinstance(c, Node) and not c.furniture)
+    holding: set[Node] = set()
+    for node in order:
+        if node.chars and node.name in (*MARKED, "h1"):
+            while node is not None and node not in holding:
+                holding.add(node)
+                node = node.parent
+    marked = any(n.name in MARKED and n.chars for n in order)
+    most = (root.chars - root.link_chars) / 2
+    cut = False
+    for node in order:
+        if node.named and node not in holding and (marked or node.chars - node.link_chars <= most):
+            node.furniture = cut = True
+    return cut
+
+
 def _densities(root: Node) -> None:
     """Composite text density of every node: characters per tag, with a logarithm whose base grows with the share of
     link text. A node's total is the sum of its children's densities."""
@@ -184,6 +213,8 @@ def main_text(page: str | None) -> str:
     _measure(root)
     if not root.chars:
         return ""
+    if _cut_named(root):
+        _measure(root)
     _densities(root)
     body = _first(root, ("body",)) or root
     best, stack = body, [body]

@@ -202,6 +202,19 @@ def test_extraction(spark):
     assert extraction.extract(frame.limit(0)).count() == 0
 
 
+STORY = " ".join("Word after word the story goes on, and nothing in it is a link at all." for _ in range(6))
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="layout with-sidebar">', '<div id="page-header-content">', '<div class="no-comments">',
+                                     '<div class="social">', '<div class="wide related">', '<div class="share">', '<form id="aspnetForm">'])
+@pytest.mark.parametrize("inside", ["<h1>Head</h1><p>{0}</p><p>{0}</p>", "<p>{0}</p><p>{0}</p>", "<article><h1>Head</h1><p>{0}</p><p>{0}</p></article>"])
+def test_extraction_keeps_articles_in_wrappers_with_names_of_furniture(wrapper, inside):
+    end = "</form>" if wrapper.startswith("<form") else "</div>"
+    page = f"""<body><nav><a href=x>go</a></nav>{wrapper}{inside.format(STORY)}{end}<div class="ad">buy this</div>
+      <div class="social-share">tell all</div><form><label>Name</label><input name=a></form></body>"""
+    assert extraction.main_text(page) == " ".join((["Head"] if "Head" in inside else []) + [STORY] * 2)
+
+
 @pytest.mark.parametrize("at_once", [1, 7, 100, 1 << 19])
 def test_strings_are_sorted_alike_in_runs_of_any_size(at_once):
     match, width = 10, 5
