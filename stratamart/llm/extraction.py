@@ -181,10 +181,10 @@ def _densities(root: Node) -> None:
         node.total = sum(c.density for c in node.content if isinstance(c, Node) and not c.furniture)
 
 
-def _texts(node: Node) -> list[str]:
+def _texts(items: list[str | Node]) -> list[str]:
     """The blocks' texts in page order, without furniture: inline elements join, all others part."""
     blocks: list[list[str]] = [[]]
-    stack: list[str | Node | None] = [node]
+    stack: list[str | Node | None] = list(reversed(items))
     while stack:
         item = stack.pop()
         if item is None:
@@ -203,9 +203,10 @@ def _texts(node: Node) -> list[str]:
 def main_text(page: str | None) -> str:
     """The article's text of one page; empty if there is none.
 
-    The subtree with the largest sum of child densities is found. The least density on the path from the body
-    to it is the threshold: the content is every subtree beside that path which reaches it in total or density,
-    as long as it holds running text. Where the page marks an article and it lies there, the article as a whole is taken.
+    The subtree with the largest sum of child densities is found and taken whole, up to the article or main part that it lies in
+    or, if it is inline, up to its block. The least density on the path from the body to it is the threshold: subtrees
+    beside that path which reach it and hold running text (in a marked page: those with articles, which may reach it in
+    total too) are joined, with all between.
     """
     if not page:
         return ""
@@ -226,26 +227,23 @@ def main_text(page: str | None) -> str:
     path = [best]
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
-    marked = [n for n in path if n.name in ("article", "main")]
-    if marked:
-        return " ".join(_texts(marked[0]))
-    whole = _first(best, ("article",))
-    if whole is not None and 2 * whole.chars >= best.chars:
-        return " ".join(_texts(whole))
     threshold = min(n.density for n in path if n.chars)
+    marked = [n for n in path if n.name in MARKED]
+    while (marked and best is not marked[0]) or (best.name in INLINE and best is not path[-1]):
+        best = best.parent
+    chosen: list[str | Node] = [best]
     top = best
-    for up in path[1:]:
-        beside = [c for c in up.content if isinstance(c, Node) and not c.furniture and c is not top and c not in path]
-        if any(c.density >= threshold > 0 and 2 * c.link_chars < c.chars for c in beside):
-            best = up
+    for up in path[path.index(best) + 1:]:
+        at = next(i for i, c in enumerate(up.content) if c is top)
+        others = [(i, c) for i, c in enumerate(up.content) if isinstance(c, Node) and not c.furniture and c is not top]
+        if marked:
+            beside = [i for i, c in others if max(c.density, c.total) >= threshold > 0 and _first(c, MARKED) is not None]
+        else:
+            beside = [i for i, c in others if c.density >= threshold > 0 and 2 * c.link_chars < c.chars]
+        if beside:
+            chosen = up.content[min(*beside, at):at] + chosen + up.content[at + 1:max(*beside, at) + 1]
         top = up
-    texts: list[str] = []
-    for item in best.content:
-        if isinstance(item, str):
-            texts += [" ".join(entities.unescape(item).split())]
-        elif not item.furniture and (2 * item.link_chars < max(1, item.chars) or item.name in INLINE or best.name == "p"):
-            texts += _texts(item)
-    return " ".join(t for t in texts if t)
+    return " ".join(_texts(chosen))
 
 
 def _first(node: Node, names: tuple[str, ...]) -> Node | None:

@@ -215,6 +215,19 @@ def test_extraction_keeps_articles_in_wrappers_with_names_of_furniture(wrapper,
     assert extraction.main_text(page) == " ".join((["Head"] if "Head" in inside else []) + [STORY] * 2)
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<body><article><h1>Head</h1><p>{0}</p><p>{0}</p><p>{0}</p></article><article><p>{0}</p><p>Second</p></article></body>", "Head {0} {0} {0} {0} Second"),
+    ("<body><main><article><p>{0}</p><p>{0}</p><p>{0}</p></article><h2>Between</h2><section><article><p>{0}</p><p>{0}</p></article></section></main></body>",
+     "{0} {0} {0} Between {0} {0}"),
+    ("<body><div><p>{0}</p><p><a href=x>A paragraph that is a link as a whole</a></p><ul><li><a href=y>Source</a></li></ul><p>{0}</p></div></body>",
+     "{0} A paragraph that is a link as a whole Source {0}"),
+    ("<body><div>bo<b>ld</b>er <i>{0}</i> and on</div></body>", "bolder {0} and on"),
+    ("<body><p>one <b>{0} <i>{0}</i></b> two</p></body>", "one {0} {0} two"),
+])
+def test_extraction_drops_nothing_of_split_link_rich_and_unmarked_articles(page, want):
+    assert extraction.main_text(page.format(STORY)) == want.format(STORY)
+
+
 @pytest.mark.parametrize("at_once", [1, 7, 100, 1 << 19])
 def test_strings_are_sorted_alike_in_runs_of_any_size(at_once):
     match, width = 10, 5
