@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratamart.llm import queries as registered
+from stratamart.llm import forest, queries as registered
 from stratamart.sources.listings import read_table
 
 SF_DIR = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.001")
@@ -103,6 +103,22 @@ def test_neighbours(spark, embeddings):
     assert found / (20 * len(asked)) >= 0.9
 
 
+def test_neighbours_in_a_shard_that_is_cut(spark):
+    rows = read_table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding")
+    found = forest.search(rows.where("vec_id % 20 = 0"), rows, 20, least_shards=1).collect()
+    table = rows.collect()
+    ids, x = np.array([r[0] for r in table]), np.array([r[1] for r in table], dtype=float)
+    got = defaultdict(set)
+    for r in found:
+        got[r["query_id"]].add(r["vec_id"])
+    assert 4 * 20 < forest.SHARE * len(ids)
+    right = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        order = [j for j in np.lexsort((ids, -(x @ x[i]))) if j != i][:20]
+        right += len(got[int(ids[i])] & {int(ids[j]) for j in order})
+    assert right >= 0.9 * 20 * len(got)
+
+
 def test_token_records(spark, docs):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     start, want = 0, set()
