@@ -55,14 +55,14 @@ def add_running(df: DataFrame, group: list[str], order: list[str], value: str, s
             .drop("_base", "_slice"))
 
 
-def join_salted(rows: DataFrame, by: str | list[str], spread: str, table: DataFrame) -> DataFrame:
+def join_salted(rows: DataFrame, by: str | list[str], spread: str, table: DataFrame, salts: int = SALTS) -> DataFrame:
     """Left join `rows` to `table` (one row per `by`) when one key may hold a third of the rows.
 
-    The distinct pairs of key and salt, at most `SALTS` per key, meet the table; the rows then meet
-    those pairs, so a hot key is spread over `SALTS` keys. `by` must not be null.
+    The distinct pairs of key and salt, at most `salts` per key, meet the table; the rows then meet
+    those pairs, so a hot key is spread over `salts` keys. `by` must not be null.
     """
     by = [by] if isinstance(by, str) else by
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     pairs = salted.select(*by, "_salt").distinct().join(table, by, "left")
     return salted.join(pairs, [*by, "_salt"]).drop("_salt")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stratamart.llm import extraction, forest, mixing, neighbours, packing, quality, records, repeats, simhash, url_filter
+from stratamart.llm import extraction, forest, host_rules, mixing, neighbours, packing, phrases, quality, ranked, records, repeats, simhash, url_filter
 from stratamart.llm.tokens import Encoding
 from stratamart.sources.listings import read_table
 
@@ -17,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SIMHASH_SHINGLE, SIMHASH_BITS = 4, 4
 LEAST_COSINE = 0.95
 NEIGHBOURS, QUERY_STEP = 20, 20
+RANKED, PHRASES = 20, 2000
 #: The fold of documents that the classifier never learns from.
 FOLDS, HELD_OUT = 3, 1
 
@@ -105,6 +106,21 @@ def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def host_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source."""
+    judged = host_rules.judge(read_table(spark, sf_dir, "documents"), F.col("source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), RANKED)
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.best(phrases.mine(read_table(spark, sf_dir, "documents")), PHRASES)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run  # it imports this module
 
@@ -123,6 +139,9 @@ def queries() -> dict[str, Query]:
         "op8_nearest_neighbours": nearest_neighbours,
         "op9_mix_sources": mixed_sources,
         "op10_suffix_array_dedup": without_repeats,
+        "op11_host_rules": host_verdicts,
+        "op12_ranked_search": ranked_search,
+        "op13_phrase_collocations": phrase_collocations,
         "pipeline": pipeline,
     }
 
@@ -158,5 +177,75 @@ FROM captures c LEFT JOIN matched m ON m.n = c.n AND m.place = 1
 """
 
 
+_HOST_RULES = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, source, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs),
+lines AS (
+  SELECT d, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT d, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY d),
+placed AS (SELECT d, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+windows AS (SELECT a.d, a.i, count(*) OVER (PARTITION BY a.d, a.word, b.word, c.word) AS seen
+  FROM placed a JOIN placed b ON b.d = a.d AND b.i = a.i + 1 JOIN placed c ON c.d = a.d AND c.i = a.i + 2),
+repeated AS (SELECT d, count(DISTINCT i + step) AS n_repeat_words FROM windows, (SELECT unnest([0, 1, 2]) AS step) WHERE seen > 1 GROUP BY d),
+measured AS (
+  SELECT s.d, doc_id, source, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0)::BIGINT AS n_lines,
+    coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN lines USING (d) LEFT JOIN repeated USING (d)),
+tested AS (SELECT *, [n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words,
+  word_chars < 3 * n_words OR word_chars > 10 * n_words, 100 * n_dup_lines > 30 * n_lines] AS fails FROM measured),
+hosts AS (SELECT source, rule, count(*) AS n, count(*) FILTER (fails[rule]) AS k FROM tested, (SELECT unnest([1, 2, 3, 4, 5]) AS rule) GROUP BY ALL),
+sums AS (SELECT rule, count(*) - 1.0 AS free, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k, sum(n * n)::DOUBLE AS nn, sum(k::DOUBLE * k / n) AS kk FROM hosts GROUP BY rule),
+priors AS (SELECT rule, k / n AS mean, least(coalesce(CASE WHEN n - nn / n - free > 0 AND k > 0 AND k < n
+  THEN ((kk - k * k / n) / (k / n * (1 - k / n)) - free) / (n - nn / n - free) END, 0), 1 - 1e-9) AS alike FROM sums),
+verdicts AS (SELECT source, max(CASE WHEN alike <= 0 THEN mean ELSE (k + mean * (1 / alike - 1)) / (n + 1 / alike - 1) END) > 0.5 AS failed
+  FROM hosts JOIN priors USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fails[1] OR fails[2] AS base_failed, NOT (fails[1] OR fails[2] OR failed) AS kept
+FROM tested t JOIN verdicts v ON v.source IS NOT DISTINCT FROM t.source
+"""
+
+_RANKED_SEARCH = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+wanted AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+totals AS (SELECT count(*) AS big_n, sum(len(terms))::BIGINT AS big_l FROM docs WHERE len(terms) > 0),
+postings AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term),
+impacts AS (SELECT d, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(terms) * big_n) // big_l))) AS impact
+  FROM postings JOIN docs USING (d) JOIN weights USING (term), totals),
+scored AS (SELECT q, item_id, d, doc_id, sum(times * impact)::BIGINT AS score FROM wanted JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+counted AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+        FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(words) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+listed AS (SELECT *, string_split(phrase, ' ') AS words FROM counted WHERE k > 1),
+cuts AS (
+  SELECT c.*, cut, l.f AS l, r.f AS r, n, ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM listed c JOIN (SELECT unnest([1, 2, 3, 4]) AS cut) ON cut < k JOIN totals USING (lang)
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(words[:cut], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM cuts) WHERE place = 1),
+inside AS (
+  SELECT DISTINCT lang, part FROM (SELECT lang, f, unnest(list_transform(range(1, k - j + 2), lambda i: array_to_string(words[i:i + j - 1], ' '))) AS part
+    FROM listed, (SELECT unnest([2, 3, 4]) AS j) WHERE j < k) o JOIN counted s USING (lang) WHERE s.phrase = part AND 100 * o.f >= 100 * s.f)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(phrase)) AS rank, phrase, f AS a, l, r, n, score
+      FROM lowest c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.part = c.phrase)) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filters": _URL_FILTERS}
+    return {"op7_url_filters": _URL_FILTERS, "op11_host_rules": _HOST_RULES, "op12_ranked_search": _RANKED_SEARCH, "op13_phrase_collocations": _PHRASES}
