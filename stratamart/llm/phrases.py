@@ -138,10 +138,10 @@ def _occurrences(docs: DataFrame, block_words: int) -> DataFrame:
 def _frequent(blocks: DataFrame, key: dict[str, Column], least: int, label: str) -> DataFrame:
     """Where frequent phrases lie: `lang`, the columns of the key, `f`, `id` of the phrase, `block`, `code`. Counted and
     chosen in one shuffle. A phrase's id is the least of its places, so it needs no numbering and no second join."""
-    listed = blocks.select("lang", "block", F.posexplode(F.arrays_zip("keys", "counts")).alias("code", "_one"))
+    listed = blocks.select("lang", "block", "counts", F.posexplode("keys").alias("code", "_key"))
     named = {"lang": F.col("lang")} | key
     places = listed.select("block", "code", *[c.alias(name) for name, c in named.items()],
-                           F.col("_one.counts").cast("long").alias("_count"), _place().alias("_place"))
+                           F.get("counts", "code").cast("long").alias("_count"), _place().alias("_place"))
     same = Window.partitionBy(*key)
     counted = places.withColumn("f", F.sum("_count").over(same)).withColumn("id", F.min("_place").over(same))
     return materialize(counted.where(F.col("f") >= least).select(*named, "f", "id", "block", "code"), label)
@@ -199,8 +199,8 @@ def mine(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, abso
     """
     blocks = _occurrences(docs, block_words)
     totals = blocks.groupBy("lang").agg(F.sum("words").alias("n"))
-    places = _frequent(blocks, {"lang": F.col("lang"), "word": F.col("_one.keys")}, least, "frequent_1")
-    pair = {"left": F.col("_one.keys.left"), "right": F.col("_one.keys.right")}  # ids of one language each
+    places = _frequent(blocks, {"lang": F.col("lang"), "word": F.col("_key")}, least, "frequent_1")
+    pair = {"left": F.col("_key.left"), "right": F.col("_key.right")}  # ids of one language each
     own = F.col("id") == _place()
     f = F.array("f")
     known = places.where(own).select("lang", "id", F.col("word").alias("last"), F.col("word").alias("phrase"), f.alias("firsts"), f.alias("rests"))

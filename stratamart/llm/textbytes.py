@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text looked at together; one longer text is looked at alone. Memory only.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 
 def byte_set(*values: int | range) -> np.ndarray:
@@ -46,6 +46,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterat
             raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
             yield rows, raw[edges[0]:edges[-1]], edges - edges[0]
             at = stop
+            pa.default_memory_pool().release_unused()
 
 
 def runs(inside: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
