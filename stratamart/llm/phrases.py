@@ -31,7 +31,7 @@ _WORD_BYTES = ~(_BREAKS | byte_set(0x20, 0x09))
 
 LEAST_COUNT, LONGEST, ABSORBED_PERCENT = 100, 5, 100
 #: Positions of a block (one longer piece makes a longer block), and blocks of a file. Layout only.
-BLOCK_WORDS, FILE_BLOCKS = 1 << 20, 16
+BLOCK_WORDS, FILE_BLOCKS = 1 << 18, 16
 #: A place is a task, a block of the task and a phrase of the block, in one long.
 _TASK_BITS, _BLOCK_BITS, _CODE_BITS = 20, 17, 26
 
