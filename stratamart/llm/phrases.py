@@ -1,24 +1,27 @@
 """Phrases whose words occur together more often than apart, by mining relations of occurrences length by length.
 
 The relation of a length holds the occurrences of its phrases, sorted by piece and position. It is kept in blocks: a
-row holds a run of positions of one language, and for each position the number of the phrase that begins there, with
-the block's own phrases and their counts beside it. Positions skip one between pieces, so neighbours are in one piece.
+row holds a run of positions of one language, and for each position the number of the phrase that begins there; the
+block's distinct phrases and their counts lie beside it, dealt into buckets by a hash. Positions skip one between
+pieces, so neighbours are in one piece. All of it is packed, so a shuffle carries a few bytes per phrase and no row each.
 
-- Counting: the phrases of all blocks meet by their words, once, and are summed there.
-- Semi-join: only those frequent enough go back to their blocks, as the phrase's identity under the block's number.
+- Counting: the phrases of all blocks meet in their bucket and are summed there.
+- Semi-join: of those frequent enough, each block gets the number of the phrase back.
 - Extension: occurrences at adjacent positions of a block merge into those of the next length.
 
-Every relation is written before the next step. A phrase is at most one row per block, however often it occurs, so no
-phrase is hot: that is what blocks are for.
+Every relation is written before the next step. A phrase is at most one entry per block, however often it occurs, so no
+phrase is hot: that is what blocks are for. Buckets follow the number of words, so that each fits a task.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,25 +33,83 @@ _BREAKS = byte_set(*b".,;:!?", range(0x0A, 0x0E))
 _WORD_BYTES = ~(_BREAKS | byte_set(0x20, 0x09))
 
 LEAST_COUNT, LONGEST, ABSORBED_PERCENT = 100, 5, 100
-#: Positions of a block (one longer piece makes a longer block), and blocks of a file. Layout only.
-BLOCK_WORDS, FILE_BLOCKS = 1 << 18, 16
-#: A place is a task, a block of the task and a phrase of the block, in one long.
-_TASK_BITS, _BLOCK_BITS, _CODE_BITS = 20, 17, 26
-
-_BLOCKS = "block long, lang string, words long, codes binary, {keys}, counts array<int>"
+#: Positions of a block (one longer piece makes a longer block), and rows of a file. Layout only.
+BLOCK_WORDS, FILE_ROWS = 1 << 18, 1024
+#: Words per bucket, bytes of text per bucket where words are not counted yet, and the fewest buckets. Layout only.
+BUCKET_WORDS, BUCKET_BYTES, LEAST_BUCKETS = 1 << 22, 1 << 24, 64
+
+#: A row is a block's occurrences (`words` of them, `codes`), or its phrases of one bucket: those numbered from `base` on.
+_RELATION = "block long, lang string, words long, codes binary, bucket int, base int, keys binary"
+_FOUND = "lang string, block long, places binary, id long, f long, "
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Arrays as compressed bytes: per array its type, its length and its bytes, those of equal significance together."""
+    parts = []
+    for column in columns:
+        column = np.ascontiguousarray(column)
+        parts.append(f"{column.dtype.char}{len(column)};".encode())
+        parts.append(column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes())
+    raw = b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def unpack(packed: bytes) -> list[np.ndarray]:
+    size = int.from_bytes(packed[:8], "little")
+    raw = pa.Codec("zstd").decompress(packed[8:], size, asbytes=True)
+    out, at = [], 0
+    while at < size:
+        end = raw.index(b";", at)
+        kind, count = np.dtype(chr(raw[at])), int(raw[at + 1:end])
+        at = end + 1 + count * kind.itemsize
+        planes = np.frombuffer(raw, np.uint8, count * kind.itemsize, end + 1).reshape(kind.itemsize, count)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+    return out
+
+
+def _smallest(values: np.ndarray) -> np.ndarray:
+    """The same numbers in 32 bits where they fit."""
+    return values.astype(np.int32) if not len(values) or values.max() < 1 << 31 else values.astype(np.int64)
 
 
 def _stored(blocks: DataFrame, label: str) -> DataFrame:
-    """Written once, few blocks to a file, as Spark reads many rows of a file at a time."""
+    """Written once, not many rows to a file, as Spark reads many rows of a file at a time."""
     spark = blocks.sparkSession
     path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
-    blocks.write.option("maxRecordsPerFile", FILE_BLOCKS).parquet(path)
+    blocks.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return spark.read.schema(blocks.schema).parquet(path)
 
 
-def _list(values: pa.Array) -> pa.ListArray:
-    """One row that holds all values."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _relation_rows(block: int, lang: str, codes: np.ndarray, buckets: np.ndarray, keys: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    """The rows of one block: its occurrences, then (first, number, packed) of its phrases per bucket."""
+    more = len(keys)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block] * (1 + more), pa.int64()), pa.array([lang] * (1 + more)), pa.array([int((codes >= 0).sum())] + [0] * more, pa.int64()),
+         pa.array([pack(codes.astype(np.int32))] + [None] * more, pa.binary()), pa.array([None, *buckets.tolist()], pa.int32()),
+         pa.array([None, *(first for first, _, _ in keys)], pa.int32()), pa.array([None, *(data for _, _, data in keys)], pa.binary())],
+        ["block", "lang", "words", "codes", "bucket", "base", "keys"])
+
+
+def _dealt(buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, begin, end) of ascending buckets."""
+    found, first = np.unique(buckets, return_index=True)
+    yield from zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(buckets)])
+
+
+def _word_hash(lengths: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """A hash per word: a polynomial of its bytes, mixed. It only deals words into buckets."""
+    if not len(lengths):
+        return np.zeros(0, dtype=np.uint64)
+    begins = np.cumsum(lengths) - lengths
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), np.uint64(0x100000001B3)))
+    terms = (raw.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(raw)) - np.repeat(begins, lengths)]
+    return _mixed(np.add.reduceat(terms, begins))
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * _MIX
+    return values ^ (values >> np.uint64(29))
 
 
 class _Pending:
@@ -75,25 +136,45 @@ class _Pending:
         return codes, found.dictionary, np.bincount(codes[inside], minlength=len(found.dictionary))
 
 
-def _occurrences(docs: DataFrame, block_words: int) -> DataFrame:
-    """The relation of single words, in blocks; `keys` holds the words."""
+def _word_rows(block: int, lang: str, codes: np.ndarray, words: pa.Array, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rows of a block of single words, renumbered by bucket and by bytes within it."""
+    lengths, raw = _bytes_of(words)
+    bucket = (_word_hash(lengths, raw) % np.uint64(buckets)).astype(np.int64)
+    by_bytes = np.empty(len(words), dtype=np.int64)
+    by_bytes[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+    order = np.lexsort((by_bytes, bucket))
+    renumbered = np.full(len(words) + 1, -1, dtype=np.int64)
+    renumbered[order] = np.arange(len(words))
+    words, counts, bucket = words.take(pa.array(order)), counts[order], bucket[order]
+    parts = list(_dealt(bucket))
+    keys = [(a, b - a, pack(_smallest(counts[a:b]), *_packable(words.slice(a, b - a)))) for _, a, b in parts]
+    return _relation_rows(block, lang, renumbered[codes], np.array([p[0] for p in parts], dtype=np.int64), keys)
+
+
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and bytes of large binaries."""
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset:words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
+    return np.diff(offsets), raw
+
+
+def _packable(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    lengths, raw = _bytes_of(words)
+    return _smallest(lengths), raw
+
+
+def _occurrences(docs: DataFrame, block_words: int, buckets: int) -> DataFrame:
+    """The relation of single words."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
+        task = TaskContext.get().partitionId() << 32
         emitted = 0
         pending: dict[str, _Pending] = {}
 
         def emit(lang: str) -> pa.RecordBatch:
             nonlocal emitted
-            codes, words, counts = pending.pop(lang).block()
-            if task >> _TASK_BITS or emitted >> _BLOCK_BITS or len(words) >> _CODE_BITS:
-                raise ValueError("more tasks, blocks or words than a place can name: use larger or smaller partitions")
-            block = task << _BLOCK_BITS | emitted
             emitted += 1
-            keys = words.cast(pa.large_string()).cast(pa.string())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([lang]), pa.array([int((codes >= 0).sum())], pa.int64()),
-                 pa.array([codes.astype("<i4").tobytes()], pa.binary()), _list(keys), _list(pa.array(counts.astype(np.int32)))],
-                ["block", "lang", "words", "codes", "keys", "counts"])
+            return _word_rows(task + emitted, lang, *pending.pop(lang).block(), buckets)
 
         for rows, raw, edges in chunks(batches):
             langs = rows.column(0).dictionary_encode()
@@ -132,55 +213,91 @@ def _occurrences(docs: DataFrame, block_words: int) -> DataFrame:
             yield emit(lang)
 
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return _stored(read.mapInArrow(cut, _BLOCKS.format(keys="keys array<string>")), "occurrences_1")
-
-
-def _frequent(blocks: DataFrame, key: dict[str, Column], least: int, label: str) -> DataFrame:
-    """Where frequent phrases lie: `lang`, the columns of the key, `f`, `id` of the phrase, `block`, `code`. Counted and
-    chosen in one shuffle. A phrase's id is the least of its places, so it needs no numbering and no second join."""
-    listed = blocks.select("lang", "block", "counts", F.posexplode("keys").alias("code", "_key"))
-    named = {"lang": F.col("lang")} | key
-    places = listed.select("block", "code", *[c.alias(name) for name, c in named.items()],
-                           F.get("counts", "code").cast("long").alias("_count"), _place().alias("_place"))
-    same = Window.partitionBy(*key)
-    counted = places.withColumn("f", F.sum("_count").over(same)).withColumn("id", F.min("_place").over(same))
-    return materialize(counted.where(F.col("f") >= least).select(*named, "f", "id", "block", "code"), label)
-
+    return _stored(read.mapInArrow(cut, _RELATION), "occurrences_1")
+
+
+def _frequent(relation: DataFrame, single: bool, buckets: int, least: int, label: str) -> DataFrame:
+    """What occurs often enough: per phrase a row with its `id`, `f` and what it is of (`word`, or the ids `left` and `right` of
+    the phrases without its last and first word), and per block and bucket a row with the `places` of such phrases,
+    their numbers in the block and their ids. Ids are unique per length and language."""
+    what = "word string" if single else "left long, right long"
+    kinds = [pa.string()] if single else [pa.int64(), pa.int64()]
+    schema = pa.schema([("lang", pa.string()), ("block", pa.int64()), ("places", pa.binary()), ("id", pa.int64()), ("f", pa.int64()),
+                        *zip(["word"] if single else ["left", "right"], kinds)])
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        parts = [unpack(data.as_py()) for data in rows.column("keys")]
+        sizes = [len(part[0]) for part in parts]
+        if single:
+            lengths = np.concatenate([part[1] for part in parts]).astype(np.int64)
+            offsets = np.concatenate(([0], np.cumsum(lengths)))
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate([p[2] for p in parts]))])
+            found = words.dictionary_encode()
+            number = found.indices.to_numpy()
+        else:
+            left, right = (np.concatenate([part[i] for part in parts]).astype(np.int64) for i in (1, 2))
+            left = np.concatenate([np.cumsum(a) for a in np.split(left, np.cumsum(sizes)[:-1])])
+            lefts, left_at = np.unique(left, return_inverse=True)
+            rights, right_at = np.unique(right, return_inverse=True)
+            pairs, number = np.unique(left_at * len(rights) + right_at, return_inverse=True)
+        f = np.bincount(number, weights=np.concatenate([part[0] for part in parts])).astype(np.int64)
+        often = np.flatnonzero(f >= least)
+        ids = np.full(len(f), -1, dtype=np.int64)
+        ids[often] = np.arange(len(often)) * buckets + key[1].as_py()
+        if single:
+            told = [found.dictionary.take(pa.array(often)).cast(pa.large_string()).cast(pa.string())]
+        else:
+            told = [pa.array(lefts[pairs[often] // len(rights)]), pa.array(rights[pairs[often] % len(rights)])]
+        replies, to = [], []
+        for block, base, own in zip(rows.column("block").to_pylist(), rows.column("base").to_pylist(), np.split(ids[number], np.cumsum(sizes)[:-1])):
+            kept = np.flatnonzero(own >= 0)
+            if len(kept):
+                to.append(block)
+                replies.append(pack((base + kept).astype(np.int32), _smallest(own[kept])))
+        n, m = len(often), len(to)
+        return pa.Table.from_arrays(
+            [pa.array([key[0].as_py()] * (n + m), pa.string()), pa.array([None] * n + to, pa.int64()), pa.array([None] * n + replies, pa.binary()),
+             pa.concat_arrays([pa.array(ids[often]), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.array(f[often]), pa.nulls(m, pa.int64())]),
+             *(pa.concat_arrays([t, pa.nulls(m, t.type)]) for t in told)], schema=schema)
 
-def _place() -> Column:
-    return F.shiftleft("block", _CODE_BITS) + F.col("code")
+    dealt = relation.where("bucket is not null").select("lang", "bucket", "block", "base", "keys")
+    return _stored(dealt.groupBy("lang", "bucket").applyInArrow(count, _FOUND + what), label)
 
 
-def _extended(blocks: DataFrame, frequent: DataFrame, label: str) -> DataFrame:
-    """The next length's relation: frequent phrases at adjacent positions of a block. `keys` holds pairs of ids, of the
-    phrase without its last and of that without its first word."""
+def _extended(relation: DataFrame, frequent: DataFrame, buckets: int, label: str) -> DataFrame:
+    """The next length's relation: frequent phrases at adjacent positions of a block."""
     def merge(key: tuple, block: pa.Table, places: pa.Table) -> pa.Table:
-        schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("codes", pa.binary()),
-                            ("keys", pa.list_(pa.struct([("left", pa.int64()), ("right", pa.int64())]))), ("counts", pa.list_(pa.int32()))])
+        empty = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("codes", pa.binary()),
+                           ("bucket", pa.int32()), ("base", pa.int32()), ("keys", pa.binary())]).empty_table()
         if not block.num_rows or not places.num_rows:
-            return schema.empty_table()
-        codes = np.frombuffer(block.column("codes")[0].as_buffer(), dtype="<i4")
-        code, ids = places.column("code").to_numpy(), places.column("id").to_numpy()
-        # Places of the codes in `places`, with none for infrequent phrases and between pieces.
+            return empty
+        codes = unpack(block.column("codes")[0].as_py())[0]
+        parts = [unpack(data.as_py()) for data in places.column("places")]
+        code, ids = np.concatenate([part[0] for part in parts]), np.concatenate([part[1].astype(np.int64) for part in parts])
+        # Places of the codes among the frequent ones; none for the others and, by its last value, for -1 between pieces.
         local = np.full(int(max(codes.max(), code.max())) + 2, -1, dtype=np.int64)
         local[code] = np.arange(len(code))
-        at = local[codes]  # code -1 looks at the last place, which is none
+        at = local[codes]
         pair = (at[:-1] >= 0) & (at[1:] >= 0)
-        keys = at[:-1][pair] * len(code) + at[1:][pair]
-        found, numbers, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        found, numbers, counts = np.unique(at[:-1][pair] * len(code) + at[1:][pair], return_inverse=True, return_counts=True)
         if not len(found):
-            return schema.empty_table()
-        out = np.full(len(codes) - 1, -1, dtype="<i4")
-        out[pair] = numbers
-        pairs = pa.StructArray.from_arrays([pa.array(ids[found // len(code)]), pa.array(ids[found % len(code)])], ["left", "right"])
-        return pa.Table.from_arrays(
-            [block.column("block"), block.column("lang"), pa.array([int(pair.sum())], pa.int64()), pa.array([out.tobytes()], pa.binary()),
-             _list(pairs), _list(pa.array(counts.astype(np.int32)))], schema=schema)
-
-    kept = blocks.select("block", "lang", "codes").groupBy("block")
-    merged = kept.cogroup(frequent.select("block", "code", "id").groupBy("block"))
-    schema = _BLOCKS.format(keys="keys array<struct<left: long, right: long>>")
-    return _stored(merged.applyInArrow(merge, schema), label)
+            return empty
+        left, right = ids[found // len(code)], ids[found % len(code)]
+        bucket = (_mixed(left.astype(np.uint64) * _MIX + right.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((right, left, bucket))
+        renumbered = np.empty(len(order), dtype=np.int64)
+        renumbered[order] = np.arange(len(order))
+        out = np.full(len(codes) - 1, -1, dtype=np.int64)
+        out[pair] = renumbered[numbers]
+        left, right, counts, bucket = left[order], right[order], counts[order], bucket[order]
+        dealt = list(_dealt(bucket))
+        keys = [(a, b - a, pack(_smallest(counts[a:b]), _smallest(np.diff(left[a:b], prepend=0)), _smallest(right[a:b]))) for _, a, b in dealt]
+        rows = _relation_rows(block.column("block")[0].as_py(), block.column("lang")[0].as_py(), out, np.array([d[0] for d in dealt], dtype=np.int64), keys)
+        return pa.Table.from_batches([rows])
+
+    blocks = relation.where("bucket is null").select("block", "lang", "codes").groupBy("block")
+    replies = frequent.where("block is not null").select("block", "places").groupBy("block")
+    return _stored(blocks.cogroup(replies).applyInArrow(merge, _RELATION), label)
 
 
 def mine(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, absorbed_percent: int = ABSORBED_PERCENT,
@@ -197,28 +314,31 @@ def mine(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, abso
     Null and empty texts hold no word. Repeated rows count as often as they come. An empty table gives no rows. Other
     columns are ignored.
     """
-    blocks = _occurrences(docs, block_words)
-    totals = blocks.groupBy("lang").agg(F.sum("words").alias("n"))
-    places = _frequent(blocks, {"lang": F.col("lang"), "word": F.col("_key")}, least, "frequent_1")
-    pair = {"left": F.col("_key.left"), "right": F.col("_key.right")}  # ids of one language each
-    own = F.col("id") == _place()
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, math.ceil(size / BUCKET_BYTES))
+    relation = _occurrences(docs, block_words, buckets)
+    totals = materialize(relation.groupBy("lang").agg(F.sum("words").alias("n")).where("n > 0"), "words")
+    frequent = _frequent(relation, True, buckets, least, "frequent_1")
     f = F.array("f")
-    known = places.where(own).select("lang", "id", F.col("word").alias("last"), F.col("word").alias("phrase"), f.alias("firsts"), f.alias("rests"))
+    known = frequent.where("id is not null").select("lang", "id", F.col("word").alias("last"), F.col("word").alias("phrase"), f.alias("firsts"), f.alias("rests"))
     found, absorbed = [], []
+    words = totals.agg(F.sum("n")).first()[0] or 0
     for length in range(2, longest + 1):
-        blocks = _extended(blocks, places, f"occurrences_{length}")
-        places = _frequent(blocks, pair, least, f"frequent_{length}")
-        pairs = places.where(own).select("lang", "id", "f", "left", "right")
+        buckets = max(LEAST_BUCKETS, math.ceil(words / BUCKET_WORDS))
+        relation = _extended(relation, frequent, buckets, f"occurrences_{length}")
+        words = relation.agg(F.sum("words")).first()[0] or 0
+        frequent = _frequent(relation, False, buckets, least, f"frequent_{length}")
+        pairs = frequent.where("id is not null").select("lang", "id", "f", "left", "right")
         # `firsts` counts the first 1, 2, ... words of a phrase, `rests` its last 1, 2, ... words.
-        left = known.select(F.col("id").alias("left"), "firsts", F.col("phrase").alias("_phrase"))
-        right = known.select(F.col("id").alias("right"), "rests", "last")
-        known = materialize(pairs.join(left, "left").join(right, "right").select(
+        left = known.select("lang", F.col("id").alias("left"), "firsts", F.col("phrase").alias("_phrase"))
+        right = known.select("lang", F.col("id").alias("right"), "rests", "last")
+        known = materialize(pairs.join(left, ["lang", "left"]).join(right, ["lang", "right"]).select(
             "lang", "id", "left", "right", "last", F.concat("_phrase", F.lit(" "), "last").alias("phrase"), "f",
             F.concat("firsts", f).alias("firsts"), F.concat("rests", f).alias("rests")), f"phrases_{length}")
         found.append(known.withColumn("words", F.lit(length)))
         shorter = F.lit(length - 1).alias("words")  # ids are those of one length
-        absorbed.append(known.select(F.col("left").alias("id"), shorter, "f", F.element_at("firsts", -2).alias("of")))
-        absorbed.append(known.select(F.col("right").alias("id"), shorter, "f", F.element_at("rests", -2).alias("of")))
+        absorbed.append(known.select("lang", F.col("left").alias("id"), shorter, "f", F.element_at("firsts", -2).alias("of")))
+        absorbed.append(known.select("lang", F.col("right").alias("id"), shorter, "f", F.element_at("rests", -2).alias("of")))
     return _scored(found, absorbed, totals, longest, absorbed_percent)
 
 
@@ -228,7 +348,7 @@ def _scored(found: list[DataFrame], absorbed: list[DataFrame], totals: DataFrame
         every = every.unionByName(more)
     for more in absorbed[1:]:
         holding = holding.unionByName(more)
-    gone = holding.where(100 * F.col("f") >= percent * F.col("of")).select("id", "words").distinct()
+    gone = holding.where(100 * F.col("f") >= percent * F.col("of")).select("lang", "id", "words").distinct()
     wide = lambda c: c.cast("decimal(19,0)")  # noqa: E731  products may pass 64 bits
     top = wide(F.col("a")) * 1000 * wide(F.col("n"))
 
@@ -237,7 +357,7 @@ def _scored(found: list[DataFrame], absorbed: list[DataFrame], totals: DataFrame
         score = F.call_function("div", top, wide(first) * wide(rest))
         return F.struct(score.alias("score"), at.alias("at"), first.alias("l"), rest.alias("r"))
 
-    scored = every.join(gone, ["id", "words"], "left_anti").join(totals, "lang").withColumnRenamed("f", "a")
+    scored = every.join(gone, ["lang", "id", "words"], "left_anti").join(totals, "lang").withColumnRenamed("f", "a")
     least = F.array_min(F.transform(F.sequence(F.lit(1), F.col("words") - 1), cut))
     return scored.withColumn("_least", least).select("lang", "phrase", "words", "a", "_least.l", "_least.r", "n", "_least.score")
 
