@@ -16,7 +16,6 @@ phrase is hot: that is what blocks are for. Buckets follow the number of words,
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratamart.llm.textbytes import byte_set, chunks, encoded, lowered, row_of, runs
-from stratamart.staging import materialize, shared_folder
+from stratamart.staging import materialize
 
 _LOWERED = lowered()
 _BREAKS = byte_set(*b".,;:!?", range(0x0A, 0x0E))
 _WORD_BYTES = ~(_BREAKS | byte_set(0x20, 0x09))
 
 LEAST_COUNT, LONGEST, ABSORBED_PERCENT = 100, 5, 100
-#: Positions of a block (one longer piece makes a longer block), and rows of a file. Layout only.
-BLOCK_WORDS, FILE_ROWS = 1 << 18, 1024
+#: Positions of a block (one longer piece makes a longer block). Layout only.
+BLOCK_WORDS = 1 << 18
 #: Words per bucket, bytes of text per bucket where words are not counted yet, and the fewest buckets. Layout only.
 BUCKET_WORDS, BUCKET_BYTES, LEAST_BUCKETS = 1 << 22, 1 << 24, 64
 
@@ -73,14 +72,6 @@ def _smallest(values: np.ndarray) -> np.ndarray:
     return values.astype(np.int32) if not len(values) or values.max() < 1 << 31 else values.astype(np.int64)
 
 
-def _stored(blocks: DataFrame, label: str) -> DataFrame:
-    """Written once, not many rows to a file, as Spark reads many rows of a file at a time."""
-    spark = blocks.sparkSession
-    path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
-    blocks.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-    return spark.read.schema(blocks.schema).parquet(path)
-
-
 def _relation_rows(block: int, lang: str, codes: np.ndarray, buckets: np.ndarray, keys: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     """The rows of one block: its occurrences, then (first, number, packed) of its phrases per bucket."""
     more = len(keys)
@@ -213,7 +204,7 @@ def _occurrences(docs: DataFrame, block_words: int, buckets: int) -> DataFrame:
             yield emit(lang)
 
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return _stored(read.mapInArrow(cut, _RELATION), "occurrences_1")
+    return materialize(read.mapInArrow(cut, _RELATION), "occurrences_1")
 
 
 def _frequent(relation: DataFrame, single: bool, buckets: int, least: int, label: str) -> DataFrame:
@@ -261,7 +252,7 @@ def _frequent(relation: DataFrame, single: bool, buckets: int, least: int, label
              *(pa.concat_arrays([t, pa.nulls(m, t.type)]) for t in told)], schema=schema)
 
     dealt = relation.where("bucket is not null").select("lang", "bucket", "block", "base", "keys")
-    return _stored(dealt.groupBy("lang", "bucket").applyInArrow(count, _FOUND + what), label)
+    return materialize(dealt.groupBy("lang", "bucket").applyInArrow(count, _FOUND + what), label)
 
 
 def _extended(relation: DataFrame, frequent: DataFrame, buckets: int, label: str) -> DataFrame:
@@ -297,7 +288,7 @@ def _extended(relation: DataFrame, frequent: DataFrame, buckets: int, label: str
 
     blocks = relation.where("bucket is null").select("block", "lang", "codes").groupBy("block")
     replies = frequent.where("block is not null").select("block", "places").groupBy("block")
-    return _stored(blocks.cogroup(replies).applyInArrow(merge, _RELATION), label)
+    return materialize(blocks.cogroup(replies).applyInArrow(merge, _RELATION), label)
 
 
 def mine(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, absorbed_percent: int = ABSORBED_PERCENT,
