@@ -122,6 +122,51 @@ def _appended_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.agg(F.count("*").alias("n"), F.countDistinct("id").alias("keys"), F.min("id").alias("first"), F.max("id").alias("last"))
 
 
+# Listings before this year are a first load, those from then on a second one.
+SECOND_LOAD = 1998
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[Lake, DataFrame]:
+    """A lake whose bronze and silver hold the listings of a first load, and those of the second, still to be loaded."""
+    source = session_lake(spark, sf_dir).landing().drop("_file", "_row")  # a part of a file's rows has no dense places
+    lake = Lake(spark, f"{shared_folder(spark)}/loads-{uuid.uuid4().hex}")
+    layers.load_bronze(lake, source.where(F.col("year") < SECOND_LOAD))
+    layers.load_silver(lake)
+    return lake, source.where(F.col("year") >= SECOND_LOAD)
+
+
+def _appended_star(spark: SparkSession, sf_dir: str) -> tuple[Lake, dict[str, DataFrame]]:
+    lake, more = _two_loads(spark, sf_dir)
+    layers.load_bronze(lake, more, "append")
+    return lake, layers.append_silver(lake)
+
+
+def _silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat rows that a star stands for to which a second load was appended."""
+    _, silver = _appended_star(spark, sf_dir)
+    return star.widen(silver["fato_veiculo"], schemas.SILVER_FATO, silver, schemas.LISTING_COLUMNS)
+
+
+def _silver_append_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, silver = _appended_star(spark, sf_dir)
+    keys = {"dim_modelo": "id_modelo", "dim_especificacao": "id_especificacao", "fato_veiculo": "id_fato"}
+    return quality.union_all([quality.key_check(silver[t], key, t) for t, key in keys.items()])
+
+
+def _silver_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a reader finds in the fact before a reload, while a run has written but not published, and after."""
+    lake, more = _two_loads(spark, sf_dir)
+    seen = {"before": lake.read("silver", "fato_veiculo")}
+    layers.load_bronze(lake, more, "append")
+    run = lake.begin("silver")  # a run that dies
+    lake.write_run(run, "fato_veiculo", seen["before"].limit(0))
+    seen["during"] = lake.read("silver", "fato_veiculo")
+    layers.load_silver(lake, "skip_if_loaded")
+    seen["after"] = lake.read("silver", "fato_veiculo")
+    return quality.union_all([df.agg(F.lit(moment).alias("moment"), F.count("*").alias("n"), F.max("id_fato").alias("last"))
+                              for moment, df in seen.items()])
+
+
 def _wide(lake: SessionLake, layer: str) -> DataFrame:
     """A star joined back to flat rows."""
     tables, spec = {"silver": (lake.silver, schemas.SILVER_FATO), "dw": (lake.gold, schemas.GOLD_FATO)}[layer]
@@ -145,6 +190,13 @@ def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def _missing_keys(lake: SessionLake) -> DataFrame:
+    """Fact rows without a key where dimension rows are missing on purpose."""
+    gold = lake.gold() | {"dim_modelo": lake.gold()["dim_modelo"].where(F.col("make") != MAKES[0]),
+                          "dim_condicao": lake.gold()["dim_condicao"].where("condition <> 'Fair'")}
+    return layers.gold_orphans(lake.silver(), gold)
+
+
 def _best_value(**options) -> Callable[..., DataFrame]:
     return lambda fato, modelo: marts.best_value(fato, modelo, min_year=RECENT_YEAR, **options)
 
@@ -176,6 +228,9 @@ def queries() -> dict[str, Query]:
         "silver_dim_modelo": _on_lake(lambda lake: lake.silver()["dim_modelo"]),
         "silver_dim_especificacao": _on_lake(lambda lake: lake.silver()["dim_especificacao"]),
         "silver_fato": _on_lake(lambda lake: lake.silver()["fato_veiculo"].drop("id_fato")),
+        "silver_append": _silver_append,
+        "silver_append_keys": _silver_append_keys,
+        "silver_reload": _silver_reload,
     }
     gold_tables = {
         "gold_dim_modelo": _on_lake(lambda lake: lake.gold()["dim_modelo"]),
@@ -275,7 +330,11 @@ def queries() -> dict[str, Query]:
         "check_keys": _on_lake(reports.key_checks),
         "check_foreign_keys": _on_lake(reports.foreign_key_checks),
         "check_orphans": _on_lake(lambda lake: layers.gold_orphans(lake.silver(), lake.gold())),
+        "check_missing_keys": _on_lake(_missing_keys),
         "check_references": _references,
+        "check_orphan_customers": _on_tables(
+            lambda orders, customer: quality.orphan_keys(orders, "o_custkey", customer.where("c_mktsegment <> 'BUILDING'"), "c_custkey"),
+            "orders", "customer"),
         "check_unused_keys": _on_tables(
             lambda customer, orders: quality.orphan_keys(customer, "c_custkey", orders, "o_custkey"),
             "customer", "orders"),

@@ -243,6 +243,15 @@ def _sources() -> dict[str, str]:
         "silver_dim_modelo": _on_listings(_dimension(schemas.SILVER_MODELO)),
         "silver_dim_especificacao": _on_listings(_dimension(schemas.SILVER_ESPECIFICACAO)),
         "silver_fato": _on_listings(_fact(schemas.SILVER_FATO)),
+        "silver_append": _on_listings(f"SELECT {', '.join(schemas.LISTING_COLUMNS)} FROM b"),
+        "silver_append_keys": _on_listings(_union(
+            f"SELECT '{table}' AS \"table\", '{key}' AS key, count(*) AS rows, 0 AS nulls, 0 AS duplicates, 1 AS min_key, count(*) AS max_key FROM {source}"
+            for table, key, source in (("dim_modelo", "id_modelo", _distinct_rows(schemas.SILVER_MODELO)),
+                                       ("dim_especificacao", "id_especificacao", _distinct_rows(schemas.SILVER_ESPECIFICACAO)),
+                                       ("fato_veiculo", "id_fato", "b")))),
+        "silver_reload": _on_listings(_union(
+            f"SELECT '{moment}' AS moment, count(*) AS n, count(*) AS last FROM b {kept}"
+            for moment, kept in (("before", "WHERE year < 1998"), ("during", "WHERE year < 1998"), ("after", "")))),
         "gold_dim_modelo": _on_listings(_dimension(schemas.GOLD_MODELO)),
         "gold_dim_condicao": _on_listings(_dimension(schemas.GOLD_CONDICAO)),
         "gold_dim_cor": _on_listings(_dimension(schemas.GOLD_COR)),
@@ -427,6 +436,11 @@ FROM ({_fact(spec)}) f LEFT JOIN ({_dimension(d)}) d ON f.{d.key} = d.{d.key}"""
         "check_references": _union(_reference_check(*r) for r in REFERENCES),
         "check_unused_keys": "SELECT c_custkey, count(*) AS rows FROM customer "
                              "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1",
+        "check_missing_keys": _on_listings(_union(
+            f"SELECT '{dimension}' AS dimension, count(*) FILTER (WHERE {lost}) AS missing FROM b"
+            for dimension, lost in (("dim_modelo", "make = 'Brand#1'"), ("dim_condicao", "condition = 'Fair'"), ("dim_cor", "FALSE")))),
+        "check_orphan_customers": "SELECT o_custkey, count(*) AS rows FROM orders WHERE o_custkey NOT IN "
+                                  "(SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') GROUP BY 1",
         "check_duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem "
                                 "GROUP BY 1, 2 HAVING count(*) > 1",
         "check_types": _on_listings(_union(

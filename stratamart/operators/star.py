@@ -37,6 +37,13 @@ def lookup_key(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec,
                      measured_on=measured_on)
 
 
+def new_members(source: DataFrame, dimension: DataFrame, spec: DimensionSpec, last: int) -> DataFrame:
+    """Rows for the tuples of `source` that the dimension lacks, keyed from `last` + 1 on in their order."""
+    found = lookup_key(source.select(*spec.columns).distinct(), dimension, spec)
+    lacking = found.where(F.col(spec.key).isNull()).select(*spec.columns)
+    return dense_key(lacking, spec.key, spec.columns).withColumn(spec.key, F.col(spec.key) + last)
+
+
 def fact_rows(source: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame]) -> DataFrame:
     """The columns of the fact; its own key, if it has one, must come with the source.
 

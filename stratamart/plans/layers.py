@@ -10,7 +10,7 @@ from stratamart import schemas, staging
 from stratamart.functions.cleaning import fill_missing
 from stratamart.operators.keys import dense_key, file_key, located_key
 from stratamart.operators.star import (
-    build_dimension, drop_orphans, fact_rows, missing_keys, rekey_dimension, remap_fact, surrogate_map,
+    build_dimension, drop_orphans, fact_rows, missing_keys, new_members, rekey_dimension, remap_fact, surrogate_map,
 )
 from stratamart.sources import listings
 from stratamart.sources.lake import MODES, Lake, write_csv, write_json
@@ -27,7 +27,7 @@ def _load_mode(mode: str, allowed: tuple[str, ...] = MODES) -> None:
         raise ValueError(f"load mode {mode!r} is none of {allowed}")
 
 
-# A star is rebuilt whole: its keys are ranks, which change with the rows.
+# These loads rebuild a star whole, as its keys are ranks, which change with the rows; `append_silver` adds to one.
 _STAR_MODES = ("overwrite", "skip_if_loaded")
 
 
@@ -78,21 +78,48 @@ def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_n
 
 
 def load_silver(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Bronze to the silver star. The old fact goes first and the new one is written last, so it marks a full load.
+    """Bronze to the silver star, published whole: readers see the old star until then, a load that dies leaves it.
 
     Every bronze row becomes one fact row, so the dense bronze `id` serves as the fact's key.
     """
     _load_mode(mode, _STAR_MODES)
-    if not (mode == "skip_if_loaded" and lake.is_loaded("silver", "fato_veiculo")):
+    if not (mode == "skip_if_loaded" and lake.is_star_loaded("silver", "fato_veiculo")):
         bronze = lake.read("bronze", "vehicle_prices")
-        lake.truncate("silver", "fato_veiculo")
+        run = lake.begin("silver")
         dimensions = {
-            spec.name: lake.write("silver", spec.name, build_dimension(bronze, spec))
+            spec.name: lake.write_run(run, spec.name, build_dimension(bronze, spec))
             for spec in schemas.SILVER_FATO.dimensions
         }
         keyed = bronze.withColumnRenamed("id", schemas.SILVER_FATO.key)
-        lake.write("silver", "fato_veiculo", fact_rows(keyed, schemas.SILVER_FATO, dimensions))
-    return {name: lake.read("silver", name) for name in SILVER_STAR}
+        lake.write_run(run, "fato_veiculo", fact_rows(keyed, schemas.SILVER_FATO, dimensions))
+        lake.publish(run, SILVER_STAR)
+    return lake.read_star("silver", SILVER_STAR)
+
+
+def append_silver(lake: Lake) -> dict[str, DataFrame]:
+    """Bronze rows that the silver star lacks, added to it; a star that is not there is loaded.
+
+    Only bronze rows above the fact's largest key are read. Their tuples that a dimension lacks, null
+    being equal to null, get keys after its largest one, and only these and the new fact rows are written. Old files
+    stay as they are: the new version is the old one and a further part of each table. Keys of an appended star are
+    not ranks; `load_silver` makes them so again. A run that dies changes nothing and can be repeated, as what
+    is new follows from what is published.
+    """
+    if not lake.published("silver"):
+        return load_silver(lake)
+    star = lake.read_star("silver", SILVER_STAR)
+    last = lake.last_key("silver", "fato_veiculo", schemas.SILVER_FATO.key)
+    new = lake.read("bronze", "vehicle_prices").where(F.col("id") > last)
+    if not new.isEmpty():
+        onto, run = lake.published("silver"), lake.begin("silver")
+        dimensions = {}
+        for spec in schemas.SILVER_FATO.dimensions:
+            keyed = new_members(new, star[spec.name], spec, lake.last_key("silver", spec.name, spec.key))
+            dimensions[spec.name] = star[spec.name].unionByName(lake.write_run(run, spec.name, keyed))
+        keyed = new.withColumnRenamed("id", schemas.SILVER_FATO.key)
+        lake.write_run(run, "fato_veiculo", fact_rows(keyed, schemas.SILVER_FATO, dimensions))
+        lake.publish(run, SILVER_STAR, onto)
+    return lake.read_star("silver", SILVER_STAR)
 
 
 def _model_map(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
@@ -117,15 +144,16 @@ def load_gold(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
     dimension is split into two, which are looked up.
     """
     _load_mode(mode, _STAR_MODES)
-    if not (mode == "skip_if_loaded" and lake.is_loaded("dw", "fato_veiculo")):
-        silver = {name: lake.read("silver", name) for name in SILVER_STAR}
-        lake.truncate("dw", "fato_veiculo")
+    if not (mode == "skip_if_loaded" and lake.is_star_loaded("dw", "fato_veiculo")):
+        silver = lake.read_star("silver", SILVER_STAR)
+        run = lake.begin("dw")
         rows, models = rekey_dimension(silver["dim_modelo"], "id_modelo", schemas.GOLD_MODELO)
-        gold = {"dim_modelo": lake.write("dw", "dim_modelo", rows)}
+        gold = {"dim_modelo": lake.write_run(run, "dim_modelo", rows)}
         for spec in (schemas.GOLD_CONDICAO, schemas.GOLD_COR):
-            gold[spec.name] = lake.write("dw", spec.name, build_dimension(silver["dim_especificacao"], spec))
-        lake.write("dw", "fato_veiculo", drop_orphans(gold_fact(silver, gold, models), schemas.GOLD_FATO))
-    return {name: lake.read("dw", name) for name in GOLD_STAR}
+            gold[spec.name] = lake.write_run(run, spec.name, build_dimension(silver["dim_especificacao"], spec))
+        lake.write_run(run, "fato_veiculo", drop_orphans(gold_fact(silver, gold, models), schemas.GOLD_FATO))
+        lake.publish(run, GOLD_STAR)
+    return lake.read_star("dw", GOLD_STAR)
 
 
 def gold_orphans(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
@@ -152,22 +180,26 @@ def load_abbreviated(lake: Lake, mode: str = "overwrite", widths: dict[str, int]
                      ) -> dict[str, DataFrame]:
     """The gold star under its abbreviated names; `widths` makes over-wide text fail the load."""
     _load_mode(mode, _STAR_MODES)
-    if not (mode == "skip_if_loaded" and lake.is_loaded(SHORT_LAYER, "fat_vcl")):
-        lake.truncate(SHORT_LAYER, "fat_vcl")
+    if not (mode == "skip_if_loaded" and lake.is_star_loaded(SHORT_LAYER, "fat_vcl")):
+        run = lake.begin(SHORT_LAYER)
+        gold = lake.read_star("dw", GOLD_STAR)
         for table, short in SHORT_STAR.items():
-            rows = lake.read("dw", table)
+            rows = gold[table]
             if short == "fat_vcl":
                 rows = file_key(rows, "srk_vcl")
-            lake.write(SHORT_LAYER, short, abbreviated(rows, widths))
-    return {short: lake.read(SHORT_LAYER, short) for short in SHORT_STAR.values()}
+            lake.write_run(run, short, abbreviated(rows, widths))
+        lake.publish(run, tuple(SHORT_STAR.values()))
+    return lake.read_star(SHORT_LAYER, tuple(SHORT_STAR.values()))
 
 
 def load_all(lake: Lake, source: DataFrame, mode: str = "overwrite", source_name: str | None = None) -> None:
-    """All layers; with `append` bronze grows and the stars are rebuilt from it."""
+    """All layers; with `append` bronze and the silver star grow and the gold star is rebuilt from them."""
     load_bronze(lake, source, mode, source_name)
-    stars = "overwrite" if mode == "append" else mode
-    load_silver(lake, stars)
-    load_gold(lake, stars)
+    if mode == "append":
+        append_silver(lake)
+    else:
+        load_silver(lake, mode)
+    load_gold(lake, "overwrite" if mode == "append" else mode)
 
 
 _session_lakes: dict[tuple[str, str], "SessionLake"] = {}
