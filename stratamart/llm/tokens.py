@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words remembered per worker and generation, two of which are held, and parts of words (about 150 bytes each). Speed only.
-MEMORY, PARTS = 250_000, 150_000
-#: Texts encoded together, by number and by characters.
-TEXTS, CHARS = 2048, 1 << 21
+#: Words remembered per worker, about 30 bytes each, and new ones encoded together. Speed only.
+MEMORY, TOGETHER = 600_000, 512
+#: Texts encoded together, by number and by bytes.
+TEXTS, CHARS = 4096, 1 << 22
 
 
 @dataclass(frozen=True)
@@ -42,9 +42,11 @@ class _Encoder:
     """Encodes texts word by word where that is exact, else whole.
 
     A single space between two characters that are no white space always parts tokens (the space goes
-    to the following word, or away), so the words at single spaces are encoded once each and looked up; so
-    are the parts into which the tokenizer splits words. A text with any other white space beside a space, or
-    with a special token's text, is encoded whole.
+    to the following word, or away), so the words at single spaces are encoded once each and looked up. A text with any
+    other white space beside a space, or with a special token's text, is encoded whole.
+
+    Known words are an Arrow array beside flat arrays of their ids, so all words of many texts are looked up at once. When
+    there are too many, the ones met in most lots of texts stay.
     """
 
     def __init__(self, path: str, before_word: str, spaced: bool = False) -> None:
@@ -57,84 +59,73 @@ class _Encoder:
         self.before_word = before_word
         self.spaced = spaced
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _parts(self, parts: list[str]) -> list[bytes]:
-        """The ids of parts as the tokenizer splits words."""
-        if len(self.parts) > PARTS:
-            self.parts = {}
-        ids = list(map(self.parts.get, parts))
-        if None in ids:
-            known, tokenize = self.parts, self.tokenizer.model.tokenize
-            for i, found in enumerate(ids):
-                if found is None:
-                    part = parts[i]
-                    found = known.get(part)
-                    if found is None:
-                        found = known[part] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(part)])
-                    ids[i] = found
-        return ids
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember words that hold no white space at an end: split all at once, encode the new parts."""
-        if not words:
-            return
-        normal, normalizer = words, self.tokenizer.normalizer
-        if normalizer is not None:
-            normal = normalizer.normalize_str(" ".join(words)).split(" ")
-            if len(normal) != len(words):  # some hold white space
-                normal = list(map(normalizer.normalize_str, words))
-        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + " ".join(normal))
-        sizes = np.fromiter(map(len, normal), dtype=np.int64, count=len(normal)) + 1
-        begins = np.fromiter((at for _, (at, _) in split), dtype=np.int64, count=len(split))
-        edges = np.searchsorted(begins, np.cumsum(sizes) - sizes).tolist()
-        ids = self._parts([part for part, _ in split])
-        self.words.update((w, ids[a] if b == a + 1 else b"".join(ids[a:b])) for w, a, b in zip(words, edges, [*edges[1:], len(ids)]))
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.sizes, self.met = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that hold no white space at an end, strung together, and how many each has.
+
+        Some words at a time go through the tokenizer as a text; a token belongs to the word in which, or in the space
+        before which, its last character lies.
+        """
+        ids, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
+        for at in range(0, len(words), TOGETHER):
+            some = words[at:at + TOGETHER]
+            found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            ends = np.fromiter((end for _, end in found.offsets), dtype=np.int64, count=len(found))
+            lengths = np.fromiter(map(len, some), dtype=np.int64, count=len(some)) + 1
+            owner = np.searchsorted(np.cumsum(lengths) - lengths, ends - 1, side="right") - 1
+            ids.append(np.array(found.ids, dtype="<u4"))
+            sizes.append(np.bincount(owner, minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _known(self, words: list[str]) -> list[bytes | None]:
-        """The ids of distinct words; None for those that must not be taken out of their text."""
-        if len(self.words) > MEMORY:
-            self.words, self.earlier = {}, self.words
-        ids = list(map(self.words.get, words))
-        missing = [i for i, found in enumerate(ids) if found is None]
-        earlier, new = self.earlier, []
-        for i in missing:
-            word = words[i]
-            found = earlier.get(word)
-            if found is not None:
-                self.words[word] = found
-            elif word and word.strip() == word:
-                new.append(word)
-        self._learn(new)
-        for i in missing:
-            ids[i] = self.words.get(words[i])
-        return ids
+    def _known(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct words among the known ones, -1 for those that must not be taken out of their text."""
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        self.met[place[place >= 0]] += 1
+        missing = np.flatnonzero(place < 0)
+        texts = words.take(pa.array(missing)).to_pylist()
+        fit = np.array([bool(w) and w.strip() == w for w in texts], dtype=bool)
+        new = missing[fit]
+        ids, sizes = self._encoded([w for w, ok in zip(texts, fit) if ok])
+        place[new] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(new))])
+        self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+        self.met = np.concatenate((self.met, np.zeros(len(new), dtype=np.int32)))
+        return place
+
+    def _forget(self) -> None:
+        """Keep the words met most often, the newer of equal ones, when there are too many."""
+        if len(self.words) <= MEMORY:
+            return
+        kept = np.sort(np.lexsort((np.arange(len(self.met)), self.met))[-(MEMORY // 2):])
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.ids, self.sizes = self.ids[_ranges(starts[kept], self.sizes[kept])], self.sizes[kept]
+        self.words, self.met = self.words.take(pa.array(kept)), self.met[kept]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         lines = [t.replace("\n", " ") for t in texts] if self.spaced else texts
         split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
         distinct = split.values.dictionary_encode()
-        ids = self._known(distinct.dictionary.to_pylist())
-        at = distinct.indices.to_numpy().astype(np.int64)
+        place = self._known(distinct.dictionary)
+        at = place[distinct.indices.to_numpy()]
         offsets = split.offsets.to_numpy()
         heads = [self._whole(t.split(" ", 1)[0]) for t in lines]  # no space stands before these
-        at[offsets[:-1]] = len(ids) + np.arange(len(heads))
-        odd = np.array([found is None for found in [*ids, *heads]])
-        ids = [found or b"" for found in ids] + heads
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        at[offsets[:-1]] = len(self.words) + np.arange(len(heads))
+        odd = at < 0
+        flat = np.concatenate((self.ids, np.frombuffer(b"".join(heads), dtype="<u4")))
+        sizes = np.concatenate((self.sizes, np.fromiter(map(len, heads), dtype=np.int64, count=len(heads)) // 4))
         starts = np.cumsum(sizes) - sizes
-        count = sizes[at]
+        count = np.where(odd, 0, sizes[at])
         ends = np.cumsum(count)
-        every = flat[np.repeat(starts[at] - (ends - count), count) + np.arange(ends[-1])].tobytes()
+        every = flat[_ranges(starts[at], count)].tobytes()
+        self._forget()
         edges = (4 * np.concatenate(([0], ends))[offsets]).tolist()
         out = [every[a:b] for a, b in zip(edges[:-1], edges[1:])]
-        whole = set((np.searchsorted(offsets, np.flatnonzero(odd[at]), side="right") - 1).tolist())
+        whole = set((np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1).tolist())
         for special in self.special:
             whole.update(i for i, text in enumerate(texts) if special in text)
         for i in whole:
@@ -142,6 +133,12 @@ class _Encoder:
         return out
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def encoded(batches: Iterator[pa.RecordBatch], encoding: Encoding) -> Iterator[tuple[list, list[bytes]]]:
     """Ids and token ids with the end id, batch by batch, of rows whose first column is `doc_id` and which have a
     `text`. A null text is empty: the end id alone."""
