@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 import oracles  # noqa: E402
 from stratamart import schemas  # noqa: E402
 from stratamart.functions.columns import round_money  # noqa: E402
-from stratamart.operators import distributions, profile, quality, star  # noqa: E402
+from stratamart.operators import distributions, profile, quality, sketches, star  # noqa: E402
 from stratamart.plans import layers, marts, reports, sales  # noqa: E402
 from stratamart.plans.layers import SessionLake, session_lake  # noqa: E402
 from stratamart.sources.lake import Lake, preview  # noqa: E402
 from stratamart.sources.listings import read_table  # noqa: E402
 from stratamart.sources.readers import json_fields, read_flat, read_rejects  # noqa: E402
-from stratamart.staging import shared_folder  # noqa: E402
+from stratamart.staging import materialize, shared_folder  # noqa: E402
 from stratamart.streaming.ingest import append_new_files  # noqa: E402
 
 try:  # the subpackage may be left out; its modules themselves swallow no import error
@@ -190,6 +190,23 @@ def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def _profile_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of listings that came in two loads, from the sketches of each: exact numbers, and whether the
+    quantiles' ranks and the distinct counts keep to three times their sketches' errors."""
+    source = session_lake(spark, sf_dir).landing().drop("_file", "_row")
+    lake = Lake(spark, f"{shared_folder(spark)}/profile-{uuid.uuid4().hex}")
+    for part in (source.where(F.col("year") < SECOND_LOAD), source.where(F.col("year") >= SECOND_LOAD)):
+        found = layers.append_profile(lake, part)
+    found = materialize(found, "profile")  # evaluated once, as sketches are random
+    exact = profile.distinct_counts(source.select([F.col(c).cast("string").alias(c) for c in [*schemas.PROFILE_NUMBERS, *schemas.CATEGORY_COLUMNS]]),
+                                    [*schemas.PROFILE_NUMBERS, *schemas.CATEGORY_COLUMNS]).withColumnRenamed("distinct", "_exact")
+    ranks = sketches.rank_errors(source, found.where(F.col("column").isin(schemas.PROFILE_NUMBERS)), layers.PROFILE_SHARES)
+    near = ranks.groupBy("column").agg((F.max("error") <= 3 * sketches.rank_error(200)).alias("quantiles_near"))
+    counted = F.abs(F.col("distinct") - F.col("_exact")) <= F.greatest(F.lit(1), 3 * 1.04 / 2 ** (sketches.DISTINCT_BITS / 2) * F.col("_exact"))
+    return found.join(exact, "column").join(near, "column", "left").select(
+        "column", "rows", "nulls", "min", "max", F.coalesce("quantiles_near", F.lit(True)).alias("quantiles_near"), counted.alias("distinct_near"))
+
+
 def _missing_keys(lake: SessionLake) -> DataFrame:
     """Fact rows without a key where dimension rows are missing on purpose."""
     gold = lake.gold() | {"dim_modelo": lake.gold()["dim_modelo"].where(F.col("make") != MAKES[0]),
@@ -323,6 +340,7 @@ def queries() -> dict[str, Query]:
         "profile_outliers": _raw(lambda rows: _round_box(distributions.box_stats(rows, "price"))),
         "category_domain": _on_lake(lambda lake: profile.category_domain(lake.bronze(), schemas.CATEGORY_COLUMNS)),
         "category_distinct": _on_lake(lambda lake: profile.distinct_counts(lake.bronze(), schemas.CATEGORY_COLUMNS)),
+        "profile_of_two_loads": _profile_of_loads,
         "profile_document_copies": _on_tables(lambda d: profile.duplicate_profile(d.drop("doc_id")), "documents"),
         "profile_event_columns": _on_tables(profile.column_info, "events"),
     }

@@ -436,6 +436,11 @@ FROM ({_fact(spec)}) f LEFT JOIN ({_dimension(d)}) d ON f.{d.key} = d.{d.key}"""
         "check_references": _union(_reference_check(*r) for r in REFERENCES),
         "check_unused_keys": "SELECT c_custkey, count(*) AS rows FROM customer "
                              "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1",
+        "profile_of_two_loads": _on_listings(_union(
+            [f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, min(CAST({c} AS DOUBLE)) AS min, "
+             f"max(CAST({c} AS DOUBLE)) AS max, TRUE AS quantiles_near, TRUE AS distinct_near FROM l" for c in schemas.PROFILE_NUMBERS]
+            + [f"SELECT '{c}', count(*), count(*) - count({c}), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), TRUE, TRUE FROM l"
+               for c in schemas.CATEGORY_COLUMNS])),
         "check_missing_keys": _on_listings(_union(
             f"SELECT '{dimension}' AS dimension, count(*) FILTER (WHERE {lost}) AS missing FROM b"
             for dimension, lost in (("dim_modelo", "make = 'Brand#1'"), ("dim_condicao", "condition = 'Fair'"), ("dim_cor", "FALSE")))),

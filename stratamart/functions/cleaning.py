@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The texts a CSV reader of data-frame libraries takes as missing by default.
@@ -55,9 +57,22 @@ def shared_columns(left: DataFrame, right: DataFrame, columns, strict: bool = Tr
         require_columns(right, columns, "right side")
         return list(columns)
     have = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
+    lacking = [c for c in columns if c.lower() not in have]
+    if lacking:
+        warnings.warn(f"joining without the columns {lacking}, which one side lacks", stacklevel=2)
     return [c for c in columns if c.lower() in have]
 
 
+def fitting_widths(df: DataFrame, widths: dict[str, int]) -> DataFrame:
+    """The same rows, whose evaluation fails on the first text longer than its column's width."""
+    for column, width in widths.items():
+        if column in df.columns:
+            message = F.concat(F.lit(f"{column} is longer than {width}: "), F.col(column))
+            fits = F.col(column).isNull() | (F.length(column) <= width)
+            df = df.withColumn(column, F.when(fits, F.col(column)).otherwise(F.raise_error(message)))
+    return df
+
+
 def drop_incomplete(df: DataFrame, columns) -> DataFrame:
     """Keep rows whose `columns` are all present."""
     return df.dropna(subset=list(columns))

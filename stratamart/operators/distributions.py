@@ -10,9 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratamart.operators.quantiles import join_groups, quantiles_of_counts, value_counts_sorted
+from stratamart.operators.quantiles import join_groups, quantiles, quantiles_of_counts, value_counts_sorted
 from stratamart.staging import materialize
 
+_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
 
 def _with_bounds(df: DataFrame, value: str, groups: Sequence[str]) -> DataFrame:
     """Rows (groups, value) with `_lo`, `_hi`, `_total`, `_sd` of their group.
@@ -88,14 +90,25 @@ def density(df: DataFrame, value: str, groups: Sequence[str] = (), cells: int =
     return curve.select(*groups, "point", "x", (mass / scale).alias("density"))
 
 
-def box_stats(df: DataFrame, value: str, groups: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
-    """Quartiles, whisker ends (extreme values within `whisker` times the box) and outlier count."""
+def box_stats(df: DataFrame, value: str, groups: Sequence[str] = (), whisker: float = 1.5, accuracy: int | None = None) -> DataFrame:
+    """Quartiles, whisker ends (extreme values within `whisker` times the box) and outlier count.
+
+    With `accuracy` the quartiles are values whose rank is off by up to 1 / `accuracy`, from a sketch; whiskers and outliers
+    are exact for that box.
+    """
+    if accuracy:
+        rows = df.select(*groups, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+        return _boxes(rows.withColumn("_n", F.lit(1)), quantiles(rows, value, _QUARTILES, groups, accuracy), value, groups, whisker)
     return box_stats_of_counts(value_counts_sorted(df, value, groups), value, groups, whisker)
 
 
 def box_stats_of_counts(counts: DataFrame, value: str, groups: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
     """`box_stats` from the table of `value_counts_sorted`."""
-    quartiles = quantiles_of_counts(counts, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, groups)
+    return _boxes(counts, quantiles_of_counts(counts, value, _QUARTILES, groups), value, groups, whisker)
+
+
+def _boxes(counts: DataFrame, quartiles: DataFrame, value: str, groups: Sequence[str], whisker: float) -> DataFrame:
+    """Box statistics of rows with `_n` copies each."""
     if groups:
         quartiles = materialize(quartiles, "quartiles")
     spread = (F.col("q3") - F.col("q1")) * whisker

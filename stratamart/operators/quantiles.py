@@ -87,8 +87,12 @@ def quantiles(df: DataFrame, value: str, wanted: dict[str, float], groups: Seque
     return quantiles_of_counts(value_counts_sorted(df, value, groups), value, wanted, groups)
 
 
-def mean_median(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Mean and median, both from the copies per value."""
+def mean_median(df: DataFrame, value: str, groups: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
+    """Mean and median, both from the copies per value; with `accuracy` in one pass, the median's rank off by up to 1 / `accuracy`."""
+    if accuracy:
+        number = F.col(value).cast("double")
+        return df.where(number.isNotNull()).groupBy(*groups).agg(
+            F.count("*").alias("n"), F.avg(number).alias("mean"), F.percentile_approx(number, 0.5, accuracy).alias("median"))
     counts = value_counts_sorted(df, value, groups)
     means = counts.groupBy(*groups).agg(
         F.sum("_n").alias("n"), (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("mean"))

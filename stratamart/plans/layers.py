@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart import schemas, staging
-from stratamart.functions.cleaning import fill_missing
+from stratamart.functions.cleaning import fill_missing, fitting_widths
+from stratamart.operators import sketches
 from stratamart.operators.keys import dense_key, file_key, located_key
 from stratamart.operators.star import (
     build_dimension, drop_orphans, fact_rows, missing_keys, new_members, rekey_dimension, remap_fact, surrogate_map,
@@ -55,8 +56,8 @@ def load_flat(lake: Lake, source: DataFrame, mode: str = "overwrite", csv_path:
 
 
 def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_name: str | None = None,
-                fills: dict[str, object] | None = None) -> DataFrame:
-    """Rows of `read_flat` to bronze: nulls filled, rows numbered, ingestion time and source file recorded.
+                fills: dict[str, object] | None = None, widths: dict[str, int] | None = None) -> DataFrame:
+    """Rows of `read_flat` to bronze: nulls filled, texts held to their columns' widths (`BRONZE_WIDTHS`; a longer one fails the load), rows numbered, ingestion time and source file recorded.
 
     Located rows are numbered by their place in the files, others by way of a staged copy. Appended rows
     continue the numbers of the stored ones.
@@ -68,6 +69,7 @@ def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_n
     if "_source_file" not in rows.columns:
         rows = rows.withColumn("_source_file", F.lit(source_name).cast("string"))
     rows = rows.withColumn("_ingestion_timestamp", F.current_timestamp())
+    rows = fitting_widths(rows, schemas.BRONZE_WIDTHS if widths is None else widths)
     columns = [*schemas.LISTING_COLUMNS, *schemas.PROVENANCE.fieldNames()]
     if {"_file", "_row"} <= set(rows.columns):
         keyed = located_key(rows.select(*columns, "_file", "_row"), "id")
@@ -77,6 +79,18 @@ def load_bronze(lake: Lake, source: DataFrame, mode: str = "overwrite", source_n
     return lake.write("bronze", "vehicle_prices", keyed, mode)
 
 
+PROFILE_SHARES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
+def append_profile(lake: Lake, rows: DataFrame, accuracy: int = 200) -> DataFrame:
+    """Sketch the rows of one load and keep the sketches beside those of earlier loads; returns the profile of all.
+
+    (column, rows, nulls, mean, min, q25, q50, q75, max, distinct). Earlier rows are not read again.
+    """
+    found = sketches.sketched(rows, schemas.PROFILE_NUMBERS, schemas.CATEGORY_COLUMNS, accuracy=accuracy)
+    return sketches.profile_of(sketches.merged(lake.write("bronze", "profile", found, "append")), PROFILE_SHARES)
+
+
 def load_silver(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:
     """Bronze to the silver star, published whole: readers see the old star until then, a load that dies leaves it.
 
@@ -168,11 +182,7 @@ def abbreviated(df: DataFrame, widths: dict[str, int] | None = None) -> DataFram
         message = F.concat(F.lit("engine_hp is no whole number: "), F.col("engine_hp").cast("string"))
         exact = F.col("engine_hp").isNull() | (whole.cast("double") == F.col("engine_hp"))
         df = df.withColumn("engine_hp", F.when(exact, whole).otherwise(F.raise_error(message).cast("int")))
-    for column, width in (widths or {}).items():
-        if column in df.columns:
-            message = F.concat(F.lit(f"{column} is longer than {width}: "), F.col(column))
-            fits = F.col(column).isNull() | (F.length(column) <= width)
-            df = df.withColumn(column, F.when(fits, F.col(column)).otherwise(F.raise_error(message)))
+    df = fitting_widths(df, widths or {})
     return df.select(*[F.col(c).alias(schemas.ABBREVIATED.get(c, c)) for c in df.columns])
 
 

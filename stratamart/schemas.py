@@ -99,7 +99,11 @@ WIDTHS = {
 INTEGER_COLUMNS = ["year", "mileage", "engine_hp", "owner_count", "vehicle_age"]
 
 # Text widths of the bronze table.
-BRONZE_WIDTHS = {c: 100 if c in ("make", "model") else 50 for c in CATEGORY_COLUMNS} | {"_source_file": 255}
+BRONZE_WIDTHS = {
+    "make": 100, "model": 100, "fuel_type": 50, "transmission": 50, "drivetrain": 50, "body_type": 50,
+    "exterior_color": 50, "interior_color": 50, "accident_history": 50, "seller_type": 50,
+    "condition": 50, "trim": 50, "_source_file": 255,
+}
 
 
 def bronze_schema() -> T.StructType:
