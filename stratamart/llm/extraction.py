@@ -19,8 +19,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "span strike strong sub sup time tt u var wbr".split())
 FURNITURE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu "
                       "sidebar aside footer header masthead breadcrumb breadcrumbs cookie cookies consent notice disclaimer comments "
-                      "comment respond reply replies disqus share sharing social related recommended newsletter subscribe popup modal "
+                      "comment commentlist respond reply replies disqus share sharing social related recommended newsletter subscribe popup modal "
                       "pagination pager toolbar skip widget".split())
+COMMENTS = frozenset("comment comments commentlist respond reply replies disqus".split())
+# What follows a word of furniture in the name of a part of it.
+PARTS = frozenset("section list area container box wrapper wrap block slot unit buttons button bar links posts post articles items item "
+                  "signup form right left holder panel thread feed body top bottom inner outer module zone".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar alert".split())
 # What an open element of the first name is closed by.
 CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
@@ -28,11 +32,17 @@ CLOSES = {"p": frozenset("address article aside blockquote div dl fieldset figur
           "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "tbody", "tfoot"]),
           "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
           "option": frozenset(["option", "optgroup"])}
+# The elements that the start of an element of the first name closes.
+CLOSED_BY = {name: [e for e, closers in CLOSES.items() if name in closers] for name in frozenset().union(*CLOSES.values())}
 # Elements through which an end tag or an implied end does not reach.
 SCOPE = frozenset("article section div td th table body html main ul ol blockquote".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+# A tag in which a quote is never closed ends at the next bracket, as do all tags after it.
+_BROKEN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+_ATTRIBUTE = re.compile(r"(?<![^\s=\"'/>])([^\s=\"'/>]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _WORD = re.compile(r"[a-z]+")
 MARKED = ("article", "main")
 
@@ -42,7 +52,7 @@ class Node:
 
     __slots__ = ("name", "parent", "content", "furniture", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, furniture: bool = False, named: bool = False) -> None:
+    def __init__(self, name: str, parent: Node | None, furniture: bool = False, named: int = 0) -> None:
         self.name, self.parent, self.furniture, self.named = name, parent, furniture, named
         self.content: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -50,71 +60,147 @@ class Node:
 
 
 def _is_furniture(name: str, attributes: str) -> bool:
-    return name in DROPPED or name not in ("html", "body", *MARKED) and bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes))
+    return name in DROPPED or name not in ("html", "body", *MARKED) and bool(re.search(r"(?:^|\s)hidden(?:[\s/=]|$)", attributes))
 
 
-def _is_named(name: str, attributes: str) -> bool:
-    """Whether an element is a form, has a role of furniture or a class or id all of whose words name furniture."""
-    if name in ("html", "body", *MARKED):
-        return False
+#: What a name says of an element: nothing, that it is furniture, or that it is part of some.
+PLAIN, NAMED, HINTED = 0, 1, 2
+
+
+def _named(name: str, attributes: str) -> int:
+    """Whether an element is a form, is hidden, has a role of furniture or a class or id that names furniture or a part of it.
+
+    A class names furniture if all its words do, and a part of it if its first word does and the others say what part
+    (`related-posts`). Of articles only those of comments count.
+    """
+    if name in ("html", "body", "main"):
+        return PLAIN
     if name == "form":
-        return True
+        return NAMED
+    found = PLAIN
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
         key = key.lower()
-        if key == "role" and value in ROLES:
-            return True
-        if key in ("class", "id") and any(FURNITURE.issuperset(words) for words in map(_WORD.findall, value.split()) if words):
-            return True
-    return False
+        if key in ("class", "id"):
+            for words in map(_WORD.findall, value.split()):
+                if not words or name == "article" and words[0] not in COMMENTS:
+                    continue
+                if FURNITURE.issuperset(words) or words[0] in COMMENTS and PARTS.issuperset(words[1:]):
+                    return NAMED
+                if words[0] in FURNITURE and PARTS.issuperset(words[1:]):
+                    found = HINTED
+        elif name != "article" and (key == "role" and value in ROLES or key == "style" and _HIDDEN.search(value) or key == "aria-hidden" and value == "true"):
+            return NAMED
+    return found
+
+
+class _Open:
+    """The open elements, by scope: how many of each name, so that a tag with nothing to close costs nothing."""
+
+    def __init__(self, root: Node) -> None:
+        self.node = root
+        self.scopes: list[tuple[Node, dict[str, int]]] = [(root, {})]
+        self.held: dict[str, int] = {}
+
+    def enter(self, node: Node) -> None:
+        self.node = node
+        if node.name in SCOPE:
+            self.scopes.append((node, {}))
+            self.held[node.name] = self.held.get(node.name, 0) + 1
+        else:
+            counts = self.scopes[-1][1]
+            counts[node.name] = counts.get(node.name, 0) + 1
+
+    def leave(self, last: Node) -> None:
+        """End every open element up to `last`, itself included."""
+        while True:
+            node = self.node
+            if node.name in SCOPE:
+                self.scopes.pop()
+                self.held[node.name] -= 1
+            else:
+                self.scopes[-1][1][node.name] -= 1
+            self.node = node.parent
+            if node is last:
+                return
+
+    def end(self, name: str) -> bool:
+        """Act on an end tag; false if it ends nothing."""
+        if not (self.held if name in SCOPE else self.scopes[-1][1]).get(name):
+            return False
+        up = self.node
+        while up.name != name:
+            up = up.parent
+        self.leave(up)
+        return True
+
+    def imply(self, name: str) -> None:
+        """End what the start of an element of this name closes: within the scope, then the scope itself."""
+        closed = CLOSED_BY.get(name)
+        if not closed:
+            return
+        scope, counts = self.scopes[-1]
+        left = sum(counts.get(c, 0) for c in closed)
+        if left:
+            up = self.node
+            while True:
+                left -= up.name in closed
+                if not left:
+                    break
+                up = up.parent
+            self.leave(up)
+        if scope.parent is not None and scope.name in closed:
+            self.leave(scope)
 
 
 def parse(page: str) -> Node:
-    """The elements of a page; forgiving: stray end tags are ignored, elements left open end with their parent."""
+    """The elements of a page, in time that grows with its length; forgiving: stray end tags are ignored, elements left
+    open end with their parent, a tag that the page ends in is left out."""
     root = Node("#root", None)
-    node, at = root, 0
-    search = _TOKEN.search
+    opened, at, broken = _Open(root), 0, False
+    last = page.rfind(">")
     while True:
-        token = search(page, at)
-        if token is None:
-            if at < len(page):
-                node.content.append(page[at:])
+        start = page.find("<", at)
+        if start < 0 or start >= len(page) - 1:
+            opened.node.content.append(page[at:])
             return root
-        if token.start() > at:
-            node.content.append(page[at:token.start()])
-        at = token.end()
-        name = token[2]
-        if name is None:
+        if start > at:
+            opened.node.content.append(page[at:start])
+        follows = page[start + 1]
+        if follows in "!?":
+            token = _COMMENT.match(page, start) if start < last or page.startswith(("<!--", "<![CDATA["), start) else None
+            if token is None:
+                return root  # the page ends in a declaration
             if token[0].startswith("<![CDATA["):
-                node.content.append(token[0][9:-3])
+                opened.node.content.append(token[0][9:-3] if token[0].endswith("]]>") else token[0][9:])
+            at = token.end()
+            continue
+        if not (follows.isascii() and follows.isalpha() or follows == "/" and page[start + 2:start + 3].isascii() and page[start + 2:start + 3].isalpha()):
+            opened.node.content.append("<")
+            at = start + 1
             continue
-        name = name.lower()
+        if start > last:
+            return root  # the page ends in a tag
+        token = None if broken else _TAG.match(page, start)
+        if token is None:
+            broken, token = True, _BROKEN_TAG.match(page, start)
+        at = token.end()
+        name = token[2].lower()
         if token[1]:
-            up = node
-            while up.parent is not None and up.name != name and (up.name not in SCOPE or name in SCOPE):
-                up = up.parent
-            if up.name == name and up.parent is not None:
-                node = up.parent
-            elif name in ("p", "br"):
-                node.content.append(Node(name, node))
+            if not opened.end(name) and name in ("p", "br"):
+                opened.node.content.append(Node(name, opened.node))
             continue
-        up = node
-        while up.parent is not None and up.name not in SCOPE:
-            if name in CLOSES.get(up.name, ()):
-                node = up.parent
-            up = up.parent
-        if up.parent is not None and name in CLOSES.get(up.name, ()):
-            node = up.parent
-        child = Node(name, node, _is_furniture(name, token[3]), _is_named(name, token[3]))
-        node.content.append(child)
+        opened.imply(name)
+        child = Node(name, opened.node, _is_furniture(name, token[3]), _named(name, token[3]))
+        opened.node.content.append(child)
         if name in VOID or token[3].endswith("/") and name not in RAW and name in ("svg", "path", "use", "rect", "circle"):
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
             child.content.append(page[at:end.start() if end else len(page)])
             at = end.end() if end else len(page)
             continue
-        node = child
+        opened.enter(child)
 
 
 def _measure(root: Node) -> None:
@@ -135,24 +221,28 @@ def _measure(root: Node) -> None:
 
 def _cut_named(root: Node) -> bool:
     """Make furniture of the elements so named; needs measures. One that holds an article, a main part or a first heading stays,
-    and so does one that holds most of the page's text outside links, unless an article or main part lies elsewhere."""
-    order, stack = [], [root]
+    and so does one that holds most of the page's text outside links, unless an article or main part lies elsewhere. One
+    that is only named part of furniture also stays if it holds most of the text of the article it lies in."""
+    order, stack = [], [(root, root)]
     while stack:
-        node = stack.pop()
-        order.append(node)
-        stack.extend(c for c in node.content if isinstance(c, Node) and not c.furniture)
+        node, within = stack.pop()
+        order.append((node, within))
+        inner = node if node.name in MARKED and not node.named else within
+        stack.extend((c, inner) for c in node.content if isinstance(c, Node) and not c.furniture)
     holding: set[Node] = set()
-    for node in order:
-        if node.chars and node.name in (*MARKED, "h1"):
+    marked = False
+    for node, _ in order:
+        if node.chars and not node.named and node.name in (*MARKED, "h1"):
+            marked = marked or node.name in MARKED
             while node is not None and node not in holding:
                 holding.add(node)
                 node = node.parent
-    marked = any(n.name in MARKED and n.chars for n in order)
     most = (root.chars - root.link_chars) / 2
     cut = False
-    for node in order:
+    for node, within in order:
         if node.named and node not in holding and (marked or node.chars - node.link_chars <= most):
-            node.furniture = cut = True
+            if node.named == NAMED or 2 * (node.chars - node.link_chars) <= within.chars - within.link_chars:
+                node.furniture = cut = True
     return cut
 
 

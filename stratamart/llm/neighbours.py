@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import complete_groups, id_of, join_salted
 from stratamart.llm.components import labelled
-from stratamart.llm.vectors import matrix, usable, vectors
+from stratamart.llm.vectors import matrix, scaled, usable, vectors
 from stratamart.staging import materialize
 
 #: Tables, and buckets a vector is put into per table (its own and the next likely ones).
@@ -102,10 +102,11 @@ def classes_of(rows: DataFrame) -> DataFrame:
                        .withColumn("cls", F.monotonically_increasing_id()), "vector_classes")
 
 
-def links(classes: DataFrame, least: float, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def links(classes: DataFrame, least: float, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK,
+          polytopes: int | None = None) -> DataFrame:
     """Pairs of classes `a` < `b` with a cosine of at least `least`, verified in double precision.
 
-    The number of polytopes per table follows the number of classes, so that buckets stay small. Only ids
+    The number of `polytopes` per table follows the number of classes, so that buckets stay small. Only ids
     are put into buckets first; buckets of more than `block` rows become a grid of cells, so that no
     task gets a large bucket, and none of its pairs is left out. Cells compare unit vectors in half precision with
     a margin, and the pairs found are verified on the vectors themselves.
@@ -121,8 +122,7 @@ def links(classes: DataFrame, least: float, tables: int = TABLES, probes: int =
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
                 width = 1 << max(0, (int(size) - 1).bit_length())
-                polytopes = max(1, min(4, round(math.log(max(2, count)) / math.log(2 * max(2, width)))))
-                found = buckets(unit, tables, polytopes, probes)
+                found = buckets(unit, tables, polytopes or max(1, min(4, round(math.log(max(2, count)) / math.log(2 * max(2, width))))), probes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("cls"), pa.array(list(found), pa.list_(pa.int64())),
                      pa.array([r.tobytes() for r in unit.astype(np.float16)], pa.binary())], ["cls", "buckets", "half"])
@@ -166,13 +166,14 @@ def near_duplicates(rows: DataFrame, least: float) -> DataFrame:
     links, its own included) and `kept` (whether that is the row's own) of every row of `vec_id`, `embedding`.
 
     Vectors that are null, empty or zero or hold null or non-finite components link with nothing; vectors of
-    different lengths do not link. Equal vectors are one class from the start: their links among each other are
+    different lengths do not link. Components of any size are compared exactly, as vectors are scaled by powers of two first,
+    which leaves cosines as they are. Equal vectors are one class from the start: their links among each other are
     counted, not listed. A null vec_id is kept as null and is the component's id only if no other is in it;
     rows that repeat a vec_id are vectors of their own; an empty table gives an empty result; other
     columns, labels too, are ignored.
     """
     rows = materialize(vectors(rows).withColumn("_usable", usable("embedding")), "vectors")
-    valid = rows.where("_usable").select("_vec", "embedding")
+    valid = rows.where("_usable").select("_vec", scaled("embedding").alias("embedding"))
     classes = classes_of(valid)
     found = materialize(links(classes, least), "vector_links")
     directed = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
