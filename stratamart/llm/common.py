@@ -6,7 +6,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 LAST_ID = (1 << 63) - 1
 #: Rows of one hash slice of a hot group; layout only.
@@ -67,6 +67,26 @@ def join_salted(rows: DataFrame, by: str | list[str], spread: str, table: DataFr
     return salted.join(pairs, [*by, "_salt"]).drop("_salt")
 
 
+def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`mapInArrow` for rows whose columns may have any names, dots included; the function sees them by these names."""
+    names = df.columns
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(pa.RecordBatch.from_arrays(batch.columns, names) for batch in batches)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(named, schema)
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns of these very names, dots included."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in names]
+
+
+def ddl(fields: list[T.StructField]) -> str:
+    """Names and types of fields of any names, as the schema text of `mapInArrow`."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+
+
 def complete_groups(batches: Iterator[pa.RecordBatch], same: Callable[[pa.Table], int]) -> Iterator[pa.Table]:
     """Cut a task's sorted batches so that no group is split; `same` gives the row at which the last group starts."""
     rest: pa.Table | None = None

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from stratamart.llm.common import ddl, map_batches, quoted
+
 # Names of the HTML standard and of common page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -353,7 +355,7 @@ def extract(pages: DataFrame) -> DataFrame:
     long or broken pages are kept as they are; an empty table gives an empty result.
     """
     kept = [f for f in pages.schema.fields if f.name not in ("html", "text")]
-    source = pages.select(*[f"`{f.name}`" for f in kept], pages["html"].cast("string").alias("html"))
+    source = pages.select(*quoted([f.name for f in kept]), pages["html"].cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,5 +363,5 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(texts, pa.string())],
                                              [*(f.name for f in kept), "text"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return source.mapInArrow(run, f"{schema}, text string" if kept else "text string")
+    schema = ddl(kept)
+    return map_batches(source, run, f"{schema}, text string" if kept else "text string")

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratamart.llm.common import add_running, key_of, slice_count, text_key
+from stratamart.llm.common import add_running, key_of, quoted, slice_count, text_key
 from stratamart.operators.keys import dense_key
 from stratamart.staging import materialize
 
@@ -61,8 +61,9 @@ def mix(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, repea
     """
     own = ("size", "source_size", "target", "taken", "before")
     kept = [c for c in docs.columns if c not in own]
-    sized = docs.withColumn("_size", size).select(
-        *kept, F.col("_size").alias("size"), text_key("source").alias("_source"), key_of("doc_id").alias("_doc"),
+    # The columns of `docs` travel as one, so that none can clash with those needed on the way.
+    sized = docs.select(
+        F.struct(*quoted(kept)).alias("_carried"), size.alias("size"), text_key("source").alias("_source"), key_of("doc_id").alias("_doc"),
         F.xxhash64(*identity).alias("_hash"))
     narrow = sized.select("_source", "_doc", "_hash", "size")
     totals = narrow.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
@@ -99,4 +100,5 @@ def mix(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, repea
                               F.col("_doc").alias("doc"), F.col("_hash").alias("hash")) < cut).cast("long")
                     for f in finish)
     copies = F.when(F.col("size") > 0, taken).otherwise(F.lit(0))
-    return queued.select(*kept, "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"))
+    carried = [F.col(f"_carried.`{c.replace('`', '``')}`").alias(c) for c in kept]
+    return queued.select(*carried, "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"))

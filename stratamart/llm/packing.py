@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import add_running, slice_count
+from stratamart.llm.common import add_running, ddl, map_batches, quoted, slice_count
 from stratamart.llm.tokens import Encoding, encoded
 from stratamart.staging import materialize
 
@@ -120,26 +120,29 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     A null doc_id is kept; repeated rows are packed one by one; an empty table gives no rows. Columns named
     `sequence_id` or `offset` are replaced.
     """
-    cut = cut.drop("sequence_id", "offset", "before", "_one")
+    names = [c for c in cut.columns if c not in ("sequence_id", "offset")]
+    others = [c for c in names if c not in ("doc_id", "piece", "length")]
+    # The other columns travel as one, so that none can clash with those needed on the way.
+    cut = cut.select("doc_id", "piece", "length", (F.struct(*quoted(others)) if others else F.lit(0)).alias("_carried"), F.lit(1).cast("long").alias("_one"))
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     runs = np.array(sorted(plan(counts, capacity)), dtype=np.int64).reshape(-1, len(_RUN))
     starts = (runs[:, 0] << 44) | runs[:, 1]
-    numbered = add_running(cut.withColumn("_one", F.lit(1).cast("long")), ["length"], ["doc_id", "piece"], "_one",
-                           ["doc_id", "piece"], slice_count(sum(counts.values()))).drop("_one")
-    kept = [f for f in numbered.schema.fields if f.name != "before"]
+    numbered = add_running(cut, ["length"], ["doc_id", "piece"], "_one", ["doc_id", "piece"], slice_count(sum(counts.values())))
+    numbered = numbered.select(*[F.col(f"_carried.`{c.replace('`', '``')}`").alias(c) if c in others else c for c in names], F.col("before").alias("_number"))
+    kept = numbered.schema.fields[:-1]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number = batch.column("before").to_numpy(zero_copy_only=False)
+            number = batch.column(len(kept)).to_numpy(zero_copy_only=False)
             length = batch.column("length").to_numpy(zero_copy_only=False)
             at = np.searchsorted(starts, (length << 44) | number, side="right") - 1
             sequence = runs[at, 3] + number - runs[at, 1]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in kept), pa.array(sequence), pa.array(runs[at, 4])],
+                [*batch.columns[:-1], pa.array(sequence), pa.array(runs[at, 4])],
                 [*(f.name for f in kept), "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return numbered.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    schema = ddl(kept)
+    return map_batches(numbered, place, f"{schema}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

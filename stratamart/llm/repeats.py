@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stratamart.llm.common import id_of, key_of
+from stratamart.llm.common import ddl, id_of, key_of, map_batches, quoted
 from stratamart.staging import materialize
 
 MATCH = 50
@@ -122,7 +122,7 @@ def chunks(docs: DataFrame, size: int = CHUNK, carry: list[str] | tuple[str, ...
     """Store whole texts in compressed chunks of about `size` bytes (a longer text is a chunk of its own): `chunk`, `raw`
     (bytes), `data`, and per text `docs`, `lengths` and `others`, the columns to be carried."""
     rows = docs.select(key_of("doc_id").alias("_doc"), F.col("text").cast("string").alias("text"),
-                       F.struct(*[F.col(c) for c in carry] or [F.lit(0).alias("none")]).alias("others"))
+                       F.struct(*[c.alias(f"c{i}") for i, c in enumerate(quoted(list(carry)))] or [F.lit(0).alias("none")]).alias("others"))
     others = rows.schema["others"].dataType.simpleString()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +401,7 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
     schema = f"doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, others {others.simpleString()}"
     result = _per_chunk(whole, materialize(answers, "repeat_answers"), "mask", "bits").mapInArrow(chunkwise(remove), schema)
     return result.select(id_of("doc").alias("doc_id"), "n_bytes", "spans", "kept",
-                         *[F.col(f"others.`{c}`").alias(c) for c in carry if c != "doc_id"])
+                         *[F.col(f"others.c{i}").alias(c) for i, c in enumerate(carry) if c != "doc_id"])
 
 
 def without_passages(docs: DataFrame, match: int = MATCH) -> DataFrame:
@@ -415,8 +415,8 @@ def without_passages(docs: DataFrame, match: int = MATCH) -> DataFrame:
     carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_bytes", "spans", "kept")]
     found = removed_spans(docs, match, carry=carried).drop("n_bytes", "spans")
     kept = [f for f in found.schema.fields if f.name != "kept"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return found.mapInArrow(decode, f"{schema}, text string")
+    schema = ddl(kept)
+    return map_batches(found, decode, f"{schema}, text string")
 
 
 def _marked(chunk: _Chunk, answers: list[dict] | None) -> np.ndarray:
