@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -67,6 +69,18 @@ def join_salted(rows: DataFrame, by: str | list[str], spread: str, table: DataFr
     return salted.join(pairs, [*by, "_salt"]).drop("_salt")
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    """The C library's way to return freed memory, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, beside those that work."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """`mapInArrow` for rows whose columns may have any names, dots included; the function sees them by these names."""
     names = df.columns

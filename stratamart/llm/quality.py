@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import ddl, map_batches, quoted
+from stratamart.llm.common import ddl, give_back, map_batches, quoted
 from stratamart.staging import materialize
 
 #: Hash space of the n-gram indicators, a power of two.
@@ -162,6 +162,7 @@ def fit(labelled: DataFrame, width: int = FEATURES, fit_rows: int = FIT_ROWS) ->
         for batch in batches:
             at = pa.array([features(t, width).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("_turn"), at], ["label", "_turn", "at"])
+            give_back()
 
     classes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(classes) < 2:
@@ -210,6 +211,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in kept), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
                 [*(f.name for f in kept), "score", "predicted"])
+            give_back()
 
     schema = ddl(kept)
     return map_batches(docs.select(*quoted([f.name for f in kept])), scored, f"{schema}, score double, predicted int")

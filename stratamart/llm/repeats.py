@@ -24,14 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stratamart.llm.common import ddl, id_of, key_of, map_batches, quoted
+from stratamart.llm.common import ddl, give_back, id_of, key_of, map_batches, quoted
 from stratamart.staging import materialize
 
 MATCH = 50
 #: Bytes of a trigger string; every match holds MATCH - TRIGGER + 1 of them, one of which is its trigger.
 TRIGGER = 24
 #: Bytes of a chunk, of a segment that is parsed at a time (below 2^23), and phrases of a bucket; layout only.
-CHUNK, SEGMENT, BUCKET = 1 << 21, 1 << 20, 1 << 20
+CHUNK, SEGMENT, BUCKET = 1 << 21, 1 << 20, 1 << 19
 #: Suffixes sorted at a time (about 200 bytes each); layout only.
 SORTED = 1 << 19
 
@@ -224,6 +224,8 @@ def _shared_in_bucket(group: pd.DataFrame) -> pd.DataFrame:
         out.append(np.packbits(mask).tobytes() if mask.any() else None)
         at += len(p)
     frame = pd.DataFrame({"chunk": group["chunk"].to_numpy(), "bucket": group["bucket"].to_numpy(), "mask": out})
+    del parts, marked, values, inverse, counts, hits
+    give_back()
     return frame[frame["mask"].notna()]
 
 
@@ -306,6 +308,8 @@ def _bits_of_bucket(match: int, width: int):
         for own, smallest in zip(of, docs):
             flags = [least[p] < d for p, d in zip(own, smallest.tolist())]
             out.append(np.packbits(np.concatenate(flags)).tobytes())
+        del of, docs, phrases, least
+        give_back()
         return pd.DataFrame({"chunk": group["chunk"].to_numpy(), "bucket": group["bucket"].to_numpy(),
                              "mask": group["mask"].to_numpy(), "bits": out})
     return answer
@@ -352,6 +356,7 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
                     if result is not None:
                         yield result
                     del result
+                    give_back()
         return run
 
     def triggers(values: dict, chunk: _Chunk) -> pa.RecordBatch:

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import id_of, join_salted, key_of
+from stratamart.llm.common import give_back, id_of, join_salted, key_of
 from stratamart.llm.components import labelled
 from stratamart.staging import materialize
 
@@ -48,6 +48,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(prints.view(np.int64))], ["_doc", "fp"])
+            give_back()
 
     rows = docs.select(key_of("doc_id").alias("_doc"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(take, "_doc long, fp long")
@@ -141,6 +142,8 @@ def ball_links(prints: DataFrame, distance: int, bucket_variants: int = BUCKET_V
         if not a:
             return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         root = _forest(len(values), np.concatenate(a), np.concatenate(b))
+        del a, b
+        give_back()
         moved = np.flatnonzero(root != np.arange(len(values)))
         return pd.DataFrame({"a": values[root[moved]], "b": values[moved]})
 

@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from stratamart.llm.common import give_back
+
 #: Words remembered per worker, about 30 bytes each, and new ones encoded together. Speed only.
-MEMORY, TOGETHER = 600_000, 512
+MEMORY, TOGETHER = 400_000, 512
 #: Texts encoded together, by number and by bytes.
 TEXTS, CHARS = 4096, 1 << 22
 
@@ -154,4 +156,4 @@ def encoded(batches: Iterator[pa.RecordBatch], encoding: Encoding) -> Iterator[t
             texts = [t or "" for t in column.slice(at, stop - at).to_pylist()]
             yield ids[at:stop], [b + end for b in encode(texts)]
             at = stop
-        pa.default_memory_pool().release_unused()
+        give_back()
