@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import complete_groups, id_of, join_salted
 from stratamart.llm.components import labelled
-from stratamart.llm.vectors import matrix, scaled, usable, vectors
+from stratamart.llm.vectors import matrix, scale_factors, usable, vectors
 from stratamart.staging import materialize
 
 #: Tables, and buckets a vector is put into per table (its own and the next likely ones).
@@ -172,8 +172,11 @@ def near_duplicates(rows: DataFrame, least: float) -> DataFrame:
     rows that repeat a vec_id are vectors of their own; an empty table gives an empty result; other
     columns, labels too, are ignored.
     """
-    rows = materialize(vectors(rows).withColumn("_usable", usable("embedding")), "vectors")
-    valid = rows.where("_usable").select("_vec", scaled("embedding").alias("embedding"))
+    first, second = scale_factors("embedding")
+    told = vectors(rows).withColumn("_usable", usable("embedding"))
+    rows = materialize(told.withColumns({"_first": F.when(F.col("_usable"), first), "_second": F.when(F.col("_usable"), second)}), "vectors")
+    scaled = F.transform("embedding", lambda x: x * F.col("_first") * F.col("_second"))
+    valid = rows.where("_usable").select("_vec", scaled.alias("embedding"))
     classes = classes_of(valid)
     found = materialize(links(classes, least), "vector_links")
     directed = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -21,13 +21,12 @@ def vectors(rows: DataFrame) -> DataFrame:
     return rows.select(key_of("vec_id").alias("_vec"), F.col("embedding").cast("array<double>").alias("embedding"))
 
 
-def scaled(column: str) -> Column:
-    """A usable vector by the power of two that brings its largest component near 1: no product of two overflows or vanishes."""
-    largest = F.array_max(F.transform(column, F.abs))
-    power = F.floor(F.log2(largest))
-    half = F.floor(power / 2)  # two steps, as one factor may be out of range
-    first, second = F.pow(F.lit(2.0), -half), F.pow(F.lit(2.0), half - power)
-    return F.transform(column, lambda x: x * first * second)
+def scale_factors(column: str) -> tuple[Column, Column]:
+    """Two powers of two by which a usable vector's largest component comes near 1, so that no product of two overflows or
+    vanishes; two, as one may be out of range. Store them before use: a lambda would compute them once per component."""
+    power = F.floor(F.log2(F.array_max(F.transform(column, F.abs))))
+    half = F.floor(power / 2)
+    return F.pow(F.lit(2.0), -half), F.pow(F.lit(2.0), half - power)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
