@@ -212,6 +212,9 @@ def load_all(lake: Lake, source: DataFrame, mode: str = "overwrite", source_name
     load_gold(lake, "overwrite" if mode == "append" else mode)
 
 
+# Text files land compressed and bounded, as one task reads a whole file: CSV with quoted new lines cannot be split.
+LANDING_FILES = {"compression": "gzip", "maxRecordsPerFile": "500000"}
+
 _session_lakes: dict[tuple[str, str], "SessionLake"] = {}
 staging.on_clear.append(_session_lakes.clear)
 
@@ -237,7 +240,7 @@ class SessionLake(Lake):
             self._landed.add("parquet")
         if fmt not in self._landed:
             write = {"csv": write_csv, "json": write_json}[fmt]
-            write(self.read("landing", "parquet"), self.path("landing", fmt), "overwrite")
+            write(self.read("landing", "parquet"), self.path("landing", fmt), "overwrite", **LANDING_FILES)
             self._landed.add(fmt)
         return read_flat(self.spark, self.path("landing", fmt), fmt, source_column="_source_file",
                          located=fmt == "parquet")

@@ -188,14 +188,14 @@ def _place(location: str) -> str:
     return location.removeprefix("file:").rstrip("/").replace("///", "/", 1)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header in every part, one part per partition."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", **options: str) -> None:
+    """Header in every part, one part per partition unless `maxRecordsPerFile` is among the options."""
+    df.write.mode(mode).options(**CSV_OPTIONS, **options).csv(path)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists", **options: str) -> None:
     """One object per line; nulls are written out, so that a missing field can be told from an empty one."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    df.write.mode(mode).options(ignoreNullFields="false", **options).json(path)
 
 
 def list_databases(spark: SparkSession) -> DataFrame:
