@@ -2,11 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamart import schemas, staging
+from stratamart.functions.cleaning import fill_missing, fitting_widths
 from stratamart.plans import layers
 from stratamart.sources import readers
-from stratamart.sources.lake import Lake
+from stratamart.sources.lake import Lake, write_csv, write_json
 from stratamart.streaming.ingest import append_new_files
-from tests.conftest import rows
+from tests.conftest import SF_DIR, rows
 from tests.test_lake import LINE, write_listing_csv
 
 SMALL = "k long, day int, price double, note string"
@@ -109,3 +110,46 @@ def test_clearing_forgets_the_lakes(spark, monkeypatch, tmp_path):
     assert layers.session_lake(spark, "/nowhere") is not first
     layers._session_lakes.clear()
     layers._session_lakes.update(before)
+
+
+def listing(spark):
+    """One row whose columns may be null, as in tables."""
+    kinds = [F.lit(None if LINE[f.name] == "NA" else LINE[f.name]).cast(f.dataType).alias(f.name) for f in schemas.LISTING]
+    return spark.range(1).select(*[F.when(F.col("id") >= 0, k).alias(f.name) for k, f in zip(kinds, schemas.LISTING)])
+
+
+def largest_method(df):
+    """Bytes of the largest method that Spark generates for a query; the JVM compiles none above 8,000."""
+    found = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.length()))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_text_is_read_by_methods_that_the_jvm_compiles(spark, tmp_path, fmt):
+    {"csv": write_csv, "json": write_json}[fmt](listing(spark), str(tmp_path / fmt))
+    assert largest_method(readers.read_flat(spark, str(tmp_path / fmt), fmt, source_column="_source_file")) < 8000
+
+
+def test_the_first_misfit_of_a_row_is_named_whatever_its_kind(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,day,price,note\n1,x,y,n\n")
+    (tmp_path / "b.csv").write_text("k,day,price,note\nz,1,y,n\n")
+    for name, reason in (("a", "day: x"), ("b", "k: z")):
+        with pytest.raises(Exception, match=f"row cannot be read, {reason}"):
+            readers.read_flat(spark, str(tmp_path / f"{name}.csv"), "csv", schema(spark)).collect()
+
+
+def test_bronze_is_written_by_methods_that_the_jvm_compiles(spark, tmp_path):
+    listing(spark).write.parquet(str(tmp_path / "in"))
+    source = readers.read_flat(spark, str(tmp_path / "in"), "parquet", source_column="_source_file", located=True)
+    rows_held = fitting_widths(fill_missing(source), schemas.BRONZE_WIDTHS)
+    assert largest_method(rows_held) < 5000
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_landing_files_are_bounded(spark, monkeypatch, fmt):
+    monkeypatch.setattr(layers, "LANDING_FILES", layers.LANDING_FILES | {"maxRecordsPerFile": "1000"})
+    lake = layers.SessionLake(spark, SF_DIR)
+    found = lake.landing(fmt)
+    assert found.groupBy("_source_file").count().agg(F.max("count")).first()[0] <= 1000
+    assert found.select(*schemas.LISTING_COLUMNS).exceptAll(lake.landing().select(*schemas.LISTING_COLUMNS)).isEmpty()
+    assert found.count() == lake.landing().count()
