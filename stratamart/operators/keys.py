@@ -61,13 +61,20 @@ def located_key(rows: DataFrame, key: str) -> DataFrame:
     """
     kept = [c for c in rows.columns if c not in ("_file", "_row")]
     hashed = rows.withColumns({"_part": F.xxhash64("_file"), "_other": F.xxhash64(F.lit(1), "_file")})
-    one_path = F.when(F.min("_file") == F.max("_file"), F.count("*")).otherwise(F.raise_error(F.lit("two files of one hash")).cast("long"))
-    counts = hashed.groupBy("_part", "_other").agg(one_path.alias("_rows"))
-    offsets = materialize(_offsets(counts, ["_part", "_other"]), "file_offsets")
+    offsets = materialize(_offsets(file_counts(rows), ["_part", "_other"]), "file_offsets")
     side = F.broadcast(offsets) if offsets.count() <= _MOST_BROADCAST else offsets
     return hashed.join(side, ["_part", "_other"]).withColumn(key, F.col("_offset") + F.col("_row") + 1).select(key, *kept)
 
 
+def file_counts(rows: DataFrame) -> DataFrame:
+    """Per `_file`, named by two hashes of its path: its rows. Rows are counted by path, one group per file, and hashes are
+    compared among files, so no task sorts or holds rows."""
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    hashed = files.select(F.xxhash64("_file").alias("_part"), F.xxhash64(F.lit(1), "_file").alias("_other"), "_n")
+    one_path = F.when(F.count("*") == 1, F.sum("_n")).otherwise(F.raise_error(F.lit("two files of one hash")).cast("long"))
+    return hashed.groupBy("_part", "_other").agg(one_path.alias("_rows"))
+
+
 def _offsets(counts: DataFrame, part: list[str]) -> DataFrame:
     """Per part, named by hashes, the `_offset`: the rows (`_rows`) of all parts before it.
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from stratamart.operators.keys import dense_key, file_key
+from stratamart.operators.keys import dense_key, file_counts, file_key
 from tests.conftest import rows
 
 
@@ -27,3 +27,11 @@ def test_stored_tables_are_numbered_by_file_and_row(spark, tmp_path):
     assert keyed.columns == ["k", "id"]
     assert sorted(r.k for r in keyed.collect()) == list(range(1, 501))
     assert keyed.select("id").distinct().count() == 500
+
+
+def test_files_are_counted_without_sorting_their_rows(spark, tmp_path):
+    spark.range(500).repartition(6).write.parquet(f"{tmp_path}/t")
+    counts = file_counts(spark.read.parquet(f"{tmp_path}/t").select("id", F.col("_metadata.file_path").alias("_file")))
+    assert sum(r["_rows"] for r in counts.collect()) == 500 and counts.count() == 6
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
