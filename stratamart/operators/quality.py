@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from stratamart.staging import materialize
+from stratamart.operators.skew import fits_broadcast
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -45,12 +45,9 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
 def foreign_key_check(child: DataFrame, key: str, parent: DataFrame, parent_key: str, label: str) -> DataFrame:
     """(reference, rows, nulls, orphan_keys, orphan_rows) in one aggregation."""
     used = child.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
-    return _reference_counts(used, parent, parent_key).select(F.lit(label).alias("reference"), "*")
-
-
-def _reference_counts(used: DataFrame, parent: DataFrame, parent_key: str) -> DataFrame:
-    """What the rows of `_key` and `_n`, one per value, find in the parent."""
     known = parent.select(F.col(parent_key).alias("_parent")).where(F.col("_parent").isNotNull()).distinct()
+    if not fits_broadcast(parent):  # a single column of it may seem to
+        known = known.hint("merge")
     joined = used.join(known, F.col("_key") == F.col("_parent"), "left")
     orphan = F.col("_key").isNotNull() & F.col("_parent").isNull()
     return joined.agg(
@@ -58,26 +55,18 @@ def _reference_counts(used: DataFrame, parent: DataFrame, parent_key: str) -> Da
         F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
         F.count_if(orphan).alias("orphan_keys"),
         F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("orphan_rows"),
-    )
+    ).select(F.lit(label).alias("reference"), "*")
 
 
 def foreign_key_checks(child: DataFrame, parents: dict[str, tuple[DataFrame, str]], label: str) -> DataFrame:
-    """`foreign_key_check` of several keys of one table in one pass: `parents` maps each key to a table and its key.
+    """`foreign_key_check` of several keys of one table: `parents` maps each key to a table and its key.
 
-    The child is read once and counted by grouping sets, one per key, into a written table of one row per key and
-    value (a hot value is one row per task before it is shuffled). Each parent then meets the counts of its key.
+    Each key is a column of its own to a columnar store, so the keys together read the child once. A key's values are
+    counted before they are shuffled (a hot value is one row per task), and meet the parent where they were counted; no
+    row is copied per key.
     """
-    keys = list(parents)
-    one_type = len({child.schema[k].dataType for k in keys}) == 1
-    sets = child.select(*[F.col(k) if one_type else F.col(k).cast("string").alias(k) for k in keys]).groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys])
-    counted = sets.agg(F.count("*").alias("_n"), *[F.grouping(k).alias(f"_not_{k}") for k in keys])
-    which = F.coalesce(*[F.when(F.col(f"_not_{k}") == 0, F.lit(k)) for k in keys])
-    stored = materialize(counted.select(which.alias("_of"), F.coalesce(*keys).alias("_key"), "_n"), "key_counts")
-    checks = []
-    for key, (parent, parent_key) in parents.items():
-        used = stored.where(F.col("_of") == key).drop("_of").withColumn("_key", F.col("_key").cast(child.schema[key].dataType))
-        checks.append(_reference_counts(used, parent, parent_key).select(F.lit(f"{label}.{key}").alias("reference"), "*"))
-    return union_all(checks)
+    return union_all([foreign_key_check(child, key, parent, parent_key, f"{label}.{key}")
+                      for key, (parent, parent_key) in parents.items()])
 
 
 def type_check(df: DataFrame, targets: dict[str, str]) -> DataFrame:

@@ -1,4 +1,7 @@
+from pyspark.sql import functions as F
+
 from stratamart import schemas
+from stratamart.functions.columns import row_digest
 from stratamart.operators import profile, quality
 from tests.conftest import rows
 
@@ -47,3 +50,28 @@ def test_duplicates_of_long_texts(spark):
     data = [("x" * 65, None), ("x" * 65, None), ("x" * 64, None), (None, 1.0), (None, 1.0), ("", 1.0)]
     df = spark.createDataFrame(data, "`a.b` string, c double")
     assert rows(profile.duplicate_profile(df)) == [(6, 4, 2)]
+
+
+def test_references_of_several_keys_copy_no_row_per_key(spark):
+    fact = spark.createDataFrame([(1, "a"), (1, None), (9, "z"), (9, "z"), (None, "a")], "k int, t string")
+    ones, texts = spark.createDataFrame([(1,), (1,), (None,)], "id int"), spark.createDataFrame([("a",)], "id string")
+    found = quality.foreign_key_checks(fact, {"k": (ones, "id"), "t": (texts, "id")}, "fact")
+    assert rows(found) == [("fact.k", 5, 1, 1, 2), ("fact.t", 5, 1, 1, 2)]
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in found.inputFiles() if "key_counts" in f]
+
+
+def test_duplicates_are_grouped_by_one_short_value(spark):
+    nan = float("nan")
+    data = [("ab", "c", None, 0.0, [1]), ("a", "bc", None, 0.0, [1]), (None, "a", 1, nan, None), ("a", None, 1, nan, None), ("a", None, 1, nan, None),
+            ("1", "", 1, -0.0, [2]), ("1", "", 1, 0.0, [2]), ("1", None, 1, 0.0, [2])]
+    df = spark.createDataFrame(data, "`a.b` string, c string, n int, d double, l array<int>")
+    assert rows(profile.duplicate_profile(df)) == [(8, 6, 2)]
+    plan = profile.duplicate_profile(df.drop("l"))._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[_digest#" in plan
+
+
+def test_wide_rows_are_grouped_by_methods_that_the_jvm_compiles(spark):
+    wide = spark.range(5).select(*[F.col("id").cast(f.dataType).alias(f.name) for f in schemas.LISTING.fields])
+    found = wide.select(*row_digest(wide))._jdf.queryExecution().debug().codegenToSeq()
+    assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.length())) < 8000
