@@ -49,3 +49,20 @@ def test_remodelling_drops_and_counts_orphans(spark):
     kept = star.drop_orphans(remapped, spec)
     assert rows(kept) == [(1, 1.0), (1, 1.0), (1, 2.0)]
     assert kept.where(F.col("maker_id").isNull()).count() == 0
+
+
+def test_tables_of_equal_rows_are_not_shuffled(spark):
+    columns = ["make", "trim", "colour", "price"]
+    rows_of = flat(spark).select(*columns)
+    same = star.row_differences(rows_of, rows_of.repartition(3))
+    assert rows(same) == [] and same.columns == [*columns, "surplus"]
+    assert "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
+
+
+def test_differences_in_nulls_and_copies_are_found(spark):
+    def table(*data):
+        return spark.createDataFrame(data, "a string, b string, x double")
+    nan = float("nan")
+    left = table(("a", None, 0.0), ("c", "c", nan), ("d", "d", 1.0), ("d", "d", 1.0))
+    right = table((None, "a", -0.0), ("c", "c", nan), ("d", "d", 1.0), ("d", "d", 1.0), ("d", "d", 1.0))
+    assert rows(star.row_differences(left, right)) == [(None, "a", 0.0, -1), ("a", None, 0.0, 1), ("d", "d", 1.0, -1)]
