@@ -48,7 +48,7 @@ def _all_equal(pairs: list[tuple[Column, Column]], null_safe: bool) -> Column:
 
 
 def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", null_safe: bool = False,
-              measured_on: DataFrame | None = None) -> DataFrame:
+              measured_on: DataFrame | None = None, sized_on: DataFrame | None = None) -> DataFrame:
     """Join `rows` to `side`, whose key is unique; returns the columns of `rows` and the rest of `side`.
 
     `on` lists names, or (row column, side column) pairs. A side that fits a broadcast, and rows
@@ -57,7 +57,8 @@ def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", nu
     spread over the partitions, where they meet nothing. The spread depends on the row and on the
     number of its map partition only, so a recomputed task sends every row where it went before.
 
-    `measured_on` is a cheaper table with the same key columns to find frequent keys on.
+    `measured_on` is a cheaper table with the same key columns to find frequent keys on. `sized_on` is the stored table that
+    the side was made of, if its size is to decide: a few columns of a well compressed table look small and are not.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join {how!r}")
@@ -71,7 +72,10 @@ def skew_join(rows: DataFrame, side: DataFrame, on: list, how: str = "inner", nu
     row_hash, side_hash = _key_hash(row_keys, kinds), _key_hash([F.col(n) for n in names], kinds)
 
     hot = []
-    if not fits_broadcast(side):
+    small = fits_broadcast(side if sized_on is None else sized_on)
+    if sized_on is not None and not small:
+        keyed = keyed.hint("merge")
+    if not small:
         source = rows if measured_on is None else measured_on
         hot = frequent_hashes(source, row_hash)
 
@@ -112,14 +116,14 @@ def sum_through(fact: DataFrame, dimension: DataFrame, key: str, by: list[str],
                 lows: dict[str, Column] | None = None, highs: dict[str, Column] | None = None) -> DataFrame:
     """Sums, minima and maxima of fact expressions per dimension attributes.
 
-    Unless the dimension can be broadcast, the fact is aggregated per key first: it has to be
+    Unless the whole dimension can be broadcast, the fact is aggregated per key first: it has to be
     shuffled by that key for the join anyway, and any frequent key is one row per task by then.
     """
     lows, highs = lows or {}, highs or {}
     first = [F.sum(e).alias(n) for n, e in sums.items()] + [F.min(e).alias(n) for n, e in lows.items()] \
         + [F.max(e).alias(n) for n, e in highs.items()]
     attributes = dimension.select(key, *by)
-    if fits_broadcast(attributes):
+    if fits_broadcast(dimension):
         return fact.join(attributes, key).groupBy(*by).agg(*first)
     again = [F.sum(n).alias(n) for n in sums] + [F.min(n).alias(n) for n in lows] + [F.max(n).alias(n) for n in highs]
-    return fact.groupBy(key).agg(*first).join(attributes, key).groupBy(*by).agg(*again)
+    return fact.groupBy(key).agg(*first).join(attributes.hint("merge"), key).groupBy(*by).agg(*again)

@@ -44,20 +44,46 @@ def lookup_key(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec,
 
 
 def new_members(source: DataFrame, dimension: DataFrame, spec: DimensionSpec, last: int) -> DataFrame:
-    """Rows for the tuples of `source` that the dimension lacks, keyed from `last` + 1 on in their order."""
-    found = lookup_key(source.select(*spec.columns).distinct(), dimension, spec)
-    lacking = found.where(F.col(spec.key).isNull()).select(*spec.columns)
+    """Rows for the tuples of `source` that the dimension lacks, keyed from `last` + 1 on in their order.
+
+    Both meet in one aggregation, which collapses repeated tuples before its only shuffle.
+    """
+    require_columns(source, spec.columns, f"source of {spec.name}")
+    require_columns(dimension, spec.columns, spec.name)
+    both = source.select(*spec.columns, F.lit(False).alias("_known")).unionByName(
+        dimension.select(*spec.columns, F.lit(True).alias("_known")))
+    lacking = both.groupBy(*spec.columns).agg(F.max("_known").alias("_known")).where(~F.col("_known")).select(*spec.columns)
     return dense_key(lacking, spec.key, spec.columns).withColumn(spec.key, F.col(spec.key) + last)
 
 
-def fact_rows(source: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame]) -> DataFrame:
+def complete_lookup(rows: DataFrame, dimension: DataFrame, spec: DimensionSpec, names: list[str], measured_on: DataFrame) -> DataFrame:
+    """`lookup_key` into a dimension that has every tuple of `rows`, which carry its two hashes (`names`) in its place.
+
+    Fails if two tuples of the dimension share their hashes. So the row found is the row's own tuple, and neither side
+    ships the tuple itself.
+    """
+    own = F.when(F.count("*") == 1, F.max(spec.key)).otherwise(F.raise_error(F.lit(f"two rows of {spec.name} have the same hashes")).cast("long"))
+    hashes = [h.alias(n) for h, n in zip(row_hashes(dimension, spec.columns), names)]
+    side = dimension.select(spec.key, *hashes).groupBy(*names).agg(own.alias(spec.key))
+    return skew_join(rows, side, names, "left", measured_on=measured_on, sized_on=dimension)
+
+
+def fact_rows(source: DataFrame, spec: FactSpec, dimensions: dict[str, DataFrame], complete: bool = True) -> DataFrame:
     """The columns of the fact; its own key, if it has one, must come with the source.
 
-    Lookups run from the last dimension to the first: the natural key of a resolved dimension is
+    Dimensions are taken to hold each tuple of the source once (`complete_lookup`); without `complete` the tuples
+    themselves are compared, and those that a dimension lacks have null keys. Lookups run from the last dimension to the first: the natural key of a resolved dimension is
     dropped at once, and the small last dimension is usually broadcast, so the wide first lookup
     shuffles a row that is already narrow.
     """
     carried = [c for c in spec.columns if c in source.columns]
+    if complete:
+        names = {d.name: [f"_{d.key}_{i}" for i in (0, 1)] for d in spec.dimensions}
+        rows = source.select(*carried, *[h.alias(n) for d in spec.dimensions for h, n in zip(row_hashes(source, d.columns), names[d.name])])
+        hashed = rows
+        for dimension in reversed(spec.dimensions):
+            rows = complete_lookup(rows, dimensions[dimension.name], dimension, names[dimension.name], hashed).drop(*names[dimension.name])
+        return rows.select(*spec.columns)
     rows = source.select(*dict.fromkeys([c for d in spec.dimensions for c in d.columns] + carried))
     pending = list(spec.dimensions)
     while pending:

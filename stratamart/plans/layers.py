@@ -147,8 +147,9 @@ def gold_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame], models:
         [(schemas.GOLD_CONDICAO, gold["dim_condicao"]), (schemas.GOLD_COR, gold["dim_cor"])],
         keep=schemas.PROMOTED,
     )
+    # Stored, so that its true size decides whether the fact is shuffled for it.
     return remap_fact(silver["fato_veiculo"], schemas.GOLD_FATO,
-                      [("id_especificacao", specs), ("id_modelo", models)])
+                      [("id_especificacao", staging.materialize(specs, "specs")), ("id_modelo", models)])
 
 
 def load_gold(lake: Lake, mode: str = "overwrite") -> dict[str, DataFrame]:

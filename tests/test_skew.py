@@ -77,3 +77,20 @@ def test_sums_are_the_same_either_way(spark, skewed, side):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sum(r[1] for r in direct) == skewed.where("k < 15000").count()
+
+
+def test_columns_of_a_large_table_are_not_broadcast(spark):
+    """A few columns of it seem to fit a broadcast."""
+    wide = materialize(spark.range(3000).select("id", *[F.sha2(F.concat(F.lit(str(i)), F.col("id")), 256).alias(f"t{i}") for i in range(20)]), "wide")
+    fact = materialize(spark.range(9000).select((F.col("id") % 3000).alias("id")), "fact")
+    few = wide.select("id", (F.col("id") % 5).alias("a"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300000")
+    try:
+        plan = {"sized": skew_join(fact, few, ["id"], sized_on=wide), "summed": sum_through(fact, wide.withColumn("a", F.col("id") % 5), "id", ["a"], {"n": F.lit(1)})}
+        for df in plan.values():
+            assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+        assert rows(plan["summed"]) == [(i, 1800) for i in range(5)]
+        assert plan["sized"].count() == 9000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from stratamart.operators import star
@@ -66,3 +67,22 @@ def test_differences_in_nulls_and_copies_are_found(spark):
     left = table(("a", None, 0.0), ("c", "c", nan), ("d", "d", 1.0), ("d", "d", 1.0))
     right = table((None, "a", -0.0), ("c", "c", nan), ("d", "d", 1.0), ("d", "d", 1.0), ("d", "d", 1.0))
     assert rows(star.row_differences(left, right)) == [(None, "a", 0.0, -1), ("a", None, 0.0, 1), ("d", "d", 1.0, -1)]
+
+
+def test_members_of_an_old_dimension_are_left_out(spark):
+    old = spark.createDataFrame([(7, "a", None), (8, "b", "x")], "car_id long, make string, trim string")
+    assert rows(star.new_members(flat(spark), old, CAR, 8)) == [(9, "a", "x")]
+    none = star.new_members(flat(spark).where("make = 'b'"), old, CAR, 8)
+    assert none.count() == 0
+
+
+def test_a_fact_ships_hashes_of_its_tuples(spark, no_broadcast):
+    source = materialize(flat(spark).withColumn("sale_id", F.monotonically_increasing_id()), "sales")
+    dimensions = {d.name: materialize(star.build_dimension(source, d), d.name) for d in SALE.dimensions}
+    fact = star.fact_rows(source, SALE, dimensions)
+    assert rows(fact.drop("sale_id")) == rows(star.fact_rows(source, SALE, dimensions, complete=False).drop("sale_id"))
+    shuffled = [line for line in fact._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert shuffled and not any("colour" in line or "trim" in line for line in shuffled)
+    twice = dimensions | {"car": dimensions["car"].unionByName(dimensions["car"].withColumn("car_id", F.col("car_id") + 9))}
+    with pytest.raises(Exception, match="two rows of car have the same hashes"):
+        star.fact_rows(source, SALE, twice).collect()
