@@ -26,7 +26,8 @@ POLYNOMIAL = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
 
 _BLOCK = 256
-_READ_TOKENS = 4_000_000
+_ROWS = 256 * np.arange(_BLOCK, dtype=np.int64)  # where the table of each place in a block starts
+_READ_BYTES = 1 << 23
 
 
 @lru_cache(maxsize=1)
@@ -42,49 +43,96 @@ def _tables() -> tuple[np.ndarray, list[list[int]]]:
     return places, places[:4].tolist()
 
 
-def crc32c(data: bytes) -> int:
-    """CRC-32C.
+def _short(data: bytes) -> int:
+    """CRC-32C of less than four bytes, too few to add the start value to."""
+    places, _ = _tables()
+    crc = 0xFFFFFFFF
+    for byte in data:
+        crc = (crc >> 8) ^ int(places[-1][(crc ^ byte) & 0xFF])
+    return crc ^ 0xFFFFFFFF
+
+
+def checksums(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """CRC-32C of each of many strings of so many bytes, which lie end to end.
 
     The checksum of a block is the exclusive or of what each byte adds, looked up for all bytes at once; the
     checksum so far acts as if it were added to the next block's first four bytes. Zeros in front add nothing.
     """
     places, (first, second, third, fourth) = _tables()
-    if len(data) < 4:  # too short to add the start value to
-        crc = 0xFFFFFFFF
-        for byte in data:
-            crc = (crc >> 8) ^ int(places[-1][(crc ^ byte) & 0xFF])
-        return crc ^ 0xFFFFFFFF
-    blocks = np.zeros((-(-len(data) // _BLOCK), _BLOCK), dtype=np.uint8)
-    flat = blocks.reshape(-1)
-    start = len(flat) - len(data)
-    flat[start:] = np.frombuffer(data, dtype=np.uint8)
-    flat[start:start + 4] ^= 0xFF
-    crc = 0
-    for at in range(0, len(blocks), 1 << 12):
-        adds = np.bitwise_xor.reduce(places[np.arange(_BLOCK), blocks[at:at + (1 << 12)]], axis=1)
-        for add in adds.tolist():
-            crc = first[crc & 255] ^ second[crc >> 8 & 255] ^ third[crc >> 16 & 255] ^ fourth[crc >> 24] ^ add
-    return crc ^ 0xFFFFFFFF
+    flat, out = places.reshape(-1), np.zeros(len(sizes), dtype=np.int64)
+    ends = np.cumsum(sizes)
+    starts, counts = ends - sizes, -(-sizes // _BLOCK)
+    for i in np.flatnonzero(sizes < 4).tolist():
+        out[i] = _short(data[starts[i]:ends[i]].tobytes())
+    counts[sizes < 4] = 0
+    last = np.cumsum(counts)
+    blocks = np.zeros((int(counts.sum()), _BLOCK), dtype=np.uint8)
+    padded = blocks.reshape(-1)
+    for start, end, size, stop in zip(starts.tolist(), ends.tolist(), sizes.tolist(), (last * _BLOCK).tolist()):
+        if size >= 4:
+            padded[stop - size:stop] = data[start:end]
+    long = sizes >= 4
+    padded[((last * _BLOCK - sizes)[long][:, None] + np.arange(4)).reshape(-1)] ^= 0xFF
+    adds: list[int] = []
+    for at in range(0, len(blocks), 1 << 9):
+        adds += np.bitwise_xor.reduce(flat.take(blocks[at:at + (1 << 9)] + _ROWS), axis=1).tolist()
+    for i, (stop, count) in enumerate(zip(last.tolist(), counts.tolist())):
+        if count:
+            crc = 0
+            for add in adds[stop - count:stop]:
+                crc = first[crc & 255] ^ second[crc >> 8 & 255] ^ third[crc >> 16 & 255] ^ fourth[crc >> 24] ^ add
+            out[i] = crc ^ 0xFFFFFFFF
+    return out
+
+
+def crc32c(data: bytes) -> int:
+    return int(checksums(np.frombuffer(data, dtype=np.uint8), np.array([len(data)], dtype=np.int64))[0])
 
 
-def masked(crc: int) -> int:
+def masked(crc):
+    """Of one checksum or an array of them."""
     return ((crc >> 15 | crc << 17) + MASK_DELTA) & 0xFFFFFFFF
 
 
+def frames(data: np.ndarray, sizes: np.ndarray) -> bytes:
+    """The records, end to end, of payloads of so many bytes that lie end to end."""
+    lengths = sizes.astype("<i8").view(np.uint8).reshape(-1, 8)
+    eights = np.full(len(sizes), 8, dtype=np.int64)
+    heads = np.hstack((lengths, masked(checksums(lengths.reshape(-1), eights)).astype("<u4").view(np.uint8).reshape(-1, 4))).tobytes()
+    tails = masked(checksums(data, sizes)).astype("<u4").tobytes()
+    whole, parts, at = data.tobytes(), [], 0
+    for i, size in enumerate(sizes.tolist()):
+        parts += (heads[12 * i:12 * i + 12], whole[at:at + size], tails[4 * i:4 * i + 4])
+        at += size
+    return b"".join(parts)
+
+
+def unframes(data: bytes, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The payloads, end to end, of records of so many bytes that lie end to end, and the bytes of each; raises if a
+    checksum or a length does not hold."""
+    flat, inner = np.frombuffer(data, dtype=np.uint8), sizes - 16
+    starts = np.cumsum(sizes) - sizes
+    if len(flat) != sizes.sum() or (inner < 0).any():
+        raise ValueError("broken length of a record")
+    heads = flat[starts[:, None] + np.arange(12)]
+    lengths = np.ascontiguousarray(heads[:, :8])
+    sums = np.ascontiguousarray(heads[:, 8:]).view("<u4").reshape(-1)
+    if (masked(checksums(lengths.reshape(-1), np.full(len(sizes), 8, dtype=np.int64))) != sums).any() or (lengths.view("<u8").reshape(-1) != inner).any():
+        raise ValueError("broken length of a record")
+    whole = b"".join([data[a:b] for a, b in zip((starts + 12).tolist(), (starts + 12 + inner).tolist())])
+    sums = np.ascontiguousarray(flat[(starts + 12 + inner)[:, None] + np.arange(4)]).view("<u4").reshape(-1)
+    if (masked(checksums(np.frombuffer(whole, dtype=np.uint8), inner)) != sums).any():
+        raise ValueError("broken payload of a record")
+    return whole, inner
+
+
 def frame(payload: bytes) -> bytes:
-    length = len(payload).to_bytes(8, "little")
-    return b"".join((length, masked(crc32c(length)).to_bytes(4, "little"), payload,
-                     masked(crc32c(payload)).to_bytes(4, "little")))
+    return frames(np.frombuffer(payload, dtype=np.uint8), np.array([len(payload)], dtype=np.int64))
 
 
 def unframe(record: bytes) -> bytes:
     """The payload of one record; raises if a checksum or the length does not hold."""
-    length, payload = record[:8], record[12:-4]
-    if masked(crc32c(length)) != int.from_bytes(record[8:12], "little") or int.from_bytes(length, "little") != len(payload):
-        raise ValueError("broken length of a record")
-    if masked(crc32c(payload)) != int.from_bytes(record[-4:], "little"):
-        raise ValueError("broken payload of a record")
-    return payload
+    return unframes(record, np.array([len(record)], dtype=np.int64))[0]
 
 
 def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> DataFrame:
@@ -109,19 +157,15 @@ def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> Dat
         for ids, blobs in encoded(batches, encoding):
             if out is None:
                 out = filesystem.open_output_stream(f"{base}/{name}")
-            offsets, sizes, starts, counts = [], [], [], []
-            for blob in blobs:
-                record = frame(np.frombuffer(blob, dtype="<u4").astype(kind).tobytes())
-                out.write(record)
-                offsets.append(offset)
-                sizes.append(len(record))
-                starts.append(start)
-                counts.append(len(blob) // 4)
-                offset, start = offset + len(record), start + len(blob) // 4
+            counts = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
+            payloads = np.frombuffer(b"".join(blobs), dtype="<u4").astype(kind).view(np.uint8)
+            out.write(frames(payloads, encoding.id_bytes * counts))
+            sizes = encoding.id_bytes * counts + 16
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([name] * len(ids)), pa.array(offsets, pa.int64()),
-                 pa.array(sizes, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64())],
+                [pa.array(ids, pa.int64()), pa.array([name] * len(ids)), pa.array(offset + np.cumsum(sizes) - sizes, pa.int64()),
+                 pa.array(sizes, pa.int64()), pa.array(start + np.cumsum(counts) - counts, pa.int64()), pa.array(counts, pa.int64())],
                 ["_doc", "file", "offset", "bytes", "_before", "n_tokens"])
+            offset, start = offset + int(sizes.sum()), start + int(counts.sum())
         if out is not None:
             out.close()
 
@@ -154,21 +198,23 @@ def read(index: DataFrame) -> DataFrame:
             order = sorted(range(batch.num_rows), key=lambda i: (rows["file"][i], rows["offset"][i]))
             at = 0
             while at < len(order):
-                stop, size = at, 0
-                while stop < len(order) and (size < 4 * _READ_TOKENS or stop == at):
+                name, offset, width = rows["file"][order[at]], rows["offset"][order[at]], rows["id_bytes"][order[at]]
+                stop, size = at, 0  # records that follow one another in a file are read at once
+                while (stop < len(order) and (size < _READ_BYTES or stop == at) and rows["file"][order[stop]] == name
+                       and rows["offset"][order[stop]] == offset + size and rows["id_bytes"][order[stop]] == width):
                     size += rows["bytes"][order[stop]]
                     stop += 1
-                some, blobs = order[at:stop], []
-                for i in some:
-                    name = rows["file"][i]
-                    if name not in open_files:
-                        if len(open_files) >= 16:
-                            open_files.pop(next(iter(open_files))).close()
-                        filesystem, path = fs.FileSystem.from_uri(name)
-                        open_files[name] = filesystem.open_input_file(path)
-                    open_files[name].seek(rows["offset"][i])
-                    payload = unframe(open_files[name].read(rows["bytes"][i]))
-                    blobs.append(np.frombuffer(payload, dtype=f"<u{rows['id_bytes'][i]}").astype("<u4").tobytes())
+                some = order[at:stop]
+                if name not in open_files:
+                    if len(open_files) >= 16:
+                        open_files.pop(next(iter(open_files))).close()
+                    filesystem, path = fs.FileSystem.from_uri(name)
+                    open_files[name] = filesystem.open_input_file(path)
+                open_files[name].seek(offset)
+                payloads, sizes = unframes(open_files[name].read(size), np.array([rows["bytes"][i] for i in some], dtype=np.int64))
+                whole = np.frombuffer(payloads, dtype=f"<u{width}").astype("<u4").tobytes()
+                ends = np.cumsum(sizes // width * 4)
+                blobs = [whole[a:b] for a, b in zip((ends - sizes // width * 4).tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([*batch.take(pa.array(some)).columns, pa.array(blobs, pa.binary())],
                                                  [*kept, "ids"])
                 at = stop

@@ -12,10 +12,12 @@ import pyarrow.compute as pc
 
 from stratamart.llm.common import give_back
 
-#: Words remembered per worker, about 30 bytes each, and new ones encoded together. Speed only.
-MEMORY, TOGETHER = 400_000, 512
+#: Words remembered per worker, about 30 bytes each, new ones encoded as one text, and such texts encoded at once. Speed only.
+MEMORY, TOGETHER, AT_ONCE = 400_000, 128, 16
 #: Texts encoded together, by number and by bytes.
 TEXTS, CHARS = 4096, 1 << 22
+#: How a byte-level vocabulary writes a space.
+SPACE = "\u0120"
 
 
 @dataclass(frozen=True)
@@ -58,45 +60,58 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.before_word = before_word
         self.spaced = spaced
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Which ids hold a space, where the space goes to the following word: as words hold none, such an id opens a word.
+        self.opens = None
+        if before_word:
+            vocabulary = self.tokenizer.get_vocab()
+            self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.opens[[i for token, i in vocabulary.items() if SPACE in token]] = True
         self.words = pa.array([], pa.large_string())
         self.ids, self.sizes, self.met = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
 
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; offsets are not kept track of, which is faster."""
+        return [np.array(found.ids, dtype="<u4") for at in range(0, len(texts), AT_ONCE)
+                for found in self.tokenizer.encode_batch_fast(texts[at:at + AT_ONCE], add_special_tokens=False)]
+
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words that hold no white space at an end, strung together, and how many each has.
 
-        Some words at a time go through the tokenizer as a text; a token belongs to the word in which, or in the space
-        before which, its last character lies.
+        Some words at a time go through the tokenizer as a text. They are told apart by the ids that open a word, else by
+        offsets: a token belongs to the word in which, or in the space before which, its last character lies.
         """
-        ids, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
-        for at in range(0, len(words), TOGETHER):
-            some = words[at:at + TOGETHER]
+        lots = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        if self.opens is not None and words:
+            ids = np.concatenate(self._plain([" " + " ".join(some) for some in lots]))
+            opened = np.flatnonzero(self.opens[ids])
+            if len(opened) == len(words):
+                return ids, np.diff(opened, append=len(ids))
+        parts, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
+        for some in lots:
             found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
             ends = np.fromiter((end for _, end in found.offsets), dtype=np.int64, count=len(found))
             lengths = np.fromiter(map(len, some), dtype=np.int64, count=len(some)) + 1
             owner = np.searchsorted(np.cumsum(lengths) - lengths, ends - 1, side="right") - 1
-            ids.append(np.array(found.ids, dtype="<u4"))
+            parts.append(np.array(found.ids, dtype="<u4"))
             sizes.append(np.bincount(owner, minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(sizes)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _known(self, words: pa.Array) -> np.ndarray:
-        """The places of distinct words among the known ones, -1 for those that must not be taken out of their text."""
-        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
-        self.met[place[place >= 0]] += 1
-        missing = np.flatnonzero(place < 0)
-        texts = words.take(pa.array(missing)).to_pylist()
+        return np.concatenate(parts), np.concatenate(sizes)
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """The places of words among the known ones, to which new ones are added; a word that must not be taken out of
+        its text has size -1 there."""
+        known = len(self.words)
+        coded = pa.chunked_array([self.words, words]).dictionary_encode().chunks[-1]
+        self.words = coded.dictionary
+        texts = self.words.slice(known).to_numpy(zero_copy_only=False).tolist()
         fit = np.array([bool(w) and w.strip() == w for w in texts], dtype=bool)
-        new = missing[fit]
-        ids, sizes = self._encoded([w for w, ok in zip(texts, fit) if ok])
-        place[new] = len(self.words) + np.arange(len(new))
-        self.words = pa.concat_arrays([self.words, words.take(pa.array(new))])
+        ids, found = self._encoded([w for w, ok in zip(texts, fit) if ok])
+        sizes = np.full(len(texts), -1, dtype=np.int64)
+        sizes[fit] = found
         self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
-        self.met = np.concatenate((self.met, np.zeros(len(new), dtype=np.int32)))
+        place = coded.indices.to_numpy().astype(np.int64)
+        self.met = np.concatenate((self.met, np.zeros(len(texts), dtype=np.int32))) + (np.bincount(place, minlength=len(self.sizes)) > 0)
         return place
 
     def _forget(self) -> None:
@@ -104,41 +119,45 @@ class _Encoder:
         if len(self.words) <= MEMORY:
             return
         kept = np.sort(np.lexsort((np.arange(len(self.met)), self.met))[-(MEMORY // 2):])
-        starts = np.cumsum(self.sizes) - self.sizes
-        self.ids, self.sizes = self.ids[_ranges(starts[kept], self.sizes[kept])], self.sizes[kept]
+        held = np.maximum(self.sizes, 0)
+        starts = np.cumsum(held) - held
+        self.ids, self.sizes = self.ids[_ranges(starts[kept], held[kept])], self.sizes[kept]
         self.words, self.met = self.words.take(pa.array(kept)), self.met[kept]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        lines = [t.replace("\n", " ") for t in texts] if self.spaced else texts
-        split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
-        distinct = split.values.dictionary_encode()
-        place = self._known(distinct.dictionary)
-        at = place[distinct.indices.to_numpy()]
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " ") if self.spaced else texts, " ")
         offsets = split.offsets.to_numpy()
-        heads = [self._whole(t.split(" ", 1)[0]) for t in lines]  # no space stands before these
-        at[offsets[:-1]] = len(self.words) + np.arange(len(heads))
-        odd = at < 0
-        flat = np.concatenate((self.ids, np.frombuffer(b"".join(heads), dtype="<u4")))
-        sizes = np.concatenate((self.sizes, np.fromiter(map(len, heads), dtype=np.int64, count=len(heads)) // 4))
-        starts = np.cumsum(sizes) - sizes
-        count = np.where(odd, 0, sizes[at])
-        ends = np.cumsum(count)
-        every = flat[_ranges(starts[at], count)].tobytes()
+        first = np.zeros(len(split.values), dtype=bool)
+        first[offsets[:-1]] = True  # no space stands before these, so they are no words to remember
+        heads = split.values.filter(pa.array(first)).dictionary_encode()
+        at = self._places(pc.if_else(pa.array(first), "", split.values))
+        opening = self._plain(heads.dictionary.to_pylist())
+        at[first] = len(self.words) + heads.indices.to_numpy()
+        sizes = np.concatenate((self.sizes, np.array([len(ids) for ids in opening], dtype=np.int64)))
+        flat = np.concatenate((self.ids, *opening))
+        count = sizes[at]
+        odd = np.flatnonzero(count < 0)
+        count[odd] = 0
+        np.maximum(sizes, 0, out=sizes)
+        every = flat[_ranges((np.cumsum(sizes) - sizes)[at], count)].tobytes()
         self._forget()
-        edges = (4 * np.concatenate(([0], ends))[offsets]).tolist()
+        edges = (4 * np.concatenate(([0], np.cumsum(count)))[offsets]).tolist()
         out = [every[a:b] for a, b in zip(edges[:-1], edges[1:])]
-        whole = set((np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1).tolist())
+        whole = set((np.searchsorted(offsets, odd, side="right") - 1).tolist())
         for special in self.special:
-            whole.update(i for i, text in enumerate(texts) if special in text)
+            whole.update(np.flatnonzero(pc.match_substring(texts, special).to_numpy(zero_copy_only=False)).tolist())
         for i in whole:
-            out[i] = self._whole(texts[i])
+            out[i] = self._plain([texts[i].as_py()])[0].tobytes()
         return out
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its size, one range after the other."""
     ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    out = np.repeat(starts - (ends - sizes), sizes)
+    out += np.arange(len(out))
+    return out
 
 
 def encoded(batches: Iterator[pa.RecordBatch], encoding: Encoding) -> Iterator[tuple[list, list[bytes]]]:
@@ -153,7 +172,6 @@ def encoded(batches: Iterator[pa.RecordBatch], encoding: Encoding) -> Iterator[t
         while at < len(ids):
             before = chars[at - 1] if at else 0
             stop = max(at + 1, min(at + TEXTS, int(np.searchsorted(chars, before + CHARS, side="right"))))
-            texts = [t or "" for t in column.slice(at, stop - at).to_pylist()]
-            yield ids[at:stop], [b + end for b in encode(texts)]
+            yield ids[at:stop], [b + end for b in encode(column.slice(at, stop - at))]
             at = stop
         give_back()

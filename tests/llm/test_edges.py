@@ -4,9 +4,10 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from stratamart.llm import extraction, forest, mixing, neighbours, packing, quality, records, repeats, simhash, url_filter
+from stratamart.llm import extraction, forest, mixing, neighbours, packing, quality, records, repeats, simhash, tokens, url_filter
 from stratamart.llm.components import components
 from stratamart.llm.queries import byte_encoding, word_encoding
 from tests.llm.test_queries import reachable, without
@@ -113,6 +114,82 @@ def test_records(docs, empty, tmp_path):
     assert records.crc32c(b"123456789") == 0xE3069283 and records.unframe(records.frame(b"")) == b""
 
 
+def test_many_records_at_once():
+    random = np.random.default_rng(7)
+    sizes = np.array([0, 1, 2, 3, 4, 5, 255, 256, 257, 0, 511, 512, 513, 70_000])
+    data = random.integers(0, 256, sizes.sum(), dtype=np.uint8)
+    payloads = [part.tobytes() for part in np.split(data, np.cumsum(sizes)[:-1])]
+    table = [0] * 256
+    for i in range(256):
+        c = i
+        for _ in range(8):
+            c = c >> 1 ^ (records.POLYNOMIAL if c & 1 else 0)
+        table[i] = c
+
+    def plain(text):
+        crc = 0xFFFFFFFF
+        for byte in text:
+            crc = crc >> 8 ^ table[(crc ^ byte) & 255]
+        return crc ^ 0xFFFFFFFF
+
+    assert records.checksums(data, sizes).tolist() == [plain(p) for p in payloads]
+    written = records.frames(data, sizes)
+    assert written == b"".join(map(records.frame, payloads))
+    whole, inner = records.unframes(written, sizes + 16)
+    assert whole == data.tobytes() and inner.tolist() == sizes.tolist()
+    ends = np.cumsum(sizes + 16)
+    for at in (0, 9, ends[4], ends[4] + 9, ends[4] + 13, len(written) - 1):
+        broken = bytearray(written)
+        broken[at] ^= 1
+        with pytest.raises(ValueError):
+            records.unframes(bytes(broken), sizes + 16)
+    with pytest.raises(ValueError):
+        records.unframes(written[:-1], sizes + 16)
+
+
+def test_records_are_read_in_any_order_and_number(docs, tmp_path):
+    index = records.write(docs, byte_encoding(), f"file://{tmp_path}")
+    want = {(r["file"], r["offset"]): r["ids"] for r in records.read(index).collect()}
+    some = index.where("doc_id is null or doc_id <> 3").orderBy("bytes", "offset")
+    twice = some.unionByName(some).coalesce(1)
+    found = [((r["file"], r["offset"]), r["ids"]) for r in records.read(twice).collect()]
+    assert len(found) == 14 and all(want[at] == ids for at, ids in found)
+
+
+ODD_TEXTS = [
+    "", None, " ", "  ", "a", " a", "a ", "a  b", "\n", "a\nb c", "a \nb", "a\n b", "a\n\nb\n", "tab\tx y", "one\u00a0two three", "\u3000x \u3000y z",
+    "don't we'll I'M it's 's 's 't", "12 345 6,789.0", "\u0120 \u0120a b\u0120c \u0120", "caf\u00e9 cafe\u0301 \u00c9T\u00c9 \u03a3\u03a3 \u0301x", "\U0001f600 a\U0001f600b \u4f60\u597d \u4e16\u754c",
+    "x<|endoftext|>y z", "<|startoftext|> a <|endoftext|>", "\x00 a\x00b \x1c c\x1d d", "a\r\nb c\x85d e", "\u200b a\u200b b",
+]
+
+
+@pytest.mark.parametrize("encoding", [byte_encoding(), word_encoding()], ids=["bytes", "words"])
+def test_ids_are_the_tokenizers_own(encoding, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 50)
+    monkeypatch.setattr(tokens, "TOGETHER", 7)
+    encode = tokens._Encoder(encoding.path, encoding.before_word, encoding.spaced)
+    random, parts = np.random.default_rng(3), [t for t in ODD_TEXTS if t]
+    mixed = [" ".join(parts[i] for i in random.integers(0, len(parts), 9)) for _ in range(40)]
+    long = [" ".join(f"w{i * j}," for j in range(90)) for i in range(1, 4)]
+    for texts in (ODD_TEXTS, mixed, long, ODD_TEXTS[::-1], mixed):
+        want = [np.array(encode.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        for kind in (pa.string(), pa.large_string()):
+            assert encode(pa.array(["before", *texts], kind).slice(1)) == want
+
+
+def test_words_whose_ids_hold_the_space_are_encoded_without_offsets():
+    encoding = byte_encoding()
+    encode = tokens._Encoder(encoding.path, encoding.before_word, encoding.spaced)
+    real = encode.tokenizer
+
+    class WithoutOffsets:
+        encode_batch_fast = real.encode_batch_fast
+
+    encode.tokenizer = WithoutOffsets()
+    text = " ".join(f"word{i} it's, {LONG}\u0120{i}" for i in range(300))
+    assert np.frombuffer(encode(pa.array([text]))[0], dtype="<u4").tolist() == real.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(docs, empty):
     packed = packing.pack(packing.pieces(docs, word_encoding(), 64), 64)
     whole = packing.sequences(packed).collect()
