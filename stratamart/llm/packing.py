@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import add_running, ddl, map_batches, quoted, slice_count
+from stratamart.llm.common import add_running, ddl, map_batches, quoted, slice_count, small_batches
 from stratamart.llm.tokens import Encoding, encoded
 from stratamart.staging import materialize
 
@@ -107,7 +107,8 @@ def pieces(docs: DataFrame, encoding: Encoding, capacity: int = CAPACITY) -> Dat
                 ["doc_id", "piece", "start", "length", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary"), "pieces")
+    with small_batches(docs.sparkSession):
+        return materialize(rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary"), "pieces")
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:

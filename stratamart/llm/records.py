@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stratamart.llm.common import id_of, key_of
+from stratamart.llm.common import id_of, key_of, small_batches
 from stratamart.llm.tokens import Encoding, encoded
 from stratamart.staging import materialize, shared_folder
 
@@ -172,8 +172,9 @@ def write(docs: DataFrame, encoding: Encoding, folder: str | None = None) -> Dat
     rows = docs.select(key_of("doc_id").alias("_doc"), F.col("text").cast("string").alias("text"))
     ranged = (rows.withColumn("_turn", F.xxhash64("text")).repartitionByRange("_doc", "_turn")
               .sortWithinPartitions("_doc", "_turn").select("_doc", "text"))
-    local = materialize(ranged.mapInArrow(
-        save, "_doc long, file string, offset long, bytes long, _before long, n_tokens long"), "record_index")
+    with small_batches(spark):
+        local = materialize(ranged.mapInArrow(
+            save, "_doc long, file string, offset long, bytes long, _before long, n_tokens long"), "record_index")
     # One row per file: the files lie in the order of their first ids (no id is in two files unless repeated).
     files = local.groupBy("file").agg(F.sum("n_tokens").alias("_all"), F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
     earlier = Window.orderBy("_first", "_last", "file").rowsBetween(Window.unboundedPreceding, -1)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stratamart.llm.common import ddl, give_back, id_of, key_of, map_batches, quoted
+from stratamart.llm.common import give_back, id_of, key_of, quoted
 from stratamart.staging import materialize
 
 MATCH = 50
@@ -331,10 +331,11 @@ def _shared_kinds(chunk: _Chunk, answers: list[dict] | None) -> tuple[np.ndarray
 
 
 def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chunk_bytes: int = CHUNK,
-                  bucket_phrases: int = BUCKET, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+                  bucket_phrases: int = BUCKET, carry: list[str] | tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """Per row `doc_id`, `n_bytes`, `spans` (array of start and end, in bytes, end excluded) and `kept` (the remaining
     bytes) after removal of every byte that lies in a string of `match` bytes which also starts in a document
-    with a smaller doc_id. Strings are judged on the input. The columns in `carry` follow.
+    with a smaller doc_id. Strings are judged on the input. The columns in `carry` follow. With `as_text`, `kept` is a
+    string, without the bytes left of a cut character.
 
     A null text is empty. A null doc_id counts as larger than all others. Rows that repeat a doc_id are not
     smaller than each other, so neither loses bytes to the other. Texts shorter than a match lose nothing; empty tables
@@ -396,14 +397,19 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
         _bits_of_bucket(match, width), "chunk long, bucket long, mask binary, bits binary")
 
     others = whole.schema["others"].dataType.elementType
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), to_arrow_type(others)]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
+             pa.string() if as_text else pa.binary(), to_arrow_type(others)]
 
     def remove(values: dict, chunk: _Chunk) -> pa.RecordBatch:
         rows = _results(chunk, _marked(chunk, values["answers"]), values["others"])
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+        columns = list(zip(*rows))
+        if as_text:
+            columns[3] = [None if data is None else data.decode("utf-8", "ignore") for data in columns[3]]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                           ["doc", "n_bytes", "spans", "kept", "others"])
 
-    schema = f"doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, others {others.simpleString()}"
+    remaining = "string" if as_text else "binary"
+    schema = f"doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept {remaining}, others {others.simpleString()}"
     result = _per_chunk(whole, materialize(answers, "repeat_answers"), "mask", "bits").mapInArrow(chunkwise(remove), schema)
     return result.select(id_of("doc").alias("doc_id"), "n_bytes", "spans", "kept",
                          *[F.col(f"others.c{i}").alias(c) for i, c in enumerate(carry) if c != "doc_id"])
@@ -411,17 +417,11 @@ def removed_spans(docs: DataFrame, match: int = MATCH, width: int = TRIGGER, chu
 
 def without_passages(docs: DataFrame, match: int = MATCH) -> DataFrame:
     """The columns of `docs` with the repeated passages cut out of `text`; bytes left of a cut character go too."""
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if data is None else data.decode("utf-8", "ignore") for data in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(texts, pa.string())],
-                                             [*(f.name for f in kept), "text"])
-
     carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_bytes", "spans", "kept")]
-    found = removed_spans(docs, match, carry=carried).drop("n_bytes", "spans")
-    kept = [f for f in found.schema.fields if f.name != "kept"]
-    schema = ddl(kept)
-    return map_batches(found, decode, f"{schema}, text string")
+    # Decoded where it is cut: a second Python step would keep a second worker beside each task's own.
+    found = removed_spans(docs, match, carry=carried, as_text=True)
+    found = found.toDF(*[f"c{i}" for i in range(len(found.columns))])
+    return found.select(F.col("c0").alias("doc_id"), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carried, 4)], F.col("c3").alias("text"))
 
 
 def _marked(chunk: _Chunk, answers: list[dict] | None) -> np.ndarray:

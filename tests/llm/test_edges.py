@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stratamart.llm import extraction, forest, mixing, neighbours, packing, quality, records, repeats, simhash, tokens, url_filter
+from stratamart.llm import common, extraction, forest, mixing, neighbours, packing, quality, records, repeats, simhash, tokens, url_filter
 from stratamart.llm.components import components
 from stratamart.llm.queries import byte_encoding, word_encoding
 from tests.llm.test_queries import reachable, without
@@ -266,6 +266,39 @@ def test_repeats(spark, docs, empty, chunk):
     assert repeats.removed_spans(empty).count() == 0
 
 
+def test_passages_leave_whole_characters(spark):
+    """The text is decoded in the Python step that cuts it, so a task keeps one worker; half a character goes."""
+    cut = repeats.without_passages(spark.createDataFrame(
+        [(1, "x" + "a" * 49 + "é", "p"), (2, "a" * 49 + "ê" + "b", "q"), (None, None, None)], "doc_id long, text string, `Kept.x` string"))
+    assert cut.columns == ["doc_id", "Kept.x", "text"]
+    assert {tuple(r) for r in cut.collect()} == {(1, "p", "x" + "a" * 49 + "é"), (2, "q", "b"), (None, None, "")}
+    assert str(cut._jdf.queryExecution().optimizedPlan()).count("MapInArrow") == 1
+
+
+def test_wide_texts_come_in_small_batches(spark, monkeypatch, tmp_path):
+    """Texts go to the encoder in Arrow batches bounded by bytes, whatever the setting outside, which is left as it was."""
+    def sizes(batches, encoding, unit=1):
+        for batch in batches:
+            yield batch.column(0).to_pylist(), [np.array([batch.column("text").nbytes // unit], dtype="<u4").tobytes()] * batch.num_rows
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    wide = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "repeat(CAST(id AS STRING), 30000) AS text")
+    def kilobytes(batches, encoding):
+        return sizes(batches, encoding, 1000)
+
+    monkeypatch.setattr(packing, "encoded", sizes)
+    monkeypatch.setattr(records, "encoded", kilobytes)
+    spark.conf.set(name, "1g")
+    try:
+        batches = [int.from_bytes(r["ids"], "little") for r in packing.pieces(wide, word_encoding()).collect()]
+        ids = [int.from_bytes(r["ids"], "little") for r in records.read(records.write(wide, byte_encoding(), str(tmp_path))).collect()]
+        assert spark.conf.get(name) == "1g"
+    finally:
+        spark.conf.unset(name)
+    assert len(batches) == len(ids) == 300
+    assert max(batches) <= common.BATCH_BYTES + 100_000 and 1000 * max(ids) <= common.BATCH_BYTES + 100_000
+
+
 def test_extraction(spark):
     page = """<html><head><title>t</title><style>x</style></head><body><nav><a href=a>menu</a></nav><div class="ad">buy</div>
       <div id=main><h1>Head &amp; line</h1><p>First  <b>bold</b>er&nbsp;text that goes on for a while, as articles do, and on.<p>Second <a href=x>link</a>
