@@ -1,9 +1,12 @@
+import datetime
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from stratamart import schemas, staging
 from stratamart.functions.cleaning import fill_missing, fitting_widths
-from stratamart.plans import layers
+from stratamart.plans import layers, reports
 from stratamart.sources import readers
 from stratamart.sources.lake import Lake, write_csv, write_json
 from stratamart.streaming.ingest import append_new_files
@@ -153,3 +156,38 @@ def test_landing_files_are_bounded(spark, monkeypatch, fmt):
     assert found.groupBy("_source_file").count().agg(F.max("count")).first()[0] <= 1000
     assert found.select(*schemas.LISTING_COLUMNS).exceptAll(lake.landing().select(*schemas.LISTING_COLUMNS)).isEmpty()
     assert found.count() == lake.landing().count()
+
+
+def order_tables(spark, folder):
+    """Twelve line items, two of them alike, of four orders, three parts and two customers."""
+    day = datetime.datetime(1997, 5, 1)
+    items = [(i // 3, i % 3, i % 3, float(i), 10.0 + i, 0.01 * i, "R", "O") for i in range(11)]
+    for name, kinds, table in (
+        ("customer", "c_custkey long, c_mktsegment string", [(0, "BUILDING"), (1, "MACHINERY")]),
+        ("part", "p_partkey long, p_brand string, p_name string, p_size int, p_type string",
+         [(i, f"Brand#{i}", f"hot bolt{i}", i + 1, "SMALL") for i in range(3)]),
+        ("orders", "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderstatus string, o_orderpriority string",
+         [(i, i % 2, day, "F", ("1-URGENT", "4-NOT SPECIFIED")[i % 2]) for i in range(4)]),
+        ("lineitem", "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+         "l_discount double, l_returnflag string, l_linestatus string", [*items, items[0]]),
+    ):
+        spark.createDataFrame(table, kinds).write.parquet(str(folder / f"{name}.parquet"))
+
+
+def test_the_column_listing_leaves_only_the_layers(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: f"file:{tmp_path}/app")
+    monkeypatch.setattr(layers, "LANDING_FILES", layers.LANDING_FILES | {"maxRecordsPerFile": "5"})
+    order_tables(spark, tmp_path / "in")
+    lake = layers.SessionLake(spark, str(tmp_path / "in"))
+    found = reports.table_columns(lake)
+    assert rows(found.where("column = 'price'").select("camada", "tabela", "position", "type", "non_null")) == [
+        ("bronze", "vehicle_prices", 20, "double", 12), ("dw", "fato_veiculo", 4, "double", 12),
+        ("silver", "fato_veiculo", 6, "double", 12), ("silver", "veiculo", 20, "double", 12)]
+    assert found.count() == 95
+    assert not any((tmp_path / "app/staged").iterdir())
+    export = lake.path("export", "vehicle_price_clean")
+    assert all(p.name.endswith(".csv.gz") for p in Path(export.removeprefix("file:")).glob("part-*"))
+    exported = readers.read_flat(spark, export, source_column="_file_name")
+    assert exported.groupBy("_file_name").count().agg(F.max("count")).first()[0] <= 5
+    # The export spells the filled history, which a reader takes as missing.
+    assert rows(fill_missing(exported.drop("_file_name"))) == rows(lake.flat().drop("id"))
